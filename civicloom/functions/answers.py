@@ -1,4 +1,4 @@
-"""Reading a model's JSON answer strictly, as expressions over VARIANT.
+"""Reading a model's JSON answers strictly, as expressions over VARIANT.
 
 One answer belongs to one batch. It either fails as a whole (``failure`` holds the code and
 ``failure_reason`` the text for every row of the batch) or gives ``items``, one per usable
@@ -7,10 +7,10 @@ entry of the JSON array, in order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicloom.functions.text import strip_blanks, strip_code_fence
+from civicloom.functions.text import strip_code_fence
 from civicloom.schemas import VALID_CODES
 
 MISSING, INVALID, FAILED = "253", "254", "255"
@@ -24,98 +24,110 @@ FAILED_PREFIX = "API error: "
 ITEM_TYPE = "array<struct<id:string,code:string,reasoning:string>>"
 
 
-def _kind(value: Column) -> Column:
-    """SQL type of a VARIANT: null where the key is missing, VOID where it holds null."""
-    return F.schema_of_variant(value)
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
 
+def _entry(entry: Column) -> Column:
+    """The parts of one array entry; a missing key is null, a JSON null has the type VOID."""
+    def member(key: str) -> Column:
+        return F.try_variant_get(entry, f"$.{key}", "variant")
 
-def _member(value: Column, key: str) -> Column:
-    return F.try_variant_get(value, f"$.{key}", "variant")
+    return F.struct(
+        F.schema_of_variant(member("id")).alias("id_type"),
+        _text(member("id")).alias("id"),
+        F.schema_of_variant(member("label")).alias("label_type"),
+        _text(member("label")).alias("label"),
+        member("reasoning").isNull().alias("silent"),
+        _text(member("reasoning")).alias("reasoning"),
+    )
 
 
-def _text(value: Column) -> Column:
-    """A JSON scalar as Python prints it, as ids are compared as text."""
-    kind = _kind(value)
-    plain = F.try_variant_get(value, "$", "string")
+def _id_text(entry: Column) -> Column:
+    """An id as Python prints it, since ids are compared as text."""
+    kind, plain = entry["id_type"], entry["id"]
+    whole_decimal = kind.startswith("DECIMAL") & ~plain.contains(".")
     return (
         F.when(kind == "VOID", "None")
         .when(kind == "BOOLEAN", F.initcap(plain))
-        .when(kind.startswith("DECIMAL") & ~plain.contains("."), F.concat(plain, F.lit(".0")))
+        .when(whole_decimal, F.concat(plain, F.lit(".0")))
         .otherwise(plain)
     )
 
 
 def _item(entry: Column) -> Column:
-    label = _member(entry, "label")
-    valid = _kind(label).isin("BIGINT", "STRING") & F.try_variant_get(label, "$", "string").isin(
-        *VALID_CODES
-    )
-    valid = F.coalesce(valid, F.lit(False))
-    reasoning = _member(entry, "reasoning")
+    valid = entry["label_type"].isin("BIGINT", "STRING") & entry["label"].isin(*VALID_CODES)
     return F.struct(
-        _text(_member(entry, "id")).alias("id"),
-        F.when(valid, F.try_variant_get(label, "$", "string")).otherwise(INVALID).alias("code"),
+        _id_text(entry).alias("id"),
+        F.when(valid, entry["label"]).otherwise(INVALID).alias("code"),
         F.when(~valid, INVALID_REASON)
-        .when(reasoning.isNull(), "")
-        .otherwise(F.try_variant_get(reasoning, "$", "string"))
+        .when(entry["silent"], "")
+        .otherwise(entry["reasoning"])
         .alias("reasoning"),
     )
 
 
-def _usable(entry: Column) -> Column:
-    return (
-        _kind(entry).startswith("OBJECT")
-        & _member(entry, "id").isNotNull()
-        & _member(entry, "label").isNotNull()
-    )
-
-
-def parse_answer(answer: Column, error: Column | None = None) -> Column:
-    """``struct<failure, failure_reason, items>`` of one answer.
+def read_answers(df: DataFrame, answer_col: str, error_col: str | None = None) -> DataFrame:
+    """Adds ``failure``, ``failure_reason`` and ``items``. A null answer, or one with an error,
+    is a failed call.
 
     ``try_parse_json`` overlooks text after the first value, so the text is read twice, as a
     member of an object and as an element of an array; only a single whole value fits both.
+    Each reading is a column of its own, so that it happens once.
     """
-    text = strip_code_fence(strip_blanks(answer))
-    in_object = F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit(',"z":1}')))
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit(",1]")))
-    whole = (F.try_variant_get(in_object, "$.z", "int") == 1) & (
-        F.try_variant_get(in_array, "$[1]", "int") == 1
+    answer = F.col(answer_col)
+    error = F.col(error_col) if error_col else F.lit(None).cast("string")
+    texts = df.withColumn("_text", strip_code_fence(answer))
+    read = texts.withColumns(
+        {
+            "_object": F.try_parse_json(F.concat(F.lit('{"a":'), "_text", F.lit(',"z":1}'))),
+            "_array": F.try_parse_json(F.concat(F.lit("["), "_text", F.lit(",1]"))),
+        }
     )
-    kind = _kind(F.try_variant_get(in_object, "$.a", "variant"))
-    call_failed = answer.isNull() if error is None else (answer.isNull() | error.isNotNull())
-    failure = (
-        F.when(call_failed, FAILED)
-        .when(~F.coalesce(whole, F.lit(False)), MISSING)
-        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT") | (kind == "STRING"), None)
-        .otherwise(FAILED)
+    whole = (F.try_variant_get("_object", "$.z", "int") == 1) & (
+        F.try_variant_get("_array", "$[1]", "int") == 1
     )
-    call_reason = F.concat(
-        F.lit(FAILED_PREFIX),
-        F.coalesce(error, F.lit("no answer")) if error is not None else F.lit("no answer"),
+    entries = F.try_variant_get("_object", "$.a", "array<variant>")
+    parts = read.withColumns(
+        {
+            "_failed_call": answer.isNull() | error.isNotNull(),
+            "_whole": F.coalesce(whole, F.lit(False)),
+            "_entries": F.transform(entries, _entry),
+        }
     )
-    reason = (
-        F.when(call_failed, call_reason)
-        .when(~F.coalesce(whole, F.lit(False)), UNREADABLE_REASON)
-        .when(failure == FAILED, FAILED_PREFIX + "the answer is not a list")
+    # A JSON text is a list, an object or a text by its first character; anything else cannot
+    # be gone through entry by entry, which the caller sees as a failed call.
+    iterable = F.substring("_text", 1, 1).isin("[", "{", '"')
+    failed_call, unreadable = F.col("_failed_call"), ~F.col("_whole")
+    usable = F.filter(
+        "_entries", lambda entry: entry["id_type"].isNotNull() & entry["label_type"].isNotNull()
     )
-    entries = F.try_variant_get(in_object, "$.a", "array<variant>")
-    items = F.transform(F.filter(entries, _usable), _item)
-    return F.struct(
-        failure.alias("failure"),
-        reason.alias("failure_reason"),
-        F.when(failure.isNull(), F.coalesce(items, F.array().cast(ITEM_TYPE))).alias("items"),
+    items = F.coalesce(F.transform(usable, _item), F.array().cast(ITEM_TYPE))
+    call_reason = F.concat(F.lit(FAILED_PREFIX), F.coalesce(error, F.lit("no answer")))
+    return parts.select(
+        *df.columns,
+        F.when(failed_call, FAILED)
+        .when(unreadable, MISSING)
+        .when(~iterable, FAILED)
+        .alias("failure"),
+        F.when(failed_call, call_reason)
+        .when(unreadable, UNREADABLE_REASON)
+        .when(~iterable, FAILED_PREFIX + "the answer is not a list")
+        .alias("failure_reason"),
+        F.when(~failed_call & F.col("_whole") & iterable, items).alias("items"),
     )
 
 
-def answer_for(parsed: Column, ticket_id: Column) -> Column:
-    """``struct<code, reasoning>`` for one asked id: the last entry with that id counts."""
+def answer_for(ticket_id: Column) -> Column:
+    """``struct<code, reasoning>`` for one asked id, from the columns of ``read_answers``: the
+    last entry with that id counts."""
     found = F.try_element_at(
-        F.filter(parsed["items"], lambda item: item["id"] == ticket_id.cast("string")), F.lit(-1)
+        F.filter("items", lambda item: item["id"] == ticket_id.cast("string")), F.lit(-1)
     )
+    failure = F.col("failure")
     return F.struct(
-        F.coalesce(parsed["failure"], found["code"], F.lit(MISSING)).alias("code"),
-        F.when(parsed["failure"].isNotNull(), parsed["failure_reason"])
+        F.coalesce(failure, found["code"], F.lit(MISSING)).alias("code"),
+        F.when(failure.isNotNull(), F.col("failure_reason"))
         .when(found.isNull(), MISSING_REASON)
         .otherwise(found["reasoning"])
         .alias("reasoning"),

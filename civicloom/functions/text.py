@@ -21,8 +21,8 @@ SYMBOL_RANGES = (
     r"\x{2702}-\x{27B0}"
     r"\x{24C2}-\x{1F251}"
 )
-# What counts as text, Thai, Latin and digits.
-TEXT_RANGES = r"\x{0E01}-\x{0E59}a-zA-Z0-9"
+# What counts as text, Latin, digits and Thai.
+TEXT_RANGES = r"a-zA-Z0-9\x{0E01}-\x{0E59}"
 
 URL_PATTERN = f"http[^{UNICODE_BLANKS}]+|www\\.[^{UNICODE_BLANKS}]+"
 SYMBOL_PATTERN = f"[{SYMBOL_RANGES}]+"
@@ -32,16 +32,25 @@ FENCE = "```"
 
 
 def clean_text(text: Column) -> Column:
-    """Drop URLs and symbols, turn all else but Thai, Latin and digits into single blanks."""
+    """Drop URLs and symbols, turn all else but Thai, Latin and digits into single blanks.
+
+    Each pass is one regular expression over the whole text; the first is taken only by texts
+    that can hold a URL, the second only by texts beyond ASCII.
+    """
     may_hold_url = text.contains("http") | text.contains("www.")
     no_urls = F.when(may_hold_url, F.regexp_replace(text, URL_PATTERN, "")).otherwise(text)
-    no_symbols = F.regexp_replace(no_urls, SYMBOL_PATTERN, "")
+    beyond_ascii = F.octet_length(no_urls) != F.char_length(no_urls)
+    no_symbols = F.when(beyond_ascii, F.regexp_replace(no_urls, SYMBOL_PATTERN, "")).otherwise(
+        no_urls
+    )
     return F.trim(F.regexp_replace(no_symbols, OTHER_PATTERN, " "))
 
 
 def strip_blanks(text: Column) -> Column:
-    """Cut Unicode blanks, line breaks included, off both ends."""
-    return F.regexp_replace(text, f"^[{UNICODE_BLANKS}]+|[{UNICODE_BLANKS}]+$", "")
+    """Cut Unicode blanks, line breaks included, off both ends. The look-behind lets the search
+    for the last run start at the head of a run only, so long runs inside cost nothing."""
+    blanks = f"[{UNICODE_BLANKS}]"
+    return F.regexp_replace(text, f"^{blanks}+|(?<!{blanks}){blanks}+$", "")
 
 
 def strip_code_fence(text: Column) -> Column:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicloom.functions.answers import answer_for, parse_answer
+from civicloom.functions.answers import answer_for, read_answers
 from civicloom.functions.labels import label_description
 from civicloom.functions.text import present_flag, star_text
 from civicloom.operators.filters import filter_has_evidence, has_coordinates, split_by_status
@@ -108,9 +108,9 @@ def call_per_batch(requests: DataFrame, fn: Callable[[str], str]) -> DataFrame:
 def parse_answers(answers: DataFrame, answer_col: str = "answer") -> DataFrame:
     """Usable entries of each batch's answer: ``(batch_num, id, code, reasoning)``. Of several
     entries with one id the last counts. Answers that fail as a whole give no rows."""
-    items = answers.select(
-        "batch_num", parse_answer(F.col(answer_col))["items"].alias("items")
-    ).select("batch_num", F.posexplode("items").alias("place", "item"))
+    items = read_answers(answers.select("batch_num", answer_col), answer_col).select(
+        "batch_num", F.posexplode("items").alias("place", "item")
+    )
     last = F.max_by(F.struct("item.code", "item.reasoning"), "place")
     return (
         items.groupBy("batch_num", F.col("item.id").alias("id"))
@@ -124,18 +124,13 @@ def match_answers(
 ) -> DataFrame:
     """One row per asked id, in the order asked: ``(batch_num, pos, ticket_id, code,
     reasoning)``. Question and answer are in one row, so nothing is shuffled."""
-    error = F.col(error_col) if error_col else None
-    asked = answered.select(
-        "batch_num",
-        "members",
-        parse_answer(F.col(answer_col), error).alias("parsed"),
-    )
+    asked = read_answers(answered, answer_col, error_col)
     matched = F.transform(
         "members",
         lambda member: F.struct(
             member["pos"].alias("pos"),
             member["ticket_id"].alias("ticket_id"),
-            answer_for(F.col("parsed"), member["ticket_id"]).alias("result"),
+            answer_for(member["ticket_id"]).alias("result"),
         ),
     )
     return asked.select("batch_num", F.explode(matched).alias("m")).select(

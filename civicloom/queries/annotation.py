@@ -21,8 +21,8 @@ from civicloom.queries.registry import LABELED_DOCUMENTS, labeled_documents, que
 ROLES = {"type": "source", "organization": "lang", "comment": "text", "star": "quality"}
 
 
-def batched_documents(t):
-    return assign_batches(labeled_documents(t), ["doc_id"])
+def batched_documents(t, *columns: str):
+    return assign_batches(labeled_documents(t).select("doc_id", *columns), ["doc_id"])
 
 
 BATCHED = f"""{LABELED_DOCUMENTS},
@@ -47,7 +47,7 @@ BATCHED = f"""{LABELED_DOCUMENTS},
         FROM batched GROUP BY batch_num""",
 )
 def _build_request_text(t):
-    return build_requests(batched_documents(t), "doc_id", ROLES).select("batch_num", "request")
+    return build_requests(batched_documents(t, *ROLES.values()), "doc_id", ROLES).select("batch_num", "request")
 
 
 def answered_batches(t):
@@ -66,7 +66,7 @@ def answered_batches(t):
         F.col("code").isNotNull(), odd
     )
     batches = (
-        batched_documents(t)
+        batched_documents(t, "source", "lang", "code")
         .select(
             "batch_num",
             F.struct(
