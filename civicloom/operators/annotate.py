@@ -173,6 +173,19 @@ def label_rows(
     )
 
 
+def pending_rows(
+    df: DataFrame, roles: dict[str, str] | None = None, label_col: str = LABEL
+) -> DataFrame:
+    """Rows to label: without a label or with one worth another try, and with a comment or a
+    photo to go by."""
+    named = roles or {}
+    comment, photo = named.get("comment", "comment"), named.get("photo", "photo")
+    added = [name for name in (comment, photo) if name not in df.columns]
+    complete = df.withColumns({name: F.lit(None).cast("string") for name in added})
+    unsettled = split_by_status(complete, label_col).filter(F.col("status") != "cached")
+    return filter_has_evidence(unsettled, comment, photo).drop("status", *added)
+
+
 def annotate(
     df: DataFrame,
     fn: Callable[[str], str],
@@ -189,22 +202,17 @@ def annotate(
     they hold a comment or a photo. The result is what ``merge_labels_upsert`` takes, ordered by
     batch and position.
     """
-    named = roles or {}
-    comment, photo = named.get("comment", "comment"), named.get("photo", "photo")
-    for name in (comment, photo, LABEL, REASON):
+    for name in (LABEL, REASON):
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
-    with_status = split_by_status(df, LABEL)
-    cached = with_status.filter(F.col("status") == "cached").select(
+    cached = split_by_status(df, LABEL).filter(F.col("status") == "cached").select(
         F.col(id_col).cast("string").alias("ticket_id"),
         LABEL,
         REASON,
         F.lit(0).cast("bigint").alias("batch_num"),
         F.lit(0).alias("pos"),
     )
-    pending = filter_has_evidence(
-        with_status.filter(F.col("status") != "cached").drop("status"), comment, photo
-    )
+    pending = pending_rows(df, roles)
     new = label_rows(pending, fn, order_by, id_col, roles, batch_size, parallelism, prompt)
     return union_cached_and_new(cached, new.drop("code"))
 

@@ -19,13 +19,20 @@ def require_columns(df: DataFrame, *names: str) -> None:
 
 
 def filter_time_range(
-    df: DataFrame, start: datetime, end: datetime, ts_col: str = "timestamp"
+    df: DataFrame,
+    start: datetime,
+    end: datetime,
+    ts_col: str = "timestamp",
+    day_col: str | None = None,
 ) -> DataFrame:
     """Rows from start to end, both included. The bounds take the column's own type, so the
-    column stays bare and the range reaches the Parquet scan."""
+    column stays bare and the range reaches the Parquet scan; on a table partitioned by
+    ``day_col`` the days outside are not even listed."""
     if start > end:
         raise ValueError(f"start {start} lies after end {end}")
     dtype = df.schema[ts_col].dataType
+    if day_col:
+        df = df.filter(F.col(day_col).between(F.lit(start.date()), F.lit(end.date())))
     return df.filter(F.col(ts_col).between(F.lit(start).cast(dtype), F.lit(end).cast(dtype)))
 
 

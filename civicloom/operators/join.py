@@ -1,9 +1,10 @@
 """Joins against labels, districts and gazetteers.
 
-No side is broadcast by hint: the dimensions are read from files or written tables, so
-Catalyst knows their size and broadcasts below ``autoBroadcastJoinThreshold`` only. Beyond it
-adaptive execution splits the partitions that a hot key makes too large. Rows whose key is
-null can match nothing and go round the shuffle.
+No side is broadcast by hint. What a large table is joined with is read from a file or from a
+written table, so Catalyst knows its size: below ``autoBroadcastJoinThreshold`` the large table
+is not shuffled at all, and beyond it both sides are shuffled straight from a scan, where
+adaptive execution can split the partitions a hot key makes too large (it cannot do so above an
+aggregate). Rows whose key is null can match nothing and go round the shuffle.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from civicloom.functions.text import present_flag
 from civicloom.operators.aggregate import last_wins_dedupe
 from civicloom.operators.filters import has_coordinates
+from civicloom.session import pin
 
 LABEL, REASON = "llm_label", "llm_reasoning"
 
@@ -49,11 +51,12 @@ def merge_labels_upsert(
 ) -> DataFrame:
     """New labels win, earlier ones stay; of several new ones the last in the order counts,
     so the table keeps its rows."""
-    new = last_wins_dedupe(
+    unique = last_wins_dedupe(
         labels.filter(F.col(id_col).isNotNull()).select(id_col, label_col, reason_col, *order_by),
         [id_col],
         order_by,
-    ).select(
+    )
+    new = pin(unique, "labels").select(
         F.col(id_col).cast(table.schema[id_col].dataType).alias(id_col),
         F.struct(label_col, reason_col).alias("_new"),
     )
@@ -138,7 +141,7 @@ def enrich_coordinates(
         .agg(F.min(F.struct(F.col(lat_col).alias("lat"), F.col(lon_col).alias("lon"))).alias("_at"))
     )
     wanted = ~has_coordinates(lat_col, lon_col) & present_flag(F.col(name_col))
-    found = df.filter(wanted).join(places, name_col, "left")
+    found = df.filter(wanted).join(pin(places, "gazetteer"), name_col, "left")
     filled = {
         lat_col: F.coalesce("_at.lat", F.col(lat_col)),
         lon_col: F.coalesce("_at.lon", F.col(lon_col)),

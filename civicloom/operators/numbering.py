@@ -10,20 +10,21 @@ from pyspark.sql.window import Window
 
 from civicloom.session import pin
 
-_PART, _PLACE, _BEFORE = "_part", "_place", "_before"
+_PART, _PLACE, _BEFORE, _TIE = "_part", "_place", "_before", "_tie"
 _PLACE_BITS = 33  # monotonically_increasing_id keeps the place in the task in its low bits
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
-    """Numbers from 1 in the order given, which must be a total one.
+    """Numbers from 1 in the order given; rows equal in all of it come in any order.
 
-    A global sort cuts the table into ranges of all sort columns together, so rows that share
-    one time stamp still spread. The sorted table is written once; each row keeps its range
-    and its place in it, and the number of rows in the ranges before (one row per sort task)
-    is all that has to be added.
+    A global sort cuts the table into ranges of all sort columns together, and of a number
+    that tells equal rows apart, so neither rows of one time stamp nor exact copies crowd one
+    task. The sorted table is written once; each row keeps its range and its place in it, and
+    the number of rows in the ranges before (one row per sort task) is all that has to be added.
     """
-    in_order = df.orderBy(*order_by).select(
-        "*",
+    told_apart = df.withColumn(_TIE, F.monotonically_increasing_id())
+    in_order = told_apart.orderBy(*order_by, _TIE).select(
+        *df.columns,
         F.spark_partition_id().alias(_PART),
         F.monotonically_increasing_id().bitwiseAND((1 << _PLACE_BITS) - 1).alias(_PLACE),
     )

@@ -33,8 +33,10 @@ def _hashed(df: DataFrame, id_col: str, stratum_col: str, seed: int, missing: st
     )
 
 
-def _check(sizes: DataFrame, n: int) -> None:
+def _check(buckets: DataFrame, sizes: DataFrame, n: int) -> None:
     """The rejections of a stratified split into ``n`` rows and the rest."""
+    if buckets.filter(F.col(_PREFIX).isNull()).limit(1).count():
+        raise ValueError("there are rows without an id")
     facts = sizes.agg(
         F.coalesce(F.sum(_SIZE), F.lit(0)).alias("rows"),
         F.count("*").alias("strata"),
@@ -71,7 +73,7 @@ def _ranked(
     hashed = _hashed(df, id_col, stratum_col, seed, missing)
     buckets = pin(hashed.groupBy(_STRATUM, _PREFIX).agg(F.count("*").alias(_SIZE)), "buckets")
     sizes = buckets.groupBy(_STRATUM).agg(F.sum(_SIZE).alias(_SIZE))
-    _check(sizes, n)
+    _check(buckets, sizes, n)
     earlier = (
         Window.partitionBy(_STRATUM).orderBy(_PREFIX).rowsBetween(Window.unboundedPreceding, -1)
     )

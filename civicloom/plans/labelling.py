@@ -7,10 +7,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicloom.operators.annotate import annotate
+from civicloom.operators.annotate import label_rows, pending_rows
 from civicloom.operators.filters import filter_time_range
 from civicloom.operators.join import merge_labels_upsert
-from civicloom.session import pin
 from civicloom.sources.snapshots import read_snapshot, write_snapshot
 
 
@@ -25,16 +24,16 @@ def label_range(
     ts_col: str = "timestamp",
     roles: dict[str, str] | None = None,
     batch_size: int = 20,
+    day_col: str | None = None,
 ) -> DataFrame:
     """Label the range in the newest snapshot, write the next one, and return it. Labels outside
-    the range, and good ones inside it, stay."""
+    the range, and good ones inside it, stay: only new ones are merged. ``day_col`` names the
+    column the snapshots are partitioned by, if they are."""
     table = read_snapshot(spark, root)
-    chosen = filter_time_range(table, start, end, ts_col)
-    labels = pin(
-        annotate(chosen, fn, order_by, id_col, roles, batch_size).withColumnRenamed(
-            "ticket_id", id_col
-        ),
-        "labels",
+    chosen = filter_time_range(table, start, end, ts_col, day_col)
+    labels = label_rows(pending_rows(chosen, roles), fn, order_by, id_col, roles, batch_size)
+    merged = merge_labels_upsert(
+        table, labels.withColumnRenamed("ticket_id", id_col), ["batch_num", "pos"], id_col
     )
-    write_snapshot(merge_labels_upsert(table, labels, ["batch_num", "pos"], id_col), root)
+    write_snapshot(merged, root, (day_col,) if day_col else ())
     return read_snapshot(spark, root)

@@ -19,13 +19,18 @@ def load_complaints(
     schema: T.StructType,
     text_col: str = "comment",
     ts_col: str = "timestamp",
+    day_col: str | None = None,
 ) -> DataFrame:
-    """Read, clean the text, type the time, write the next snapshot, and return it."""
+    """Read, clean the text, type the time, write the next snapshot, and return it. With
+    ``day_col`` the snapshot is partitioned by the day, so that range queries open only the
+    days they need."""
     raw = read_complaints_csv(spark, csv_path, schema)
     cleaned = raw.withColumns(
         {text_col: clean_text(F.col(text_col)), ts_col: parse_timestamp(F.col(ts_col))}
     )
-    write_snapshot(cleaned, root)
+    if day_col:
+        cleaned = cleaned.withColumn(day_col, F.col(ts_col).cast("date"))
+    write_snapshot(cleaned, root, (day_col,) if day_col else ())
     return read_snapshot(spark, root)
 
 

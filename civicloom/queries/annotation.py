@@ -201,12 +201,12 @@ def locate(name: str):
                       CASE WHEN c_mktsegment <> 'BUILDING' THEN 100.5::DOUBLE END AS longitude
                FROM customer))
        JOIN (SELECT n_nationkey,
-                    CASE WHEN n_regionkey <> 2 THEN n_nationkey + 0.25::DOUBLE
+                    CASE WHEN r_name <> 'ASIA' THEN n_nationkey + 0.25::DOUBLE
                          WHEN NOT regexp_matches(n_name, '[01]$') THEN n_nationkey + 0.75::DOUBLE
                     END AS lat,
-                    CASE WHEN n_regionkey <> 2 THEN n_regionkey + 0.5::DOUBLE
+                    CASE WHEN r_name <> 'ASIA' THEN n_regionkey + 0.5::DOUBLE
                          WHEN NOT regexp_matches(n_name, '[01]$') THEN 99.0::DOUBLE END AS lon
-             FROM nation) ON n_nationkey = c_nationkey""",
+             FROM nation JOIN region ON r_regionkey = n_regionkey) ON n_nationkey = c_nationkey""",
 )
 def _lookup(t):
     rows = t.customer.select(

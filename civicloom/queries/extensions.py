@@ -43,13 +43,14 @@ def _response_time_by_group(t):
     f"""WITH {SHIPMENTS},
           daily AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, count(*) AS n,
                            sum(days) AS sum_days FROM shipments WHERE days >= 0 GROUP BY 1, 2)
-        SELECT o_orderpriority, day, n, sum_days::DOUBLE / n AS mean_days,
+        SELECT o_orderpriority, CAST(day AS VARCHAR) AS day, n, sum_days::DOUBLE / n AS mean_days,
                (sum(sum_days) OVER week)::DOUBLE / sum(n) OVER week AS trailing_mean_days
         FROM daily WINDOW week AS (PARTITION BY o_orderpriority ORDER BY day
                                        RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""",
 )
 def _daily_response_series(t):
-    return daily_response_series(shipments(t), "o_orderpriority", "o_orderdate", "l_shipdate")
+    series = daily_response_series(shipments(t), "o_orderpriority", "o_orderdate", "l_shipdate")
+    return series.withColumn("day", F.col("day").cast("string"))
 
 
 def _event_stream(t):

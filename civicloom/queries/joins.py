@@ -29,7 +29,7 @@ from civicloom.queries.registry import (
 def labeled_table(t):
     """Documents with earlier labels; one source has no ids."""
     return labeled_documents(t).select(
-        F.when(F.col("source") != "src0", F.col("doc_id")).alias("ticket_id"),
+        F.when(F.col("source") != "src0", F.col("doc_id").cast("string")).alias("ticket_id"),
         "source",
         "lang",
         "llm_label",
@@ -38,7 +38,7 @@ def labeled_table(t):
 
 
 LABELED_TABLE = f"""{LABELED_DOCUMENTS},
-    labeled_table AS (SELECT CASE WHEN source <> 'src0' THEN doc_id END AS ticket_id, source, lang,
+    labeled_table AS (SELECT CASE WHEN source <> 'src0' THEN CAST(doc_id AS VARCHAR) END AS ticket_id, source, lang,
                              llm_label, 'earlier ' || code AS llm_reasoning FROM complaints)
 """
 
@@ -46,12 +46,12 @@ LABELED_TABLE = f"""{LABELED_DOCUMENTS},
 def new_labels(t):
     """New labels: one for every English document, a second, later one for those in ``labels``."""
     first = t.documents.filter(F.col("lang") == "en").select(
-        F.col("doc_id").alias("ticket_id"),
+        F.col("doc_id").cast("string").alias("ticket_id"),
         F.lit("Sufficient").alias("llm_label"),
         F.lit("first").alias("llm_reasoning"),
         F.lit(1).alias("run"),
     )
-    second = first.join(t.labels, F.col("ticket_id") == F.col("doc_id")).select(
+    second = first.join(t.labels, F.col("ticket_id") == F.col("doc_id").cast("string")).select(
         "ticket_id",
         F.when(F.col("toxic") == 1, "API Error").otherwise("Not Sufficient").alias("llm_label"),
         F.lit("second").alias("llm_reasoning"),
@@ -61,12 +61,12 @@ def new_labels(t):
 
 
 NEW_LABELS = """
-    first_labels AS (SELECT doc_id AS ticket_id, 'Sufficient' AS llm_label,
+    first_labels AS (SELECT CAST(doc_id AS VARCHAR) AS ticket_id, 'Sufficient' AS llm_label,
                             'first' AS llm_reasoning, 1 AS run
                      FROM documents WHERE lang = 'en'),
     new_labels AS (SELECT * FROM first_labels UNION ALL
                    SELECT ticket_id, CASE WHEN toxic = 1 THEN 'API Error' ELSE 'Not Sufficient' END,
-                          'second', 2 FROM first_labels JOIN labels ON doc_id = ticket_id)
+                          'second', 2 FROM first_labels JOIN labels ON CAST(doc_id AS VARCHAR) = ticket_id)
 """
 
 
@@ -114,26 +114,34 @@ def _district_zero_fill(t):
 
 
 def two_key_stats(t):
-    """Orders of a nation under its English name, and, for open orders, under its Thai one. The
-    English name has a 0 where a nation's customers owe no money in total."""
-    named = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    in_english = named.groupBy(F.concat(F.lit("NATION_"), "c_nationkey").alias("name")).agg(
-        F.count_if(F.col("c_nationkey") > 4).alias("n")
+    """Orders of a nation under its English name, and open orders under its Thai one. Nations
+    of one region have no English name, those of another have a 0 there."""
+    named = (
+        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
+        .join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
+    )
+    in_english = (
+        named.filter(F.col("r_name") != "EUROPE")
+        .groupBy(F.col("n_name").alias("name"))
+        .agg(F.count_if(F.col("r_name") != "AFRICA").alias("n"))
     )
     in_thai = (
         named.filter(F.col("o_orderstatus") == "O")
-        .groupBy(F.col("c_nationkey").cast("string").alias("name"))
+        .groupBy(F.col("n_nationkey").cast("string").alias("name"))
         .agg(F.count("*").alias("n"))
     )
-    return in_english.filter("name <> 'NATION_7'").unionByName(in_thai)
+    return in_english.unionByName(in_thai)
 
 
 TWO_KEY_STATS = """
-    named AS (SELECT c_nationkey, o_orderstatus FROM orders JOIN customer ON c_custkey = o_custkey),
-    by_en AS (SELECT 'NATION_' || c_nationkey AS name, count(*) FILTER (c_nationkey > 4) AS n
-              FROM named WHERE c_nationkey <> 7 GROUP BY c_nationkey),
-    by_th AS (SELECT CAST(c_nationkey AS VARCHAR) AS name, count(*) AS n
-              FROM named WHERE o_orderstatus = 'O' GROUP BY c_nationkey)
+    named AS (SELECT n_nationkey, n_name, r_name, o_orderstatus
+              FROM orders JOIN customer ON c_custkey = o_custkey
+              JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
+    by_en AS (SELECT n_name AS name, count(*) FILTER (r_name <> 'AFRICA') AS n
+              FROM named WHERE r_name <> 'EUROPE' GROUP BY n_name),
+    by_th AS (SELECT CAST(n_nationkey AS VARCHAR) AS name, count(*) AS n
+              FROM named WHERE o_orderstatus = 'O' GROUP BY n_nationkey)
 """
 
 
@@ -190,7 +198,8 @@ def _translate_names(t):
                       CASE WHEN c_mktsegment <> 'MACHINERY' THEN 100.5::DOUBLE END AS longitude
                FROM customer))
        LEFT JOIN (SELECT n_name, n_nationkey + 0.25::DOUBLE AS lat, n_regionkey + 0.5::DOUBLE AS lon
-                  FROM nation WHERE n_regionkey <> 2) ON n_name = name""",
+                  FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name <> 'ASIA')
+         ON n_name = name""",
 )
 def _enrich_coordinates(t):
     rows = t.customer.select(
@@ -206,7 +215,8 @@ def _enrich_coordinates(t):
 
 def nation_gazetteer(t):
     """Nations with coordinates, but for one region."""
-    return t.nation.filter(F.col("n_regionkey") != 2).select(
+    placed = t.nation.join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
+    return placed.filter(F.col("r_name") != "ASIA").select(
         F.col("n_name").alias("name"),
         (F.col("n_nationkey") + F.lit(0.25)).cast("double").alias("latitude"),
         (F.col("n_regionkey") + F.lit(0.5)).cast("double").alias("longitude"),

@@ -47,11 +47,11 @@ ORDER_STRATA = """
 @query(
     "stratified_sample_exact",
     f"""WITH {DOCUMENT_STRATA}, {_sample_sql("sample", "strata", "doc_id", 120, 42)}
-        SELECT doc_id, CASE WHEN stratum <> 'MISSING' THEN CAST(stratum AS INTEGER) END AS quality
+        SELECT doc_id, CASE WHEN stratum <> 'MISSING' THEN stratum END AS quality
         FROM sample WHERE picked""",
 )
 def _stratified_sample_exact(t):
-    rows = labeled_documents(t).select("doc_id", F.col("quality").cast("int").alias("quality"))
+    rows = labeled_documents(t).select("doc_id", F.col("quality").cast("string").alias("quality"))
     return stratified_sample_exact(rows, 120, "quality", "doc_id", 42)
 
 

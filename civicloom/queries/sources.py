@@ -160,7 +160,7 @@ def _list_snapshots(t):
 def _load_labeled(t):
     rows = labeled_documents(t).select("doc_id", "text", F.col("lang").alias("province"), "llm_label")
     folder = fresh_path(t.spark, "shared")
-    export_range_csv(rows.limit(0), folder, START, START)
+    export_range_csv(rows.filter(F.col("lang") == "en"), folder, START, START)
     export_range_csv(rows, folder, START, END)
     return load_labeled(t.spark, rows.schema, folder, province="fr")
 

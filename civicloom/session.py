@@ -20,7 +20,7 @@ RUNTIME_SETTINGS = {
     # Python's JSON reader keeps the last of two equal keys; so must ours.
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Whole pages and texts travel to Python workers: keep an Arrow batch small.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 
@@ -77,3 +77,10 @@ def pin(df: DataFrame, purpose: str) -> DataFrame:
     path = fresh_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; call it when its frames are no
+    longer needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
