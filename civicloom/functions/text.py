@@ -68,8 +68,8 @@ def strip_code_fence(text: Column) -> Column:
 
 
 def present_flag(text: Column) -> Column:
-    """True if there is a text and it is not blank."""
-    return F.coalesce(F.length(strip_blanks(text)) > 0, F.lit(False))
+    """True if there is a text and it is not blank: the search ends at the first other character."""
+    return F.coalesce(text.rlike(f"[^{UNICODE_BLANKS}]"), F.lit(False))
 
 
 def star_text(star: Column) -> Column:

@@ -2,7 +2,7 @@
 
 Every aggregate is a partial and a final one, so a key that holds a third of all rows sends
 one row per task over the network. Totals and maxima over groups are scalar subqueries on the
-grouped table: no window over everything, and Spark reuses the grouping's shuffle.
+grouped table: no window pulls all groups into one task, and Spark reuses the grouping's shuffle.
 """
 
 from __future__ import annotations
@@ -12,11 +12,13 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicloom.functions.labels import severity
 from civicloom.functions.numbers import relative_bin
 from civicloom.operators.filters import has_coordinates, split_by_status
 from civicloom.schemas import FIFTH_BINS, KNOWN_LABELS, SEVERITY_WEIGHTS
+from civicloom.session import pin
 
 # Output column of each label the dashboard shows.
 LABEL_COLUMNS = {
@@ -27,25 +29,49 @@ LABEL_COLUMNS = {
 }
 
 
+def over_groups(groups: DataFrame, value: Column) -> Column:
+    """One value over a grouped table, such as a sum or a maximum, as a scalar subquery.
+
+    The subquery takes in every column of the groups: otherwise Catalyst would prune the ones
+    it does not need, the two groupings would differ, and the source would be read twice.
+    """
+    kept = [F.max(field.name).alias(field.name) for field in groups.schema if _is_plain(field)]
+    parts = F.struct(value.alias("value"), *kept)
+    return groups.agg(parts.alias("parts")).scalar()["value"]
+
+
+def _is_plain(field: T.StructField) -> bool:
+    return not isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+
+
+def largest(groups: DataFrame, value: str) -> Column:
+    """The largest value, 1 where there is none."""
+    return F.coalesce(over_groups(groups, F.max(value)), F.lit(1))
+
+
 def group_sizes(df: DataFrame, key: str, name: str = "n") -> DataFrame:
-    """Rows per key, the null key included, in no order."""
-    return df.groupBy(key).agg(F.count("*").alias(name))
+    """Rows per key in no order; null keys do not count."""
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(name))
 
 
 def count_by_key(df: DataFrame, key: str, name: str = "n") -> DataFrame:
     """Rows per key, largest first, ties by key; null keys do not count."""
-    return group_sizes(df.filter(F.col(key).isNotNull()), key, name).orderBy(F.desc(name), key)
+    return group_sizes(df, key, name).orderBy(F.desc(name), key)
 
 
-def with_share(sizes: DataFrame, key: str, name: str = "n") -> DataFrame:
-    """Adds each group's share in percent of all rows, then leaves the null key out."""
-    total = sizes.agg(F.sum(name)).scalar()
-    return sizes.withColumn("percentage", F.col(name) / total * 100).filter(F.col(key).isNotNull())
+def sizes_and_total(df: DataFrame, key: str, name: str = "n") -> tuple[DataFrame, Column]:
+    """``group_sizes``, and the number of all rows, those with a null key among them, out of
+    the same grouping. The null group is told by a count, not by the key: a filter on the key
+    would be pushed below the grouping, and the total would need a second one."""
+    sizes = df.groupBy(key).agg(F.count("*").alias(name), F.count(key).alias("_keyed"))
+    total = over_groups(sizes, F.sum(name))
+    return sizes.filter(F.col("_keyed") > 0).drop("_keyed"), total
 
 
 def count_with_share(df: DataFrame, key: str, name: str = "n") -> DataFrame:
-    """``count_by_key`` with the share of all rows, rows with a null key among them."""
-    return with_share(group_sizes(df, key, name), key, name).orderBy(F.desc(name), key)
+    """``count_by_key`` with the share in percent of all rows, rows with a null key among them."""
+    sizes, total = sizes_and_total(df, key, name)
+    return sizes.withColumn("percentage", F.col(name) / total * 100).orderBy(F.desc(name), key)
 
 
 def normalized_distribution(
@@ -54,7 +80,7 @@ def normalized_distribution(
     """Share of each stratum, null shown under its own name."""
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit(missing)).alias("stratum")
     sizes = df.groupBy(stratum).agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n")).scalar()
+    total = over_groups(sizes, F.sum("n"))
     return sizes.select("stratum", "n", (F.col("n") / total).alias(name))
 
 
@@ -117,31 +143,27 @@ def _breakdown(df: DataFrame, key: str, label_col: str) -> DataFrame:
     return labeled.groupBy(key).agg(*counts, F.count("*").alias("total"))
 
 
-def _severity_of(counted: DataFrame, only_with_not_sufficient: bool) -> Column:
-    score = severity({label: F.col(LABEL_COLUMNS[label]) for label in SEVERITY_WEIGHTS})
-    if not only_with_not_sufficient:
-        return score
-    any_not_sufficient = counted.agg(F.max("not_sufficient")).scalar()
-    return F.when(any_not_sufficient > 0, score).otherwise(F.lit(0.0))
-
-
-def severity_score(
+def classification_breakdown(
     df: DataFrame, key: str, label_col: str, only_with_not_sufficient: bool = False
 ) -> DataFrame:
-    """Weighted label counts per key. With ``only_with_not_sufficient`` every score is 0 as
-    long as no row anywhere has that label."""
+    """The four shown labels, the number of all labels, and the severity per key: the weighted
+    sum of its label counts. With ``only_with_not_sufficient`` every severity is 0 as long as no
+    row anywhere has that label."""
     counted = _breakdown(df, key, label_col)
-    score = _severity_of(counted, only_with_not_sufficient)
-    return counted.select(key, score.alias("severity_score"))
+    score = severity({label: F.col(LABEL_COLUMNS[label]) for label in SEVERITY_WEIGHTS})
+    if only_with_not_sufficient:
+        counted = pin(counted, "breakdown")
+        any_not_sufficient = counted.agg(F.max("not_sufficient")).scalar()
+        score = F.when(any_not_sufficient > 0, score).otherwise(F.lit(0.0))
+    return counted.withColumn("severity_score", score)
 
 
-def classification_breakdown(
+def severity_score(
     df: DataFrame, key: str, label_col: str, only_with_not_sufficient: bool = False
 ) -> DataFrame:
-    """The four shown labels, the number of all labels, and the severity per key."""
-    counted = _breakdown(df, key, label_col)
-    score = _severity_of(counted, only_with_not_sufficient)
-    return counted.withColumn("severity_score", score)
+    """The severity alone."""
+    breakdown = classification_breakdown(df, key, label_col, only_with_not_sufficient)
+    return breakdown.select(key, "severity_score")
 
 
 def overall_label_stats(df: DataFrame, label_col: str) -> DataFrame:
@@ -187,8 +209,7 @@ def relative_bins(
 ) -> DataFrame:
     """Adds the bin of each value relative to the largest one; 1 stands in for the largest
     where there are no values."""
-    largest = F.coalesce(df.agg(F.max(value)).scalar(), F.lit(1))
-    return df.withColumn(name, relative_bin(F.col(value), largest, cuts))
+    return df.withColumn(name, relative_bin(F.col(value), largest(df, value), cuts))
 
 
 def coverage_counts(

@@ -3,7 +3,7 @@
 Members are the first rows of a stratum by ``md5(id|seed)``. The hash is uniform, so its first
 digits cut every stratum, a hot one too, into equal buckets. One aggregate counts the buckets;
 running sums over the counts say how many rows each bucket gives; and only rows of buckets
-that give any are ranked, bucket by bucket.
+that give any are shuffled and ranked, bucket by bucket.
 """
 
 from __future__ import annotations
@@ -16,13 +16,13 @@ from civicloom.session import pin
 
 PREFIX_DIGITS = 4  # 65,536 buckets per stratum
 
-_STRATUM, _HASH, _PREFIX, _SIZE, _TAKE, _RANK = (
-    "_stratum", "_hash", "_prefix", "_size", "_take", "_rank",
+_STRATUM, _HASH, _PREFIX, _SIZE, _NO_ID, _TAKE, _RANK = (
+    "_stratum", "_hash", "_prefix", "_size", "_no_id", "_take", "_rank",
 )
 
 
 def sample_hash(id_col: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")))
+    return F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(seed))))
 
 
 def _hashed(df: DataFrame, id_col: str, stratum_col: str, seed: int, missing: str) -> DataFrame:
@@ -33,15 +33,16 @@ def _hashed(df: DataFrame, id_col: str, stratum_col: str, seed: int, missing: st
     )
 
 
-def _check(buckets: DataFrame, sizes: DataFrame, n: int) -> None:
+def _check(sizes: DataFrame, n: int) -> None:
     """The rejections of a stratified split into ``n`` rows and the rest."""
-    if buckets.filter(F.col(_PREFIX).isNull()).limit(1).count():
-        raise ValueError("there are rows without an id")
     facts = sizes.agg(
         F.coalesce(F.sum(_SIZE), F.lit(0)).alias("rows"),
         F.count("*").alias("strata"),
         F.min(_SIZE).alias("smallest"),
+        F.sum(_NO_ID).alias("without_id"),
     ).first()
+    if facts["without_id"]:
+        raise ValueError(f"{facts['without_id']} rows have no id")
     if n < 1 or n >= facts["rows"]:
         raise ValueError(f"cannot draw {n} of {facts['rows']} rows and leave a rest")
     if facts["smallest"] < 2:
@@ -71,9 +72,14 @@ def _ranked(
     df: DataFrame, n: int, stratum_col: str, id_col: str, seed: int, missing: str, all_rows: bool
 ) -> DataFrame:
     hashed = _hashed(df, id_col, stratum_col, seed, missing)
-    buckets = pin(hashed.groupBy(_STRATUM, _PREFIX).agg(F.count("*").alias(_SIZE)), "buckets")
-    sizes = buckets.groupBy(_STRATUM).agg(F.sum(_SIZE).alias(_SIZE))
-    _check(buckets, sizes, n)
+    counted = hashed.groupBy(_STRATUM, _PREFIX).agg(
+        F.count("*").alias(_SIZE), F.count_if(F.col(id_col).isNull()).alias(_NO_ID)
+    )
+    buckets = pin(counted, "buckets")
+    sizes = buckets.groupBy(_STRATUM).agg(
+        F.sum(_SIZE).alias(_SIZE), F.sum(_NO_ID).alias(_NO_ID)
+    )
+    _check(sizes, n)
     earlier = (
         Window.partitionBy(_STRATUM).orderBy(_PREFIX).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -84,10 +90,10 @@ def _ranked(
     )
     if not all_rows:
         taken = taken.filter(F.col(_TAKE) > 0)
-    # The written bucket counts have a known size: Catalyst broadcasts them if they are small
-    # and else joins on stratum and prefix, which no hot stratum can crowd.
+    # The written buckets have a known size: Catalyst broadcasts them if they are small and else
+    # joins on stratum and prefix, which no hot stratum can crowd.
     in_bucket = Window.partitionBy(_STRATUM, _PREFIX).orderBy(_HASH, id_col)
-    return hashed.join(taken, [_STRATUM, _PREFIX]).withColumn(
+    return hashed.join(pin(taken, "taken"), [_STRATUM, _PREFIX]).withColumn(
         _RANK, F.row_number().over(in_bucket)
     )
 

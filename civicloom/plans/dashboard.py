@@ -11,14 +11,12 @@ from civicloom.functions.numbers import percent_1dp, relative_bin
 from civicloom.operators.aggregate import (
     classification_breakdown,
     group_sizes,
+    largest,
     last_wins_dedupe,
 )
 from civicloom.operators.join import district_two_key_lookup, district_zero_fill
 from civicloom.schemas import FIFTH_BINS, QUARTER_BINS
-
-
-def _largest(df: DataFrame, value: str):
-    return F.coalesce(df.agg(F.max(value)).scalar(), F.lit(1))
+from civicloom.session import pin
 
 
 def incidents_by_district(
@@ -26,13 +24,11 @@ def incidents_by_district(
 ) -> DataFrame:
     """Incidents under the English name or, where that gives 0, the Thai one, and their bin
     against the largest count of all incidents."""
-    counts = group_sizes(
-        incidents.filter(F.col(district_col).isNotNull()), district_col, "incidents"
-    )
+    counts = group_sizes(incidents, district_col, "incidents")
     matched = district_two_key_lookup(
         districts, counts, district_col, ["incidents"], zero_falls_through=True
     )
-    bins = relative_bin(F.col("incidents"), _largest(counts, "incidents"), QUARTER_BINS)
+    bins = relative_bin(F.col("incidents"), largest(counts, "incidents"), QUARTER_BINS)
     return matched.withColumn("bin", bins)
 
 
@@ -54,25 +50,26 @@ def population_by_district(
     matched = district_two_key_lookup(
         districts, unique, district_col, ["total", "male", "female"]
     )
-    bins = relative_bin(F.col("total"), _largest(population, "TOTAL"), QUARTER_BINS)
+    bins = relative_bin(F.col("total"), largest(population, "TOTAL"), QUARTER_BINS)
     return matched.withColumn("bin", bins)
 
 
 def issues_by_district(
     districts: DataFrame, complaints: DataFrame, district_col: str, name_col: str = "amp_th"
 ) -> DataFrame:
-    """Complaints per district, their share of all complaints, and the bin."""
-    sizes = group_sizes(complaints, district_col, "total_issues")
-    total = sizes.agg(F.sum("total_issues")).scalar()
-    known = sizes.filter(F.col(district_col).isNotNull())
-    filled = district_zero_fill(districts, known, name_col, district_col, ["total_issues"])
+    """Complaints per district, their share of all complaints, and the bin. The counts, needed
+    for three different ends, are written once."""
+    counts = pin(complaints.groupBy(district_col).agg(F.count("*").alias("total_issues")), "counts")
+    total = counts.agg(F.sum("total_issues")).scalar()
+    sizes = counts.filter(F.col(district_col).isNotNull())
+    filled = district_zero_fill(districts, sizes, name_col, district_col, ["total_issues"])
     share = F.coalesce(F.col("total_issues") / total * 100, F.lit(0.0))
     return filled.withColumns(
         {
             "percentage": share,
             "percentage_text": percent_1dp(share),
             "bin": relative_bin(
-                F.col("total_issues"), _largest(known, "total_issues"), FIFTH_BINS
+                F.col("total_issues"), largest(sizes, "total_issues"), FIFTH_BINS
             ),
         }
     )
@@ -92,5 +89,5 @@ def classification_by_district(
     )
     values = [name for name in counted.columns if name != district_col]
     filled = district_zero_fill(districts, counted, name_col, district_col, values)
-    bins = relative_bin(F.col("severity_score"), _largest(counted, "severity_score"), FIFTH_BINS)
+    bins = relative_bin(F.col("severity_score"), largest(counted, "severity_score"), FIFTH_BINS)
     return filled.withColumn("bin", bins)

@@ -233,7 +233,7 @@ def _bin_sql(value: str, cuts: tuple[float, ...]) -> str:
                {_bin_sql("n", (0.2, 0.4, 0.6, 0.8))} AS fifth_bin FROM sizes""",
 )
 def _relative_bins(t):
-    sizes = group_sizes(incidents(t).dropna(subset=["district"]), "district")
+    sizes = group_sizes(incidents(t), "district")
     return relative_bins(relative_bins(sizes, "n", QUARTER_BINS, "quarter_bin"), "n", name="fifth_bin")
 
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from civicloom.functions.numbers import relative_bin
-from civicloom.operators.aggregate import classification_breakdown
+from civicloom.operators.aggregate import classification_breakdown, relative_bins
 from civicloom.plans.dashboard import (
     classification_by_district,
     incidents_by_district,
@@ -45,9 +44,8 @@ def _bins_against(value: str, largest: str, cuts: tuple[float, ...]) -> str:
 def severity_ranking(t):
     """Sources by severity of their complaints: label join, breakdown, score, bin, order."""
     counted = classification_breakdown(labeled_documents(t), "source", "llm_label")
-    largest = F.coalesce(counted.agg(F.max("severity_score")).scalar(), F.lit(1))
-    bins = relative_bin(F.col("severity_score"), largest, FIFTH_BINS)
-    return counted.withColumn("bin", bins).orderBy(F.desc("severity_score"), "source")
+    binned = relative_bins(counted, "severity_score", FIFTH_BINS)
+    return binned.orderBy(F.desc("severity_score"), "source")
 
 
 @query(

@@ -235,7 +235,7 @@ def _attach_feature_stats(t):
         F.struct(F.lit("Point").alias("type"), F.array(F.col("amp_th").cast("int"), F.lit(13)).alias("coordinates"))
     )
     features = nation_districts(t).withColumn("geometry", point)
-    sizes = group_sizes(incidents(t).dropna(subset=["district"]), "district", "incidents")
+    sizes = group_sizes(incidents(t), "district", "incidents")
     filled = district_zero_fill(features, sizes, "amp_en", "district", ["incidents"])
     built = attach_feature_stats(filled, ["incidents"])
     return built.select(

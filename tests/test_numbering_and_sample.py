@@ -77,6 +77,12 @@ def test_sample_rejects(strata, n):
         stratified_sample_exact(strata, n, "star", "id")
 
 
+def test_sample_rejects_rows_without_id(strata):
+    unnamed = strata.withColumn("id", F.when(F.col("id") > 9, F.col("id")))
+    with pytest.raises(ValueError, match="no id"):
+        stratified_sample_exact(unnamed, 100, "star", "id")
+
+
 def test_sample_rejects_single_row_stratum(strata):
     lonely = strata.withColumn("star", F.when(F.col("id") == 5, "alone").otherwise(F.col("star")))
     with pytest.raises(ValueError, match="fewer than two"):

@@ -33,7 +33,23 @@ def test_time_range_reaches_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in text
 
 
-def test_share_reads_the_table_once(spark):
-    df = entry.queries()["normalized_distribution"](spark, FOLDER)
+@pytest.mark.parametrize(
+    "name, table, scans",
+    [
+        ("normalized_distribution", "documents", 1),
+        ("count_with_share", "orders", 1),
+        ("relative_bins", "orders", 1),
+        ("incidents_by_district", "orders", 1),
+        ("classification_by_district", "documents", 2),
+        ("severity_ranking", "documents", 1),
+    ],
+)
+def test_table_is_read_once(spark, name, table, scans):
+    df = entry.queries()[name](spark, FOLDER)
     df.collect()
-    assert "ReusedExchange" in plan(df)
+    final = plan(df)
+    # A stage whose exchange is reused is printed once, where it ran.
+    ran = [part.split("== Initial Plan ==")[0] for part in final.split("== Final Plan ==")[1:]]
+    text = "".join(ran)
+    assert "ReusedExchange" in text
+    assert text.count(f"{table}.parquet") <= scans
