@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from civicloom.functions.text import clean_text, parse_timestamp
 from civicloom.operators.aggregate import null_profile
+from civicloom.session import spread
 from civicloom.sources.snapshots import read_snapshot, write_snapshot
 from civicloom.sources.tables import read_complaints_csv
 
@@ -24,7 +25,7 @@ def load_complaints(
     """Read, clean the text, type the time, write the next snapshot, and return it. With
     ``day_col`` the snapshot is partitioned by the day, so that range queries open only the
     days they need."""
-    raw = read_complaints_csv(spark, csv_path, schema)
+    raw = spread(read_complaints_csv(spark, csv_path, schema))
     cleaned = raw.withColumns(
         {text_col: clean_text(F.col(text_col)), ts_col: parse_timestamp(F.col(ts_col))}
     )

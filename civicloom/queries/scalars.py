@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from civicloom.functions.labels import label_description
 from civicloom.functions.numbers import percent_1dp, thousands
 from civicloom.functions.text import (
-    OTHER_PATTERN,
     SYMBOL_PATTERN,
+    THAI_RANGE,
     UNICODE_BLANKS,
     URL_PATTERN,
     clean_text,
@@ -19,12 +19,14 @@ from civicloom.functions.text import (
     strip_code_fence,
 )
 from civicloom.queries.registry import LABELED_DOCUMENTS, labeled_documents, query
+from civicloom.session import spread
 
 TAIL = " see http://a.b/c?d now ไฟ🔥ดับ ab中cd café! www.x.y ☎ www."
 
 
 def clean_sql(text: str) -> str:
-    for pattern, other in ((URL_PATTERN, ""), (SYMBOL_PATTERN, ""), (OTHER_PATTERN, " ")):
+    others = f"[^a-zA-Z0-9{THAI_RANGE}]+"
+    for pattern, other in ((URL_PATTERN, ""), (SYMBOL_PATTERN, ""), (others, " ")):
         text = f"regexp_replace({text}, '{pattern}', '{other}', 'g')"
     return f"trim({text})"
 
@@ -34,7 +36,7 @@ def clean_sql(text: str) -> str:
     f"SELECT doc_id, {clean_sql(f"text || '{TAIL}'")} AS cleaned FROM documents",
 )
 def _clean_text(t):
-    return t.documents.select(
+    return spread(t.documents.select("doc_id", "text")).select(
         "doc_id", clean_text(F.concat("text", F.lit(TAIL))).alias("cleaned")
     )
 

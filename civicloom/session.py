@@ -79,6 +79,21 @@ def pin(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small table out to all cores before a costly step; leave a large one alone.
+
+    Small means too small to give every core a split of its own, such as one file with one row
+    group. Larger tables are split by the scan, and moving them would cost more than it gains.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split else df
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder; call it when its frames are no
     longer needed."""

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from civicloom.functions.text import mentions_any
+from civicloom.session import spread
 
 # Elements that never have an end tag, and those whose content is not text.
 VOID_TAGS = frozenset(
@@ -34,6 +35,8 @@ class _TableReader(HTMLParser):
         return [held for _, its_role, held in self.open if its_role == role]
 
     def flush(self) -> None:
+        if not self.pieces:
+            return
         text = "".join(self.pieces).strip()
         self.pieces.clear()
         if text and not any(tag in HIDDEN_TAGS for tag, _, _ in self.open):
@@ -104,7 +107,7 @@ def extract_html_rows(
     """``(page_id, table_idx, row_idx, by_class, cells)`` of every row that has cells.
 
     Where a page has tables of ``table_class`` only those count. Pages without the table tag
-    are dropped on the JVM; the rest is read page by page in Arrow batches, with no shuffle.
+    are dropped on the JVM; the rest is read page by page in Arrow batches.
     """
     schema = T.StructType(
         [
@@ -128,7 +131,7 @@ def extract_html_rows(
             yield pd.DataFrame(rows, columns=names)
 
     holds_table = F.lower(html_col).contains(f"<{table_tag}")
-    return pages.select(id_col, html_col).filter(holds_table).mapInPandas(read, schema)
+    return spread(pages.select(id_col, html_col).filter(holds_table)).mapInPandas(read, schema)
 
 
 def _positions(cells: Column, test) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicloom.session import spread
+
 FEATURE_COLLECTION = (
     "features array<struct<properties: struct<amp_en: string, amp_th: string>, geometry: string>>"
 )
@@ -48,12 +50,13 @@ def read_api_envelope(
     )
     parsed: Column = F.from_json(F.col(body_col), envelope)
     return (
-        bodies.select(parsed.alias("e"))
-        .filter("e.success")
+        spread(bodies.select(body_col))
+        .select(parsed.alias("e"))
         .select(
             F.col("e.result.total").alias("total"),
             F.size("e.result.records").cast("bigint").alias("fetched"),
-            F.explode("e.result.records").alias("r"),
+            # A filter on ``success`` would be pushed down and read the body a second time.
+            F.explode(F.when(F.col("e.success"), F.col("e.result.records"))).alias("r"),
         )
         .select("r.*", "total", "fetched")
     )
