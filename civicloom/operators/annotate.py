@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicloom.functions.answers import answer_for, read_answers
+from civicloom.functions.answers import ITEM_TYPE, answer_for, read_answers
 from civicloom.functions.labels import label_description
 from civicloom.functions.text import present_flag, star_text
 from civicloom.operators.filters import filter_has_evidence, has_coordinates, split_by_status
@@ -108,8 +108,11 @@ def call_per_batch(requests: DataFrame, fn: Callable[[str], str]) -> DataFrame:
 def parse_answers(answers: DataFrame, answer_col: str = "answer") -> DataFrame:
     """Usable entries of each batch's answer: ``(batch_num, id, code, reasoning)``. Of several
     entries with one id the last counts. Answers that fail as a whole give no rows."""
+    # Exploding the bare column would make Catalyst filter on its size below, reading each answer
+    # over again.
     items = read_answers(answers.select("batch_num", answer_col), answer_col).select(
-        "batch_num", F.posexplode("items").alias("place", "item")
+        "batch_num",
+        F.posexplode(F.coalesce("items", F.array().cast(ITEM_TYPE))).alias("place", "item"),
     )
     last = F.max_by(F.struct("item.code", "item.reasoning"), "place")
     return (
