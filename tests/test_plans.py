@@ -3,10 +3,14 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from civicloom.operators.filters import filter_time_range
+from civicloom.operators.join import merge_labels_upsert
 from civicloom.queries.registry import Tables
+from civicloom.session import spread
+from civicloom.sources.snapshots import read_snapshot, write_snapshot
 
 FOLDER = "/root/testdata/sf0.001"
 WITH_PYTHON = {"annotate", "extract_contacts", "extract_hospital_contacts", "extract_html_rows",
@@ -53,3 +57,46 @@ def test_table_is_read_once(spark, name, table, scans):
     text = "".join(ran)
     assert "ReusedExchange" in text
     assert text.count(f"{table}.parquet") <= scans
+
+
+def test_range_on_a_table_partitioned_by_day(spark, folder):
+    events = Tables(spark, FOLDER).events
+    write_snapshot(events.withColumn("day", F.to_date("ts")), folder, ("day",))
+    table = read_snapshot(spark, folder)
+    bounds = datetime(2024, 1, 2, 6), datetime(2024, 1, 3)
+    chosen = filter_time_range(table, *bounds, "ts", "day")
+    text = plan(chosen)
+    assert "PartitionFilters: [isnotnull(day" in text and "day" in text
+    assert chosen.count() == filter_time_range(events, *bounds, "ts").count() > 0
+
+
+def test_small_tables_are_spread_and_large_ones_left_alone(spark):
+    pages = Tables(spark, FOLDER).pages
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(pages).rdd.getNumPartitions() == cores
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert "Exchange" not in plan(spread(pages))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_labels_small_by_size_are_broadcast_without_a_shuffle_of_the_table(spark, folder):
+    spark.range(50_000).select(
+        F.col("id").cast("string").alias("ticket_id"), F.lit("x").alias("comment")
+    ).write.parquet(folder)
+    table = spark.read.parquet(folder)
+    labels = table.limit(10).select(
+        "ticket_id",
+        F.lit("Sufficient").alias("llm_label"),
+        F.lit("r").alias("llm_reasoning"),
+        F.lit(1).alias("place"),
+    )
+    assert "Exchange hashpartitioning" not in plan(merge_labels_upsert(table, labels, ["place"]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        assert "SortMergeJoin" in plan(merge_labels_upsert(table, labels, ["place"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
