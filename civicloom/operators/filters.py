@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from civicloom.functions.labels import label_status
 from civicloom.operators.numbering import number_rows
+from civicloom.session import pin
 
 
 def require_columns(df: DataFrame, *names: str) -> None:
@@ -102,10 +103,11 @@ def filter_known_districts(
     th_col: str = "amp_th",
     en_col: str = "amp_en",
 ) -> DataFrame:
-    """Rows whose Thai or English name is a known one. The names are made distinct first, so
-    the two look-ups never multiply rows."""
-    known_th = districts.select(th_col).dropna().distinct()
-    known_en = districts.select(en_col).dropna().distinct()
+    """Rows whose Thai or English name is a known one. The names are made distinct and written
+    first, so that the look-ups never multiply rows, and a long list is joined from a scan, where
+    adaptive execution can split the rows of a hot name."""
+    known_th = pin(districts.select(th_col).dropna().distinct(), "known")
+    known_en = pin(districts.select(en_col).dropna().distinct(), "known")
     marked = df.join(known_th.withColumn("_th", F.lit(True)), th_col, "left").join(
         known_en.withColumn("_en", F.lit(True)), en_col, "left"
     )
