@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from civicloom import queries as bound
 from tests.oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = bound.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +16,12 @@ def con():
 
 
 def test_every_query_has_its_twin():
-    assert sorted(SQL) == sorted(entry.queries())
+    assert sorted(SQL) == sorted(bound.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(bound.queries()))
 def test_query(spark, con, name):
-    assert compare(entry.queries()[name](spark, FOLDER), con, SQL[name]) == []
+    assert compare(bound.queries()[name](spark, FOLDER), con, SQL[name]) == []
 
 
 def test_entry(spark):
