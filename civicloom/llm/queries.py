@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.llm import packing, token_files, tokens
+from civicloom.llm import mixing, packing, token_files, tokens
 from civicloom.session import fresh_path, pin, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,15 @@ def op9(spark, folder):
     token_files.write_token_files(encoded, path)
     read = token_files.read_token_files(spark, path)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+MIX_WEIGHTS = (5.0, 2.0, 1.0)
+MAX_REPEATS = 3.0
+MIX_SEED = 5
+
+
+@query("op5_mixing")
+def op5(spark, folder):
+    docs = table(spark, folder, "documents")
+    return mixing.mixture(docs, MIX_WEIGHTS, MAX_REPEATS, MIX_SEED).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies")
