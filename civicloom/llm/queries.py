@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.llm import mixing, packing, token_files, tokens
+from civicloom.llm import minhash, mixing, packing, token_files, tokens
 from civicloom.session import fresh_path, pin, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,8 @@ def op5(spark, folder):
     docs = table(spark, folder, "documents")
     return mixing.mixture(docs, MIX_WEIGHTS, MAX_REPEATS, MIX_SEED).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query("op7_bbit_minhash")
+def op7(spark, folder):
+    return minhash.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
