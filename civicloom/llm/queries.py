@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.llm import minhash, mixing, packing, token_files, tokens
+from civicloom.llm import language, minhash, mixing, packing, token_files, tokens
 from civicloom.session import fresh_path, pin, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,16 @@ def op5(spark, folder):
 @query("op7_bbit_minhash")
 def op7(spark, folder):
     return minhash.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+
+
+def held_out() -> Column:
+    """Documents that no classifier learns from; those without an id among them."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
+
+
+@query("op10_language_id")
+def op10(spark, folder):
+    docs = table(spark, folder, "documents")
+    learned = language.learn(docs.where(~held_out()))
+    found = language.identify(docs.select("doc_id", "text"), learned)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages")
