@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.llm import language, minhash, mixing, packing, token_files, tokens
+from civicloom.llm import language, lines, minhash, mixing, packing, token_files, tokens
 from civicloom.session import fresh_path, pin, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,12 @@ def op10(spark, folder):
     learned = language.learn(docs.where(~held_out()))
     found = language.identify(docs.select("doc_id", "text"), learned)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages")
+
+
+LINE_EDITS = 2
+LINE_MIN_CHARS = 20
+
+
+@query("op3_line_dedup")
+def op3(spark, folder):
+    return lines.line_report(table(spark, folder, "documents"), edits=LINE_EDITS, min_chars=LINE_MIN_CHARS)
