@@ -12,6 +12,8 @@ import civicloom
 
 _OWN_FOLDERS: dict[str, str] = {}
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Settings the operators rely on; all of them can be changed on a live session.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -74,9 +76,19 @@ def pin(df: DataFrame, purpose: str) -> DataFrame:
     another result, where the work is not repeatable), and gives Catalyst the true size:
     it then broadcasts the table only if it is below ``autoBroadcastJoinThreshold``.
     """
-    path = fresh_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = fresh_path(spark, purpose)
+    asked = spark.conf.get(_DROP_SHUFFLES, None)
+    # Nobody else reads the shuffles of this write: let their files go with it.
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if asked is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, asked)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
