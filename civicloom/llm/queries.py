@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.llm import language, lines, minhash, mixing, packing, token_files, tokens
+from civicloom.llm import html, language, lines, minhash, mixing, packing, token_files, tokens
 from civicloom.session import fresh_path, pin, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,9 @@ LINE_MIN_CHARS = 20
 @query("op3_line_dedup")
 def op3(spark, folder):
     return lines.line_report(table(spark, folder, "documents"), edits=LINE_EDITS, min_chars=LINE_MIN_CHARS)
+
+
+@query("op8_html_line_blocks")
+def op8(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html.extract_main_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
