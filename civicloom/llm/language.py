@@ -189,14 +189,13 @@ def identify(docs: DataFrame, languages: Languages, *, text_col: str = "text") -
     """``docs`` with ``lang_pred``, ``score`` (0 to 1), ``languages`` and ``proportions``.
 
     Only the text decides. A null text, or one without a letter, is ``und`` with score 0 and no
-    languages, and so is everything if no language was learned. Whole texts; no shuffle.
+    languages, and so is everything if no language was learned. Columns of those names in
+    ``docs`` are replaced. Whole texts; no shuffle.
     """
     model = docs.sparkSession.sparkContext.broadcast((languages.names, languages.likelihood))
-    names = [f"`{c}`" for c in docs.columns]
-    plain = docs.select(*names, F.col(f"`{text_col}`").alias("_text"))
     added = ["lang_pred", "score", "languages", "proportions"]
-    if clash := set(added) & set(docs.columns):
-        raise ValueError(f"rename {sorted(clash)} first")
+    kept = [c for c in docs.columns if c not in added]
+    plain = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text"))
 
     def run(batches):
         learned = Languages(*model.value)
@@ -205,8 +204,8 @@ def identify(docs: DataFrame, languages: Languages, *, text_col: str = "text") -
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(best, pa.string()), pa.array(scores, pa.float64()),
                  pa.array(sets, pa.list_(pa.string())), pa.array(shares, pa.list_(pa.float64()))],
-                names=[*batch.schema.names[:-1], *added])
+                names=[*kept, *added])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     return plain.mapInArrow(
         run, f"{schema}, lang_pred string, score double, languages array<string>, proportions array<double>")

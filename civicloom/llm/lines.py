@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicloom.llm.names import numbered
 from civicloom.session import pin
 
 # Letters whose counts' parities are compared; any letters are right, frequent ones tell more.
@@ -210,16 +211,18 @@ def drop_repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int = 20,
                         text_col: str = "text") -> DataFrame:
     """``docs`` without the lines that go (see ``repeated_lines``), in the same columns. A
     document of which no character but white space is left goes too, unless it lost no line."""
-    removed = repeated_lines(docs, edits=edits, min_chars=min_chars, id_col=id_col, text_col=text_col)
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    text = F.col(text_col)
+    rows, name = numbered(docs)
+    own_id, own_text = name[id_col], name[text_col]
+    removed = repeated_lines(rows, edits=edits, min_chars=min_chars, id_col=own_id, text_col=own_text)
+    text = F.col(own_text)
     kept = F.expr("array_join(filter(_lines, (line, k) -> not array_contains(_removed, k)), '\\n')")
     joined = (
-        docs.withColumn("_row", F.xxhash64(F.col(id_col), text))
+        rows.withColumn("_row", F.xxhash64(own_id, own_text))
         .join(removed.select("_row", F.col("_id").alias("_removed_id"), F.col("removed").alias("_removed")),
               ["_row"], "left")
-        .where(F.col("_removed").isNull() | F.col("_removed_id").eqNullSafe(F.col(id_col)))
+        .where(F.col("_removed").isNull() | F.col("_removed_id").eqNullSafe(F.col(own_id)))
         .withColumn("_lines", F.split(text, "\n", -1))
-        .withColumn(text_col, F.when(F.col("_removed").isNull(), text).otherwise(kept))
+        .withColumn(own_text, F.when(F.col("_removed").isNull(), text).otherwise(kept))
     )
-    return joined.where(F.col("_removed").isNull() | F.col(text_col).rlike(r"\S")).select(*names)
+    left = joined.where(F.col("_removed").isNull() | F.col(own_text).rlike(r"\S"))
+    return left.select(*rows.columns).toDF(*docs.columns)

@@ -103,8 +103,9 @@ def minima(shingles: np.ndarray, functions: tuple[np.ndarray, np.ndarray]) -> np
 
 
 def _packed(least: np.ndarray) -> bytes:
-    """The low bits of mixed minima, 16 to a word."""
-    low = (_mixed(least) & np.uint64((1 << LOW_BITS) - 1)).astype(np.uint8)
+    """The low bits of mixed minima, 16 to a word; the last word is filled up with zeros."""
+    low = np.zeros(-(-len(least) // 16) * 16, dtype=np.uint8)
+    low[:len(least)] = _mixed(least) & np.uint64((1 << LOW_BITS) - 1)
     return (low[0::2] | low[1::2] << LOW_BITS).tobytes()
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicloom.llm.names import numbered
 from civicloom.session import pin
 
 # Documents that meet in one group, on average at the leaves and at most further up. Within a
@@ -192,13 +193,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...], max_repeats: float, seed: i
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixed documents: the rows of ``docs``, each as often as it is taken. Documents without
     words stay once: they have no part in any target."""
-    rows = docs.select(
-        "*",
-        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("_key"),
-        F.hash(F.lit(1), *[F.col(f"`{c}`") for c in docs.columns]).alias("_check"),
-    )
-    units = rows.select("_key", "_check", F.col(source_col).alias("_source"),
-                        word_count(F.col(text_col)).alias("_size"))
+    plain, name = numbered(docs)
+    rows = plain.select(
+        "*", F.xxhash64(*plain.columns).alias("_key"), F.hash(F.lit(1), *plain.columns).alias("_check"))
+    units = rows.select("_key", "_check", F.col(name[source_col]).alias("_source"),
+                        word_count(F.col(name[text_col])).alias("_size"))
     drawn = draw(units, weights, max_repeats, seed, keys=["_key", "_check"], source_col="_source",
                  size_col="_size")
     copies = drawn.select(
@@ -208,5 +207,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...], max_repeats: float, seed: i
     return (
         rows.dropDuplicates(["_key", "_check"]).join(copies, ["_key", "_check"])
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        .select(*plain.columns).toDF(*docs.columns)
     )

@@ -3,14 +3,61 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from civicloom.llm import queries
+from civicloom.llm import language, lines, minhash, mixing, queries
+from civicloom.llm.names import numbered
 from civicloom.session import pin, prepare
 
+# A document of which no language holds this share is rejected.
+LEAST_SCORE = 0.5
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages learned from the labelled ones. Null texts, texts without
+    a letter and even mixtures of three languages go."""
+    plain, name = numbered(docs)
+    learned = language.learn(docs.where(~queries.held_out()))
+    found = language.identify(plain, learned, text_col=name["text"])
+    accepted = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    return found.where(accepted).select(*plain.columns).toDF(*docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand, give or take two characters, in an earlier place;
+    ``n_chars`` follows the text."""
+    left = lines.drop_repeated_lines(docs, edits=queries.LINE_EDITS, min_chars=queries.LINE_MIN_CHARS)
+    kind = docs.schema["n_chars"].dataType
+    return left.withColumn("n_chars", F.coalesce(F.char_length("text").cast(kind), "n_chars"))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by similar word shingles, the one with the smallest id.
+    Rows that agree in id and text are one document; which of their other columns stay is open."""
+    found = minhash.near_duplicates(docs, words=5, percent=80)
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them."""
+    return mixing.mix(docs, queries.MIX_WEIGHTS, queries.MAX_REPEATS, queries.MIX_SEED)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their sequences and offsets."""
+    return queries.packed(docs)
+
+
 STAGES = [
-    ("packing", lambda spark, docs, sf_dir: queries.packed(docs)),
+    ("language", identified),
+    ("lines", without_repeated_lines),
+    ("near_copies", without_near_copies),
+    ("mixture", mixed),
+    ("packing", packed),
 ]
 
+# Mixtures of n-gram models have no SQL form; tests compare the stages with plain Python.
 ORACLE_SQL = None
 
 
