@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.llm import html, language, lines, minhash, mixing, packing, token_files, tokens
+from civicloom.llm import html, language, lines, minhash, mixing, neardup_vectors, packing, token_files, tokens
 from civicloom.session import fresh_path, pin, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,8 @@ def op3(spark, folder):
 def op8(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return html.extract_main_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query("op2_cross_polytope_dedup")
+def op2(spark, folder):
+    return neardup_vectors.near_duplicate_vectors(table(spark, folder, "embeddings"), least=0.93)
