@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.llm import html, language, lines, minhash, mixing, neardup_vectors, packing, token_files, tokens
+from civicloom.llm import html, language, lines, minhash, mixing, neardup_vectors, neighbours, packing, token_files, tokens
 from civicloom.session import fresh_path, pin, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +131,13 @@ def op8(spark, folder):
 @query("op2_cross_polytope_dedup")
 def op2(spark, folder):
     return neardup_vectors.near_duplicate_vectors(table(spark, folder, "embeddings"), least=0.93)
+
+
+NEAREST = 5
+
+
+@query("op6_pruned_graph_search")
+def op6(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    index = pin(neighbours.build_index(vectors, ids_per_vector=NEAREST + 1), "graphs")
+    return neighbours.search(index, vectors.where("vec_id % 50 = 0"), NEAREST)
