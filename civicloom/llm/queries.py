@@ -76,9 +76,8 @@ def op4(spark, folder):
 @query("op9_wavelet_token_files")
 def op9(spark, folder):
     docs = table(spark, folder, "documents")
-    encoded = tokens.encode_documents(docs, tokenizer_path(), FILE_END)
     path = fresh_path(spark, "token-files")
-    token_files.write_token_files(encoded, path)
+    token_files.write_token_files(docs, tokenizer_path(), FILE_END, path)
     read = token_files.read_token_files(spark, path)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -14,12 +14,13 @@ task leaves no half-written shard.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicloom.llm.tokens import encode_documents
+
 RANK_BITS = 512
 # A shard is closed at this many ids; a longer document is a shard of its own.
 SHARD_TOKENS = 1 << 21
@@ -135,24 +136,25 @@ _FILE = """shard_part int, shard_piece int, n_tokens long, doc_ids array<{kind}>
            doc_tokens array<long>, zeros array<long>, ranks binary, planes binary"""
 
 
-def write_token_files(encoded: DataFrame, path: str, *, id_col: str = "doc_id",
-                      shard_tokens: int = SHARD_TOKENS) -> None:
-    """Write encoded documents (``id_col``, ``ids``: little-endian unsigned 32-bit) in ascending
-    order of ``id_col``, one file per shard.
+def write_token_files(docs: DataFrame, tokenizer: str, end_id: int | None, path: str, *,
+                      id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
+    """Encode whole texts, ``end_id`` after each, and write them in ascending order of ``id_col``,
+    one file per shard. A null text counts as empty.
 
-    The order is total over ``id_col`` (nulls first) and the ids, so rows that share an id are
-    spread over tasks too. Documents are dealt by ranges; a task writes shards as it goes and
-    holds one at a time. No rows give no file.
+    The order is total over ``id_col`` (nulls first) and the text, so rows that share an id are
+    spread over tasks too. Texts are dealt by ranges before they are encoded, which moves less
+    than their ids would; a task writes shards as it goes and holds one at a time. No rows give
+    no file.
     """
-    kind = encoded.schema[id_col].dataType.simpleString()
+    kind = docs.schema[id_col].dataType.simpleString()
     order = [F.col(id_col).asc_nulls_first(), F.col("_tie")]
     ordered = (
-        encoded.select(id_col, "ids")
-        .withColumn("_tie", F.xxhash64("ids"))
+        docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_text"))
+        .withColumn("_tie", F.xxhash64("_text"))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .drop("_tie")
     )
+    ordered = encode_documents(ordered, tokenizer, end_id, id_col=id_col, text_col="_text")
     id_type = pa_type(ordered, id_col)
 
     def run(batches):
