@@ -24,8 +24,8 @@ QUERY_BLOCK = 8192
 DEGREE = 24
 # Out-edges a vector may collect from later ones before they are pruned again.
 SLACK = 40
-BUILD_BEAM = 48
-SEARCH_BEAM = 96
+BUILD_BEAM = 64
+SEARCH_BEAM = 192
 RELAX = 1.2
 INSERTED_AT_ONCE = 512
 EXPANDED_AT_ONCE = 4
