@@ -94,7 +94,37 @@ def op5(spark, folder):
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-@query("op7_bbit_minhash")
+# Word shingles joined on themselves, and the smallest id reachable over confirmed links.
+MINHASH_SQL = """
+WITH RECURSIVE
+words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^ \\t-\\r]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(
+        CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+    FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, p.n, q.n
+    HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+smallest AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN smallest m ON m.x = d.doc_id
+"""
+
+
+@query("op7_bbit_minhash", MINHASH_SQL)
 def op7(spark, folder):
     return minhash.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
 
@@ -121,13 +151,52 @@ def op3(spark, folder):
     return lines.line_report(table(spark, folder, "documents"), edits=LINE_EDITS, min_chars=LINE_MIN_CHARS)
 
 
-@query("op8_html_line_blocks")
+# The pages mark their article: its blocks, without inline markup, in page order.
+HTML_SQL = r"""
+WITH blocks AS (
+    SELECT page_id, url, regexp_replace(
+        regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g'),
+        '<[^>]*>', ' ', 'g') AS raw
+    FROM pages),
+plain AS (
+    SELECT page_id, url, trim(regexp_replace(
+        replace(replace(replace(replace(raw, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
+        '\s+', ' ', 'g')) AS text
+    FROM blocks)
+SELECT page_id, url, text, length(text) AS n_chars FROM plain
+"""
+
+
+@query("op8_html_line_blocks", HTML_SQL)
 def op8(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return html.extract_main_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
-@query("op2_cross_polytope_dedup")
+# All pairs of a label, and the smallest id reachable.
+VECTORS_SQL = """
+WITH RECURSIVE
+able AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND label IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y
+    FROM able a JOIN able b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+    SELECT vec_id AS x, vec_id AS y FROM embeddings
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+smallest AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, e.label, coalesce(c.n, 0) AS n_links, s.component_id, e.vec_id = s.component_id AS kept
+FROM embeddings e JOIN smallest s ON s.x = e.vec_id LEFT JOIN counts c ON c.x = e.vec_id
+"""
+
+
+@query("op2_cross_polytope_dedup", VECTORS_SQL)
 def op2(spark, folder):
     return neardup_vectors.near_duplicate_vectors(table(spark, folder, "embeddings"), least=0.93)
 
