@@ -61,13 +61,14 @@ def _key(line: Column, length: Column, less: int, k: int, shift: int, edits: int
 def _parities(line: Column) -> Column:
     bits = F.lit(0)
     for k, letter in enumerate(_LETTERS):
-        count = F.char_length(line) - F.char_length(F.replace(line, F.lit(letter), F.lit("")))
+        # Letters of one byte: bytes are counted faster than characters.
+        count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
         bits = bits.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(1)), k))
     return bits
 
 
-def within_edits(short: Column, long: Column, edits: int) -> Column:
-    """Whether two strings, the first not longer, are within ``edits`` edits of each other.
+def within_edits(pairs: DataFrame, short: str, long: str, edits: int) -> DataFrame:
+    """The rows whose strings, the first not longer, are within ``edits`` edits of each other.
 
     Bit ``d`` of state ``e`` says that the first ``j - edits + d`` characters of the one can
     become the first ``j`` of the other with at most ``e`` edits. A character keeps the bits where
@@ -76,35 +77,39 @@ def within_edits(short: Column, long: Column, edits: int) -> Column:
     """
     width = 2 * edits + 1
     mask = (1 << width) - 1
-
-    def run(xs: Column, ys: Column) -> Column:
-        start = F.struct(*[
-            F.lit(sum(1 << (edits + i) for i in range(e + 1))).alias(f"s{e}") for e in range(edits + 1)
-        ])
-
-        def step(state: Column, j: Column) -> Column:
-            char = F.get(ys, j)
-            match = F.lit(0)
-            for d in range(width):
-                same = F.coalesce(F.get(xs, j - edits + d) == char, F.lit(False))
-                match = match.bitwiseOR(F.when(same, F.lit(1 << d)).otherwise(F.lit(0)))
-            moved = [state["s0"].bitwiseAND(match)]
+    # Exploding makes columns of the characters. Any other expression for them would be moved
+    # into the steps and worked out anew for every character.
+    chars = F.struct(F.split(short, "").alias("x"), F.split(long, "").alias("y"))
+    rows = pairs.withColumn("_chars", F.explode(F.array(chars)))
+    xs, ys = F.col("_chars.x"), F.col("_chars.y")
+    start = F.struct(*[
+        F.lit(sum(1 << (edits + i) for i in range(e + 1))).alias(f"s{e}") for e in range(edits + 1)])
+
+    def step(state: Column, j: Column) -> Column:
+        char = F.get(ys, j)
+        same = F.lit(0)
+        for d in range(width):
+            equal = F.coalesce(F.get(xs, j - edits + d) == char, F.lit(False))
+            same = same.bitwiseOR(F.when(equal, F.lit(1 << d)).otherwise(F.lit(0)))
+
+        def moved(match: Column) -> Column:
+            states = [state["s0"].bitwiseAND(match)]
             for e in range(1, edits + 1):
                 less = state[f"s{e - 1}"]
-                moved.append(
+                states.append(
                     state[f"s{e}"].bitwiseAND(match).bitwiseOR(less).bitwiseOR(F.shiftright(less, 1))
-                    .bitwiseOR(F.shiftleft(moved[-1], 1)).bitwiseAND(F.lit(mask)))
-            alive = F.struct(*[m.alias(f"s{e}") for e, m in enumerate(moved)])
-            return F.when(state[f"s{edits}"] == 0, state).otherwise(alive)
+                    .bitwiseOR(F.shiftleft(states[-1], 1)).bitwiseAND(F.lit(mask)))
+            return F.struct(*[s.alias(f"s{e}") for e, s in enumerate(states)])
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(ys) - 1), start, step)[f"s{edits}"]
+        # Once no position can be reached none ever will.
+        return F.when(state[f"s{edits}"] == 0, state).otherwise(F.transform(F.array(same), moved)[0])
 
-    xs, ys = F.split(short, ""), F.split(long, "")
-    less = F.char_length(long) - F.char_length(short)
+    less = F.size(ys) - F.size(xs)
     bit = F.lit(0)
     for d in range(edits + 1):
         bit = F.when(less == edits - d, F.lit(1 << d)).otherwise(bit)
-    return (less <= edits) & (run(xs, ys).bitwiseAND(bit) != 0)
+    end = F.aggregate(F.sequence(F.lit(0), F.size(ys) - 1), start, step)[f"s{edits}"]
+    return rows.where((less <= edits) & (end.bitwiseAND(bit) != 0)).drop("_chars")
 
 
 def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
@@ -167,10 +172,8 @@ def repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int = 20, id_c
                          F.col("_place").alias("short_place"), F.col("_line").alias("short_line"))
     long = texts.select(F.col("_h1").alias("long_h1"), F.col("_h2").alias("long_h2"),
                         F.col("_place").alias("long_place"), F.col("_line").alias("long_line"))
-    near = (
-        pairs.join(short, ["short_h1", "short_h2"]).join(long, ["long_h1", "long_h2"])
-        .where(within_edits(F.col("short_line"), F.col("long_line"), edits))
-    )
+    together = pairs.join(short, ["short_h1", "short_h2"]).join(long, ["long_h1", "long_h2"])
+    near = within_edits(together, "short_line", "long_line", edits)
     short_later = F.col("short_place") > F.col("long_place")
     gone = near.select(
         F.when(short_later, F.col("short_h1")).otherwise(F.col("long_h1")).alias("_h1"),
