@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 GRAM_BITS = 16
 UNDETERMINED = "und"
+# Texts counted together, in bytes.
+PART_BYTES = 1 << 20
 # Fitted sets have up to so many languages.
 LARGEST_SET = 3
 ROUNDS_ALL = 12
@@ -38,26 +40,45 @@ def _letters() -> np.ndarray:
     return table
 
 
-def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of three bytes with at most one blank among them, of whole texts in lower
-    case: their codes, and the row of each. A null text has none."""
-    texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    _, offsets, data = texts.buffers()
-    ends = np.frombuffer(offsets, dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    if len(texts) == 0 or ends[-1] - ends[0] < 3:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    raw = np.frombuffer(data, dtype=np.uint8)[ends[0]:ends[-1]]
-    ends = ends - ends[0]
+def _hashed(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the n-grams of three bytes that hold at most one blank, and where they begin."""
     kinds = _letters()[raw]
     codes = kinds[:-2] << 16 | kinds[1:-1] << 8 | kinds[2:]
     blank = (kinds == 32).astype(np.uint8)
-    keep = blank[:-2] + blank[1:-1] + blank[2:] <= 1
-    for place in (1, 2):  # n-grams that run into the next text
-        over = ends[1:-1] - place
-        keep[over[(over >= 0) & (over < len(keep))]] = False
-    places = np.flatnonzero(keep)
-    hashed = codes[places] * np.uint32(0x9E3779B1) >> np.uint32(32 - GRAM_BITS)
-    return hashed.astype(np.int64), np.searchsorted(ends, places, side="right") - 1
+    places = np.flatnonzero(blank[:-2] + blank[1:-1] + blank[2:] <= 1)
+    return codes[places] * np.uint32(0x9E3779B1) >> np.uint32(32 - GRAM_BITS), places
+
+
+def gram_counts(texts: pa.Array):
+    """Hashed n-grams of whole texts in lower case, a part of the texts at a time: the first and
+    the last row of the part, and for each of its rows and n-grams the row, the code and how often
+    it occurs, in order. A null text has none. A part holds about ``PART_BYTES``; a longer text
+    is a part of its own and is counted piece by piece, so memory does not grow with it."""
+    texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data or b"", dtype=np.uint8)
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + PART_BYTES, "right")) - 1)
+        part, own = raw[ends[first]:ends[last]], ends[first:last + 1] - ends[first]
+        if last == first + 1:
+            total = np.zeros(1 << GRAM_BITS, dtype=np.int64)
+            for begin in range(0, len(part) - 2, PART_BYTES):
+                codes, _ = _hashed(part[begin:begin + PART_BYTES + 2])
+                total += np.bincount(codes, minlength=1 << GRAM_BITS)
+            code = np.flatnonzero(total)
+            yield first, last, np.full(len(code), first), code, total[code]
+        elif len(part) > 2:
+            codes, places = _hashed(part)
+            row = np.searchsorted(own, places, side="right") - 1
+            inside = places + 2 < own[row + 1]  # not those that run into the next text
+            keys, count = np.unique(row[inside] << GRAM_BITS | codes[inside], return_counts=True)
+            yield first, last, first + (keys >> GRAM_BITS), keys & ((1 << GRAM_BITS) - 1), count
+        else:
+            none = np.zeros(0, dtype=np.int64)
+            yield first, last, none, none, none
+        first = last
 
 
 @dataclass
@@ -71,13 +92,12 @@ class Languages:
         """For each text: the language, its score, the selected languages and their proportions."""
         rows = len(texts)
         lettered = np.fromiter((_has_letter(t) for t in texts.to_pylist()), dtype=bool, count=rows)
-        codes, row = grams(texts)
         known = np.zeros((rows, len(self.names)), dtype=np.float64)
-        if len(self.names) and len(codes):
-            keys, counts = np.unique(row << GRAM_BITS | codes, return_counts=True)
-            row, codes = keys >> GRAM_BITS, keys & ((1 << GRAM_BITS) - 1)
-            present, starts = np.unique(row, return_index=True)
-            known[present] = _Fit(self.likelihood[codes], counts.astype(np.float32), starts).select()
+        if self.names:
+            for _, _, row, code, count in gram_counts(texts):
+                if len(code):
+                    present, starts = np.unique(row, return_index=True)
+                    known[present] = _Fit(self.likelihood[code], count.astype(np.float32), starts).select()
         # A text whose letters make no n-gram tells nothing: every language is as likely.
         if len(self.names):
             silent = known.sum(axis=1) == 0
@@ -155,12 +175,14 @@ def learn(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
     def run(batches):
         counted: dict[str, np.ndarray] = {}
         for batch in batches:
-            codes, row = grams(batch.column(1))
             coded = batch.column(0).dictionary_encode()
-            language = coded.indices.to_numpy()[row]
-            for k, name in enumerate(coded.dictionary.to_pylist()):
-                own = np.bincount(codes[language == k], minlength=1 << GRAM_BITS)
-                counted[name] = counted[name] + own if name in counted else own
+            names, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            for _, _, row, code, count in gram_counts(batch.column(1)):
+                language = index[row]
+                for k in np.unique(language):
+                    of = language == k
+                    own = np.bincount(code[of], weights=count[of], minlength=1 << GRAM_BITS).astype(np.int64)
+                    counted[names[k]] = counted[names[k]] + own if names[k] in counted else own
         for name, counts in counted.items():
             seen = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
