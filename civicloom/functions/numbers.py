@@ -43,8 +43,8 @@ def percent_1dp(value: Column) -> Column:
 
 
 def relative_bin(value: Column, largest: Column, cuts: Sequence[float]) -> Column:
-    """0 for zero, then 1, 2, ... by strict ``<`` against shares of the largest value."""
-    bins = F.when(value == 0, 0)
+    """0 for zero, then 1, 2, ... by strict ``<`` against shares of the largest value; null for null."""
+    bins = F.when(value.isNull(), F.lit(None).cast("int")).when(value == 0, 0)
     for number, cut in enumerate(cuts, 1):
         bins = bins.when(value < largest * F.lit(cut), number)
     return bins.otherwise(len(cuts) + 1).cast("int")

@@ -69,8 +69,11 @@ def present_flag(text: Column) -> Column:
     return F.coalesce(text.rlike(f"[^{UNICODE_BLANKS}]"), F.lit(False))
 
 
-def star_text(star: Column) -> Column:
-    """``x/5`` for a numeric rating, null for any other."""
+def star_text(star: Column, numeric: bool = False) -> Column:
+    """``x/5`` for a numeric rating, null for any other. ``numeric`` says that the column holds
+    numbers, which are then not read from text."""
+    if numeric:
+        return F.concat(star.cast("double").cast("string"), F.lit("/5"))
     number = r"([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)"
     blanks = f"[{UNICODE_BLANKS}]*"
     found = F.regexp_extract(star.cast("string"), f"^{blanks}{number}{blanks}$", 1)

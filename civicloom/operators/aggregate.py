@@ -18,7 +18,6 @@ from civicloom.functions.labels import severity
 from civicloom.functions.numbers import relative_bin
 from civicloom.operators.filters import has_coordinates, split_by_status
 from civicloom.schemas import FIFTH_BINS, KNOWN_LABELS, SEVERITY_WEIGHTS
-from civicloom.session import pin
 
 # Output column of each label the dashboard shows.
 LABEL_COLUMNS = {
@@ -152,8 +151,7 @@ def classification_breakdown(
     counted = _breakdown(df, key, label_col)
     score = severity({label: F.col(LABEL_COLUMNS[label]) for label in SEVERITY_WEIGHTS})
     if only_with_not_sufficient:
-        counted = pin(counted, "breakdown")
-        any_not_sufficient = counted.agg(F.max("not_sufficient")).scalar()
+        any_not_sufficient = over_groups(counted, F.max("not_sufficient"))
         score = F.when(any_not_sufficient > 0, score).otherwise(F.lit(0.0))
     return counted.withColumn("severity_score", score)
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import inspect
 import time
 from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicloom.functions.answers import ITEM_TYPE, answer_for, read_answers
 from civicloom.functions.labels import label_description
 from civicloom.functions.text import present_flag, star_text
 from civicloom.operators.filters import filter_has_evidence, has_coordinates, split_by_status
-from civicloom.operators.join import LABEL, REASON, enrich_coordinates, union_cached_and_new
+from civicloom.operators.join import LABEL, REASON, left_join_once, union_cached_and_new
 from civicloom.operators.numbering import assign_batches
 from civicloom.session import pin
 
@@ -24,9 +26,12 @@ REQUEST_ROLES = {
     "address": "",
     "comment": "",
     "state": "",
+    "photo": "",
     "photo_after": "",
     "star": "",
 }
+# Calls under way at a time unless the caller says otherwise.
+PARALLEL_CALLS = 16
 
 
 def request_text(
@@ -52,7 +57,11 @@ def request_text(
     )
     state = F.when(value("state").isNotNull(), F.concat(F.lit("สถานะ: "), value("state")))
     after = F.when(present_flag(value("photo_after")), "มีรูปหลังแก้ไข: ใช่").otherwise("มีรูปหลังแก้ไข: ไม่")
-    star = F.concat(F.lit("คะแนนความพึงพอใจ: "), star_text(value("star")))
+    rated = df.schema[named["star"]].dataType if named["star"] in df.columns else None
+    star = F.concat(
+        F.lit("คะแนนความพึงพอใจ: "),
+        star_text(value("star"), isinstance(rated, (T.NumericType,))),
+    )
     outcome = F.concat(F.lit("ข้อมูล Outcome: "), F.concat_ws(", ", state, after, star), F.lit("\n"))
     return F.concat_ws(
         "",
@@ -69,14 +78,18 @@ def request_text(
 def build_requests(
     batched: DataFrame, id_col: str, roles: dict[str, str] | None = None, prompt: str = ""
 ) -> DataFrame:
-    """One row per batch: the request text and the ``members`` (position, id) in order. A list
-    never holds more than one batch."""
+    """One row per batch: the request text, the ``members`` (position, id) in order, and the
+    ``photos`` (position, id, reference) of those that have one. A list never holds more than
+    one batch."""
+    photo = {**{role: role for role in REQUEST_ROLES}, **(roles or {})}["photo"]
+    reference = F.col(photo).cast("string") if photo in batched.columns else F.lit(None).cast("string")
     rows = batched.select(
         "batch_num",
         F.struct(
             F.col("pos").cast("int").alias("pos"),
             F.col(id_col).cast("string").alias("ticket_id"),
             request_text(batched, id_col, roles=roles).alias("text"),
+            F.when(present_flag(reference), reference).alias("photo"),
         ).alias("row"),
     )
     lists = rows.groupBy("batch_num").agg(F.sort_array(F.collect_list("row")).alias("rows"))
@@ -84,24 +97,42 @@ def build_requests(
         "batch_num",
         F.concat(F.lit(prompt), F.array_join(F.col("rows.text"), "")).alias("request"),
         F.transform("rows", lambda r: F.struct(r["pos"], r["ticket_id"])).alias("members"),
+        F.transform(
+            F.filter("rows", lambda r: r["photo"].isNotNull()),
+            lambda r: F.struct(r["pos"], r["ticket_id"], r["photo"]),
+        ).alias("photos"),
     )
 
 
-def call_per_batch(requests: DataFrame, fn: Callable[[str], str]) -> DataFrame:
+def _takes_photos(fn: Callable) -> bool:
+    try:
+        inspect.signature(fn).bind("", [])
+    except TypeError:
+        return False
+    return True
+
+
+def call_per_batch(requests: DataFrame, fn: Callable[..., str]) -> DataFrame:
     """Adds ``answer`` and ``error``: the function's result, or the text of what it raised.
-    A batch that fails leaves the others alone."""
+    A batch that fails leaves the others alone.
+
+    ``fn(request)`` gets the text. A function of two parameters, ``fn(request, photos)``, also
+    gets the batch's photos: dictionaries of ``pos``, ``ticket_id`` and ``photo``, the reference
+    as the table has it; fetching is the function's business.
+    """
+    with_photos = _takes_photos(fn)
 
     @F.pandas_udf("answer string, error string")
-    def call(texts: pd.Series) -> pd.DataFrame:
-        def one(text: str) -> tuple[str | None, str | None]:
+    def call(texts: pd.Series, photos: pd.Series) -> pd.DataFrame:
+        def one(text: str, listed) -> tuple[str | None, str | None]:
             try:
-                return fn(text), None
+                return (fn(text, [dict(photo) for photo in listed]) if with_photos else fn(text)), None
             except Exception as problem:
                 return None, str(problem)
 
-        return pd.DataFrame([one(text) for text in texts], columns=["answer", "error"])
+        return pd.DataFrame([one(*row) for row in zip(texts, photos)], columns=["answer", "error"])
 
-    called = requests.withColumn("_called", call.asNondeterministic()("request"))
+    called = requests.withColumn("_called", call.asNondeterministic()("request", "photos"))
     return called.select("*", "_called.answer", "_called.error").drop("_called")
 
 
@@ -143,12 +174,12 @@ def match_answers(
 
 def label_rows(
     pending: DataFrame,
-    fn: Callable[[str], str],
+    fn: Callable[..., str],
     order_by: Sequence[str],
     id_col: str = "ticket_id",
     roles: dict[str, str] | None = None,
     batch_size: int = 20,
-    parallelism: int | None = None,
+    parallelism: int = PARALLEL_CALLS,
     prompt: str = "",
 ) -> DataFrame:
     """Label every row: ``(batch_num, pos, ticket_id, code, llm_label, llm_reasoning)``.
@@ -157,15 +188,13 @@ def label_rows(
     way is bounded by it and by the executors' cores. Answers are written once, since the
     function may cost money and need not give the same answer twice.
     """
-    spark = pending.sparkSession
-    tasks = parallelism or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # What is numbered is also written, so take along only what a request holds.
     named = {**{role: role for role in REQUEST_ROLES}, **(roles or {})}
     wanted = {id_col, *order_by, *named.values()}
     narrow = pending.select(*[name for name in pending.columns if name in wanted])
-    batched = assign_batches(narrow, order_by, batch_size).repartition(tasks, "batch_num")
+    batched = assign_batches(narrow, order_by, batch_size).repartition(parallelism, "batch_num")
     requests = build_requests(batched, id_col, roles, prompt)
-    answered = pin(call_per_batch(requests, fn).drop("request"), "answers")
+    answered = pin(call_per_batch(requests, fn).drop("request", "photos"), "answers")
     return match_answers(answered, error_col="error").select(
         "batch_num",
         "pos",
@@ -191,23 +220,32 @@ def pending_rows(
 
 def annotate(
     df: DataFrame,
-    fn: Callable[[str], str],
+    fn: Callable[..., str],
     order_by: Sequence[str],
     id_col: str = "ticket_id",
     roles: dict[str, str] | None = None,
     batch_size: int = 20,
-    parallelism: int | None = None,
+    parallelism: int = PARALLEL_CALLS,
     prompt: str = "",
 ) -> DataFrame:
     """Labels of all rows, old and new: ``(ticket_id, llm_label, llm_reasoning, batch_num, pos)``.
 
     Rows with a good label keep it (their batch and position are 0); the others are labelled if
     they hold a comment or a photo. The result is what ``merge_labels_upsert`` takes, ordered by
-    batch and position.
+    batch and position. The input is evaluated once: its ids, labels and, for the rows to label,
+    what a request holds are written and gone on from.
     """
     for name in (LABEL, REASON):
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
+    named = {**{role: role for role in REQUEST_ROLES}, **(roles or {})}
+    kept = {id_col, LABEL, REASON, *order_by}
+    asked = [name for name in dict.fromkeys(named.values()) if name in df.columns and name not in kept]
+    pending_now = F.col("status") != "cached"
+    narrow = split_by_status(df, LABEL).select(
+        *kept, *[F.when(pending_now, F.col(name)).alias(name) for name in asked]
+    )
+    df = pin(narrow, "to-label")
     cached = split_by_status(df, LABEL).filter(F.col("status") == "cached").select(
         F.col(id_col).cast("string").alias("ticket_id"),
         LABEL,
@@ -227,29 +265,40 @@ def lookup(
     gazetteer: DataFrame | None = None,
     gazetteer_name: str = "name",
     tries: int = 3,
-    pause: float = 0.0,
-    parallelism: int = 16,
+    pause: float = 1.0,
+    pause_between: float = 0.2,
+    parallelism: int = PARALLEL_CALLS,
     lat_col: str = "latitude",
     lon_col: str = "longitude",
+    status_col: str | None = None,
 ) -> DataFrame:
     """Fill missing coordinates from the gazetteer and, for names it lacks, from a function.
 
     Every name is asked for once, however many rows hold it. ``None`` is a final answer; an
-    exception is tried again, ``tries`` times in all.
+    exception is tried again, ``tries`` times in all, ``pause`` seconds apart. Each of the
+    ``parallelism`` tasks waits ``pause_between`` seconds from one name to the next.
+    ``status_col`` adds how a row that needed coordinates fared: ``known`` (gazetteer),
+    ``found``, ``not found``, or ``failed`` (every try raised); null for the other rows.
     """
 
-    @F.pandas_udf("lat double, lon double")
+    @F.pandas_udf("lat double, lon double, status string")
     def locate(names: pd.Series) -> pd.DataFrame:
-        def one(name: str) -> tuple[float | None, float | None]:
+        def one(name: str) -> tuple[float | None, float | None, str]:
             for attempt in range(tries):
+                if attempt:
+                    time.sleep(pause)
                 try:
-                    return fn(name) or (None, None)
+                    answer = fn(name)
                 except Exception:
-                    if attempt + 1 < tries:
-                        time.sleep(pause)
-            return None, None
+                    continue
+                return (*answer, "found") if answer else (None, None, "not found")
+            return None, None, "failed"
 
-        return pd.DataFrame([one(name) for name in names], columns=["lat", "lon"])
+        rows = []
+        for name in names:
+            rows.append(one(name))
+            time.sleep(pause_between)
+        return pd.DataFrame(rows, columns=["lat", "lon", "status"])
 
     wanted = ~has_coordinates(lat_col, lon_col) & present_flag(F.col(name_col))
     names = df.filter(wanted).select(F.col(name_col).alias("name")).distinct()
@@ -263,8 +312,17 @@ def lookup(
         "name", locate.asNondeterministic()("name").alias("at")
     )
     found = pin(
-        asked.select("name", F.col("at.lat").alias(lat_col), F.col("at.lon").alias(lon_col)),
+        asked.select("name", F.col("at.lat").alias(lat_col), F.col("at.lon").alias(lon_col),
+                     F.col("at.status").alias("_status")),
         "places",
     )
-    places = found if known is None else known.unionByName(found)
-    return enrich_coordinates(df, places, name_col, "name", lat_col, lon_col)
+    places = found if known is None else known.withColumn("_status", F.lit("known")).unionByName(found)
+    one = F.min_by(F.struct(F.col(lat_col).alias("lat"), F.col(lon_col).alias("lon")),
+                   F.struct(F.col(lat_col), F.col(lon_col))).alias("_at")
+    unique = places.groupBy(F.col("name").alias(name_col)).agg(one, F.min("_status").alias("_status"))
+    joined = left_join_once(df, pin(unique, "places"), name_col, wanted)
+    filled = {lat_col: F.coalesce("_at.lat", F.col(lat_col)), lon_col: F.coalesce("_at.lon", F.col(lon_col))}
+    added = [] if status_col is None else [F.col("_status").alias(status_col)]
+    return joined.select(
+        *[filled[name].alias(name) if name in filled else F.col(name) for name in df.columns], *added
+    )

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from civicloom.functions.labels import label_status
 from civicloom.operators.numbering import number_rows
-from civicloom.session import pin
 
 
 def require_columns(df: DataFrame, *names: str) -> None:
@@ -103,11 +102,10 @@ def filter_known_districts(
     th_col: str = "amp_th",
     en_col: str = "amp_en",
 ) -> DataFrame:
-    """Rows whose Thai or English name is a known one. The names are made distinct and written
-    first, so that the look-ups never multiply rows, and a long list is joined from a scan, where
-    adaptive execution can split the rows of a hot name."""
-    known_th = pin(districts.select(th_col).dropna().distinct(), "known")
-    known_en = pin(districts.select(en_col).dropna().distinct(), "known")
+    """Rows whose Thai or English name is a known one. The names are made distinct, so that
+    the look-ups never multiply rows. Nothing runs until the rows are asked for."""
+    known_th = districts.select(th_col).dropna().distinct()
+    known_en = districts.select(en_col).dropna().distinct()
     marked = df.join(known_th.withColumn("_th", F.lit(True)), th_col, "left").join(
         known_en.withColumn("_en", F.lit(True)), en_col, "left"
     )
@@ -125,6 +123,18 @@ def has_coordinates(lat_col: str = "latitude", lon_col: str = "longitude") -> Co
     return F.col(lat_col).isNotNull() & F.col(lon_col).isNotNull()
 
 
+def coordinate_report(
+    df: DataFrame, lat_col: str = "latitude", lon_col: str = "longitude"
+) -> DataFrame:
+    """One row: ``rows``, ``located`` ones among them, and ``none_located``, for a map that would
+    come out empty."""
+    require_columns(df, lat_col, lon_col)
+    counted = df.agg(
+        F.count("*").alias("rows"), F.count_if(has_coordinates(lat_col, lon_col)).alias("located")
+    )
+    return counted.withColumn("none_located", (F.col("rows") > 0) & (F.col("located") == 0))
+
+
 def filter_has_coordinates(
     df: DataFrame, lat_col: str = "latitude", lon_col: str = "longitude"
 ) -> DataFrame:

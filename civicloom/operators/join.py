@@ -4,7 +4,7 @@ No side is broadcast by hint. What a large table is joined with is read from a f
 written table, so Catalyst knows its size: below ``autoBroadcastJoinThreshold`` the large table
 is not shuffled at all, and beyond it both sides are shuffled straight from a scan, where
 adaptive execution can split the partitions a hot key makes too large (it cannot do so above an
-aggregate). Rows whose key is null can match nothing and go round the shuffle.
+aggregate). Rows whose key is null can match nothing and are spread over all tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicloom.functions.text import present_flag
 from civicloom.operators.aggregate import last_wins_dedupe
@@ -22,10 +23,21 @@ from civicloom.session import pin
 LABEL, REASON = "llm_label", "llm_reasoning"
 
 
-def _round_null_keys(left: DataFrame, key: str, join) -> DataFrame:
-    """``join`` the rows that have a key; the others get nulls without being shuffled."""
-    joined = join(left.filter(F.col(key).isNotNull()))
-    return joined.unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)
+def left_join_once(left: DataFrame, right: DataFrame, key: str, wanted: Column | None = None) -> DataFrame:
+    """``left`` with the other columns of ``right`` by ``key``, in one pass over ``left``.
+
+    Rows without a key, or not ``wanted``, can match nothing: they get a null key and are dealt
+    over the tasks by a hash of their other columns instead of meeting in one.
+    """
+    there = F.col(key).isNotNull()
+    there = there if wanted is None else there & F.coalesce(wanted, F.lit(False))
+    plain = [F.col(f.name) for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    keyed = left.withColumns({
+        "_key": F.when(there, F.col(key)),
+        "_spread": F.when(there, F.lit(0).cast("bigint")).otherwise(F.xxhash64(*plain)),
+    })
+    found = right.withColumnRenamed(key, "_key").withColumn("_spread", F.lit(0).cast("bigint"))
+    return keyed.join(found, ["_key", "_spread"], "left").drop("_key", "_spread")
 
 
 def merge_labels_replace(
@@ -38,7 +50,7 @@ def merge_labels_replace(
     """Labels of this run only: earlier ones are dropped, repeated ids multiply rows."""
     new = labels.select(id_col, label_col, reason_col)
     bare = table.drop(label_col, reason_col)
-    return _round_null_keys(bare, id_col, lambda rows: rows.join(new, id_col, "left"))
+    return left_join_once(bare, new, id_col)
 
 
 def merge_labels_upsert(
@@ -64,18 +76,15 @@ def merge_labels_upsert(
         if name not in table.columns:
             table = table.withColumn(name, F.lit(None).cast("string"))
 
-    def upsert(rows: DataFrame) -> DataFrame:
-        def pick(name: str) -> Column:
-            return F.when(F.col("_new").isNotNull(), F.col(f"_new.{name}")).otherwise(F.col(name))
+    def pick(name: str) -> Column:
+        return F.when(F.col("_new").isNotNull(), F.col(f"_new.{name}")).otherwise(F.col(name))
 
-        return rows.join(new, id_col, "left").select(
-            *[
-                pick(name).alias(name) if name in (label_col, reason_col) else F.col(name)
-                for name in table.columns
-            ]
-        )
-
-    return _round_null_keys(table, id_col, upsert)
+    return left_join_once(table, new, id_col).select(
+        *[
+            pick(name).alias(name) if name in (label_col, reason_col) else F.col(name)
+            for name in table.columns
+        ]
+    )
 
 
 def district_zero_fill(
@@ -133,7 +142,7 @@ def enrich_coordinates(
     lat_col: str = "latitude",
     lon_col: str = "longitude",
 ) -> DataFrame:
-    """Fill missing coordinates by name. Rows that have both, or no name, go round the join;
+    """Fill missing coordinates by name. Rows that have both, or no name, match nothing;
     a name that is listed twice counts with its smallest pair."""
     places = (
         gazetteer.filter(has_coordinates(lat_col, lon_col))
@@ -141,15 +150,14 @@ def enrich_coordinates(
         .agg(F.min(F.struct(F.col(lat_col).alias("lat"), F.col(lon_col).alias("lon"))).alias("_at"))
     )
     wanted = ~has_coordinates(lat_col, lon_col) & present_flag(F.col(name_col))
-    found = df.filter(wanted).join(pin(places, "gazetteer"), name_col, "left")
+    found = left_join_once(df, pin(places, "gazetteer"), name_col, wanted)
     filled = {
         lat_col: F.coalesce("_at.lat", F.col(lat_col)),
         lon_col: F.coalesce("_at.lon", F.col(lon_col)),
     }
-    done = found.select(
+    return found.select(
         *[filled[name].alias(name) if name in filled else F.col(name) for name in df.columns]
     )
-    return done.unionByName(df.filter(~wanted))
 
 
 def attach_feature_stats(
@@ -166,20 +174,6 @@ def attach_feature_stats(
     return features.select(*properties, F.to_json(feature).alias("feature"))
 
 
-def feature_collection(features: DataFrame, max_features: int = 1000) -> DataFrame:
-    """The rows of ``attach_feature_stats`` as one FeatureCollection, for a map. One document
-    is one row, so only a small number of features is accepted; write the rows themselves
-    where there are more."""
-    if features.limit(max_features + 1).count() > max_features:
-        raise ValueError(f"more than {max_features} features; write them one per line")
-    listed = F.array_join(F.array_sort(F.collect_list("feature")), ",")
-    return features.agg(
-        F.concat(F.lit('{"type":"FeatureCollection","features":['), listed, F.lit("]}")).alias(
-            "collection"
-        )
-    )
-
-
 def union_cached_and_new(cached: DataFrame, new: DataFrame) -> DataFrame:
     """Rows kept from earlier and rows labelled now, columns matched by name."""
     return cached.unionByName(new, allowMissingColumns=True)

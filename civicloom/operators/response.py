@@ -7,56 +7,67 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _with_days(df: DataFrame, start_col: str, end_col: str) -> DataFrame:
-    return df.withColumn("days", F.datediff(F.col(end_col), F.col(start_col)))
+UNITS = {"hours": 3600, "days": 86_400}
+
+
+def _with_time(df: DataFrame, start_col: str, end_col: str) -> DataFrame:
+    """``_seconds`` between the raw times, whole ones (downwards), and whether the end is first."""
+    start, end = (F.col(c).cast("timestamp") for c in (start_col, end_col))
+    return df.withColumns({
+        "_negative": end < start,
+        "_seconds": F.floor((F.unix_micros(end) - F.unix_micros(start)) / 1_000_000),
+    })
 
 
 def response_time_by_group(
-    df: DataFrame, group_col: str, start_col: str, end_col: str
+    df: DataFrame, group_col: str, start_col: str, end_col: str, unit: str = "hours"
 ) -> DataFrame:
-    """Cases, cases that end before they start, and mean, median and 90th percentile in days
-    of the others.
+    """Cases, cases that end before they start, and mean, median and 90th percentile of the
+    others, in ``unit`` (hours or days, with fractions).
 
-    Rows are first counted per group and number of days, so a hot group reaches the exact
-    percentiles as one weighted row per distinct number of days.
+    Times of day count: a case that ends earlier on its own day is negative. Rows are first
+    counted per group and whole second, so a hot group reaches the exact percentiles as one
+    weighted row per distinct duration.
     """
+    size = float(UNITS[unit])
     counted = (
-        _with_days(df, start_col, end_col)
-        .filter(F.col("days").isNotNull())
-        .groupBy(group_col, "days")
+        _with_time(df, start_col, end_col)
+        .filter(F.col("_seconds").isNotNull())
+        .groupBy(group_col, "_negative", "_seconds")
         .agg(F.count("*").alias("cases"))
     )
-    valid = F.col("days") >= 0
-    days = F.when(valid, F.col("days"))
+    valid = ~F.col("_negative")
+    time = F.when(valid, F.col("_seconds"))
     cases = F.when(valid, F.col("cases"))
     grouped = counted.groupBy(group_col).agg(
         F.sum("cases").alias("n_all"),
         F.coalesce(F.sum(F.when(~valid, F.col("cases"))), F.lit(0)).alias("n_negative"),
         F.coalesce(F.sum(cases), F.lit(0)).alias("n"),
-        F.sum(days * cases).alias("sum_days"),
-        F.percentile(days, F.array(F.lit(0.5), F.lit(0.9)), F.coalesce(cases, F.lit(0))).alias("p"),
+        F.sum(time * cases).alias("total"),
+        F.percentile(time, F.array(F.lit(0.5), F.lit(0.9)), F.coalesce(cases, F.lit(0))).alias("p"),
     )
     return grouped.select(
         group_col,
         "n_all",
         "n_negative",
         "n",
-        F.try_divide("sum_days", "n").alias("mean_days"),
-        F.col("p")[0].alias("median_days"),
-        F.col("p")[1].alias("p90_days"),
+        (F.try_divide("total", "n") / size).alias(f"mean_{unit}"),
+        (F.col("p")[0] / size).alias(f"median_{unit}"),
+        (F.col("p")[1] / size).alias(f"p90_{unit}"),
     )
 
 
 def daily_response_series(
-    df: DataFrame, group_col: str, start_col: str, end_col: str, window_days: int = 7
+    df: DataFrame, group_col: str, start_col: str, end_col: str, window_days: int = 7, unit: str = "hours"
 ) -> DataFrame:
-    """Per group and start day: cases, mean days, and the mean over the trailing week, the
-    plain forecast for the next day. Cases that end before they start are left out."""
+    """Per group and start day: cases, their mean time in ``unit``, and the mean over the trailing
+    week, the plain forecast for the next day. Cases that end before they start are left out."""
+    size = float(UNITS[unit])
     daily = (
-        _with_days(df, start_col, end_col)
-        .filter(F.col("days") >= 0)
+        _with_time(df, start_col, end_col)
+        .filter(~F.col("_negative"))
         .groupBy(group_col, F.col(start_col).cast("date").alias("day"))
-        .agg(F.count("*").alias("n"), F.sum("days").alias("sum_days"))
+        .agg(F.count("*").alias("n"), F.sum("_seconds").alias("_sum"))
     )
     # At most one row per calendar day in a group.
     trailing = (
@@ -68,6 +79,6 @@ def daily_response_series(
         group_col,
         "day",
         "n",
-        (F.col("sum_days") / F.col("n")).alias("mean_days"),
-        (F.sum("sum_days").over(trailing) / F.sum("n").over(trailing)).alias("trailing_mean_days"),
+        (F.col("_sum") / F.col("n") / size).alias(f"mean_{unit}"),
+        (F.sum("_sum").over(trailing) / F.sum("n").over(trailing) / size).alias(f"trailing_mean_{unit}"),
     )

@@ -14,7 +14,18 @@ from pyspark.sql.window import Window
 
 from civicloom.session import pin
 
-PREFIX_DIGITS = 4  # 65,536 buckets per stratum
+# A stratum is cut into about so many buckets for each thousand rows drawn.
+BUCKETS_PER_THOUSAND = 16
+
+
+def bucket_digits(n: int) -> int:
+    """Hexadecimal digits of the hash that name a bucket: their number follows what is drawn, so
+    the list of buckets stays far shorter than the sample."""
+    wanted, digits = max(1, n // 1000 * BUCKETS_PER_THOUSAND), 1
+    while 16**digits < wanted:
+        digits += 1
+    return digits
+
 
 _STRATUM, _HASH, _PREFIX, _SIZE, _NO_ID, _TAKE, _RANK = (
     "_stratum", "_hash", "_prefix", "_size", "_no_id", "_take", "_rank",
@@ -25,11 +36,13 @@ def sample_hash(id_col: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(seed))))
 
 
-def _hashed(df: DataFrame, id_col: str, stratum_col: str, seed: int, missing: str) -> DataFrame:
+def _hashed(
+    df: DataFrame, id_col: str, stratum_col: str, seed: int, missing: str, digits: int
+) -> DataFrame:
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit(missing))
     digest = sample_hash(id_col, seed)
     return df.withColumns({_STRATUM: stratum, _HASH: digest}).withColumn(
-        _PREFIX, F.substring(_HASH, 1, PREFIX_DIGITS)
+        _PREFIX, F.substring(_HASH, 1, digits)
     )
 
 
@@ -71,7 +84,7 @@ def quotas(sizes: DataFrame, n: int) -> DataFrame:
 def _ranked(
     df: DataFrame, n: int, stratum_col: str, id_col: str, seed: int, missing: str, all_rows: bool
 ) -> DataFrame:
-    hashed = _hashed(df, id_col, stratum_col, seed, missing)
+    hashed = _hashed(df, id_col, stratum_col, seed, missing, bucket_digits(n))
     counted = hashed.groupBy(_STRATUM, _PREFIX).agg(
         F.count("*").alias(_SIZE), F.count_if(F.col(id_col).isNull()).alias(_NO_ID)
     )

@@ -13,10 +13,10 @@ from civicloom.operators.aggregate import (
     group_sizes,
     largest,
     last_wins_dedupe,
+    over_groups,
 )
 from civicloom.operators.join import district_two_key_lookup, district_zero_fill
 from civicloom.schemas import FIFTH_BINS, QUARTER_BINS
-from civicloom.session import pin
 
 
 def incidents_by_district(
@@ -57,21 +57,19 @@ def population_by_district(
 def issues_by_district(
     districts: DataFrame, complaints: DataFrame, district_col: str, name_col: str = "amp_th"
 ) -> DataFrame:
-    """Complaints per district, their share of all complaints, and the bin. The counts, needed
-    for three different ends, are written once."""
-    counts = pin(complaints.groupBy(district_col).agg(F.count("*").alias("total_issues")), "counts")
-    total = counts.agg(F.sum("total_issues")).scalar()
+    """Complaints per district, their share of all complaints, and the bin. The share is worked
+    out once and printed from its column; nothing runs until the rows are asked for."""
+    counts = complaints.groupBy(district_col).agg(F.count("*").alias("total_issues"))
+    total = over_groups(counts, F.sum("total_issues"))
+    most = over_groups(counts, F.max(F.when(F.col(district_col).isNotNull(), F.col("total_issues"))))
     sizes = counts.filter(F.col(district_col).isNotNull())
     filled = district_zero_fill(districts, sizes, name_col, district_col, ["total_issues"])
-    share = F.coalesce(F.col("total_issues") / total * 100, F.lit(0.0))
-    return filled.withColumns(
-        {
-            "percentage": share,
-            "percentage_text": percent_1dp(share),
-            "bin": relative_bin(
-                F.col("total_issues"), largest(sizes, "total_issues"), FIFTH_BINS
-            ),
-        }
+    share = F.coalesce(F.try_divide(F.col("total_issues"), total) * 100, F.lit(0.0))
+    return (
+        filled.withColumns({"percentage": share, "_most": F.coalesce(most, F.lit(1))})
+        .withColumn("percentage_text", percent_1dp(F.col("percentage")))
+        .withColumn("bin", relative_bin(F.col("total_issues"), F.col("_most"), FIFTH_BINS))
+        .drop("_most")
     )
 
 

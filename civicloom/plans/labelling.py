@@ -1,22 +1,52 @@
-"""Range query and labelling: choose a time range, label what lacks a label, keep the result."""
+"""Range query and labelling: choose a time range, label what lacks a label, keep the result.
+
+Labels stand beside the table, not in it: each run adds a small folder of labels below
+``labels``, and reading joins the newest label of each row to the newest snapshot. Labelling an
+hour writes the labels of that hour; no file of the table is written again. ``fold_labels`` makes
+a new snapshot of both when many runs have gathered.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from civicloom.operators.annotate import label_rows, pending_rows
+from civicloom.operators.annotate import PARALLEL_CALLS, label_rows, pending_rows
 from civicloom.operators.filters import filter_time_range
-from civicloom.operators.join import merge_labels_upsert
-from civicloom.sources.snapshots import read_snapshot, write_snapshot
+from civicloom.operators.join import LABEL, REASON, merge_labels_upsert
+from civicloom.session import pin
+from civicloom.sources.files import exists, listed
+from civicloom.sources.snapshots import latest_snapshot, read_snapshot, write_snapshot
+
+_LABELS = f"ticket_id string, {LABEL} string, {REASON} string, batch_num bigint, pos int, run string"
+
+
+def _runs(spark: SparkSession, root: str) -> list[str]:
+    """Finished label runs on the newest snapshot."""
+    folder = f"{latest_snapshot(spark, root)}/_labels"
+    names = sorted(name for name, is_folder, _ in listed(spark, folder) if is_folder)
+    paths = [f"{folder}/{name}" for name in names]
+    return [path for path in paths if exists(spark, f"{path}/_SUCCESS")]
+
+
+def read_labeled(spark: SparkSession, root: str, id_col: str = "ticket_id") -> DataFrame:
+    """The newest snapshot with the labels of all runs since; the last label of a row counts."""
+    table = read_snapshot(spark, root)
+    paths = _runs(spark, root)
+    if not paths:
+        return table
+    labels = spark.read.schema(_LABELS).parquet(*paths).withColumnRenamed("ticket_id", id_col)
+    return merge_labels_upsert(table, labels, ["run", "batch_num", "pos"], id_col)
 
 
 def label_range(
     spark: SparkSession,
     root: str,
-    fn: Callable[[str], str],
+    fn: Callable[..., str],
     start: datetime,
     end: datetime,
     order_by: Sequence[str],
@@ -25,15 +55,28 @@ def label_range(
     roles: dict[str, str] | None = None,
     batch_size: int = 20,
     day_col: str | None = None,
+    parallelism: int = PARALLEL_CALLS,
+    prompt: str = "",
 ) -> DataFrame:
-    """Label the range in the newest snapshot, write the next one, and return it. Labels outside
-    the range, and good ones inside it, stay: only new ones are merged. ``day_col`` names the
-    column the snapshots are partitioned by, if they are."""
-    table = read_snapshot(spark, root)
-    chosen = filter_time_range(table, start, end, ts_col, day_col)
-    labels = label_rows(pending_rows(chosen, roles), fn, order_by, id_col, roles, batch_size)
-    merged = merge_labels_upsert(
-        table, labels.withColumnRenamed("ticket_id", id_col), ["batch_num", "pos"], id_col
+    """Label what lacks a label in the range, write those labels, and return the labelled table.
+    Labels outside the range, and good ones inside it, stay. A range with nothing to label writes
+    nothing. ``day_col`` names the column the snapshots are partitioned by, if they are."""
+    table = read_labeled(spark, root, id_col)
+    chosen = pin(pending_rows(filter_time_range(table, start, end, ts_col, day_col), roles), "pending")
+    if chosen.isEmpty():
+        return table
+    labels = label_rows(chosen, fn, order_by, id_col, roles, batch_size, parallelism, prompt)
+    run = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}"
+    labels.select("ticket_id", LABEL, REASON, "batch_num", "pos", F.lit(run).alias("run")).write.parquet(
+        f"{latest_snapshot(spark, root)}/_labels/{run}"
     )
-    write_snapshot(merged, root, (day_col,) if day_col else ())
+    return read_labeled(spark, root, id_col)
+
+
+def fold_labels(
+    spark: SparkSession, root: str, id_col: str = "ticket_id", day_col: str | None = None
+) -> DataFrame:
+    """Write the labelled table as the next snapshot, for when joining many runs has become
+    dearer than one rewrite, and return it."""
+    write_snapshot(read_labeled(spark, root, id_col), root, (day_col,) if day_col else ())
     return read_snapshot(spark, root)

@@ -21,11 +21,13 @@ def load_complaints(
     text_col: str = "comment",
     ts_col: str = "timestamp",
     day_col: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Read, clean the text, type the time, write the next snapshot, and return it. With
     ``day_col`` the snapshot is partitioned by the day, so that range queries open only the
-    days they need."""
-    raw = spread(read_complaints_csv(spark, csv_path, schema))
+    days they need. ``partitions`` deals the rows out after reading: a file with quoted line
+    breaks is one task."""
+    raw = spread(read_complaints_csv(spark, csv_path, schema), partitions)
     cleaned = raw.withColumns(
         {text_col: clean_text(F.col(text_col)), ts_col: parse_timestamp(F.col(ts_col))}
     )

@@ -147,13 +147,22 @@ def _severity_score(t):
 
 @query(
     "severity_score_guarded",
-    f"""WITH {LABELED_DOCUMENTS} SELECT source, 0.0::DOUBLE AS severity_score
-        FROM complaints WHERE llm_label IS NOT NULL AND llm_label <> 'Not Sufficient'
-        GROUP BY source""",
+    f"""WITH {LABELED_DOCUMENTS},
+          relabeled AS (SELECT source, 'as is' AS kind, llm_label FROM complaints
+                        UNION ALL SELECT source, 'none', replace(llm_label, 'Not Sufficient', 'Sufficient')
+                        FROM complaints)
+        SELECT source, kind, CASE WHEN max(count(*) FILTER (llm_label = 'Not Sufficient'))
+                                       OVER (PARTITION BY kind) > 0 THEN {SEVERITY} ELSE 0 END AS severity_score
+        FROM relabeled WHERE source IS NOT NULL AND llm_label IS NOT NULL GROUP BY source, kind""",
 )
 def _severity_score_guarded(t):
-    others = labeled_documents(t).filter(F.col("llm_label") != "Not Sufficient")
-    return severity_score(others, "source", "llm_label", only_with_not_sufficient=True)
+    """All rows, once with the label that opens the guard and once with it renamed."""
+    rows = labeled_documents(t)
+    renamed = rows.withColumn("llm_label", F.replace("llm_label", F.lit("Not Sufficient"), F.lit("Sufficient")))
+    as_is, none = (
+        severity_score(df, "source", "llm_label", only_with_not_sufficient=True) for df in (rows, renamed)
+    )
+    return as_is.withColumn("kind", F.lit("as is")).unionByName(none.withColumn("kind", F.lit("none")))
 
 
 @query(
@@ -252,6 +261,12 @@ def _order_by_time(t):
     return order_by_time(t.events.select("event_id", "ts", "event_type"), "ts", "event_id")
 
 
+@query("guarded_take_whole", "SELECT event_id, ts, event_type FROM events")
+def _guarded_take_whole(t):
+    rows = t.events.select("event_id", "ts", "event_type")
+    return guarded_take(rows, "ts", "event_id", max_rows=rows.count())
+
+
 @query(
     "guarded_take",
     """SELECT event_id, ts, event_type FROM events

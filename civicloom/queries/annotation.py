@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from civicloom.operators.annotate import (
     annotate,
     build_requests,
+    label_rows,
     lookup,
     match_answers,
     parse_answers,
+    pending_rows,
 )
 from civicloom.operators.numbering import assign_batches
 from civicloom.queries.joins import nation_gazetteer
@@ -215,4 +217,46 @@ def _lookup(t):
         F.col("c_acctbal").alias("latitude"),
         F.when(F.col("c_mktsegment") != "BUILDING", 100.5).alias("longitude"),
     )
-    return lookup(rows, locate, "name", nation_gazetteer(t))
+    return lookup(rows, locate, "name", nation_gazetteer(t), pause=0, pause_between=0)
+
+
+@query(
+    "lookup_status",
+    """SELECT c_custkey, CASE WHEN c_mktsegment <> 'BUILDING' THEN NULL WHEN r_name <> 'ASIA' THEN 'known'
+                              WHEN n_name LIKE '%0' THEN 'failed' WHEN n_name LIKE '%1' THEN 'not found'
+                              ELSE 'found' END AS status
+       FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
+)
+def _lookup_status(t):
+    rows = t.customer.select(
+        "c_custkey",
+        F.concat(F.lit("NATION_"), "c_nationkey").alias("name"),
+        F.col("c_acctbal").alias("latitude"),
+        F.when(F.col("c_mktsegment") != "BUILDING", 100.5).alias("longitude"),
+    )
+    located = lookup(rows, locate, "name", nation_gazetteer(t), pause=0, pause_between=0, status_col="status")
+    return located.select("c_custkey", "status")
+
+
+def photo_rule(request: str, photos: list[dict]) -> str:
+    """Stands in for a model that looks at pictures: answers for those only, with what it saw."""
+    return json.dumps([{"id": p["ticket_id"], "label": 1, "reasoning": f"{p['pos']} {p['photo']}"} for p in photos])
+
+
+@query(
+    "label_photos",
+    """WITH numbered AS (SELECT page_id, url, row_number() OVER (ORDER BY page_id) - 1 AS rn FROM pages
+                         WHERE page_id % 3 <> 2)
+       SELECT CAST(page_id AS VARCHAR) AS ticket_id,
+              CASE WHEN page_id % 3 = 0 THEN 'Sufficient' ELSE 'Missing in JSON Response' END AS llm_label,
+              CASE WHEN page_id % 3 = 0 THEN (rn % 20 + 1) || ' ' || url
+                   ELSE 'Missing result in JSON response' END AS llm_reasoning
+       FROM numbered""",
+)
+def _label_photos(t):
+    """A photo alone for a third of the pages, a comment alone for a third, neither for the rest."""
+    kind = F.col("page_id") % 3
+    rows = t.pages.select(
+        "page_id", F.when(kind == 0, F.col("url")).alias("photo"), F.when(kind == 1, F.col("url")).alias("comment"))
+    return label_rows(pending_rows(rows), photo_rule, ["page_id"], "page_id").select(
+        "ticket_id", "llm_label", "llm_reasoning")

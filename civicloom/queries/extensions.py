@@ -8,48 +8,58 @@ from civicloom.operators.response import daily_response_series, response_time_by
 from civicloom.queries.registry import query
 from civicloom.queries.scalars import clean_sql
 from civicloom.session import fresh_path
-from civicloom.streaming.jobs import read_stream, stream_clean_ingest, stream_counts
+from civicloom.streaming.jobs import newest_counts, read_stream, stream_clean_ingest, stream_counts
 
 
 def shipments(t):
+    """Orders and shipments with times of day: both come from the tables."""
+    clock = F.make_interval(hours=F.col("l_partkey") % 24, mins=F.col("l_suppkey") % 60)
+    placed = F.make_interval(hours=F.col("o_custkey") % 24)
     return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "o_orderpriority", "o_orderdate", "l_shipdate"
+        "o_orderpriority",
+        (F.date_trunc("day", "o_orderdate") + placed).alias("placed"),
+        (F.date_trunc("day", "l_shipdate") + clock).alias("shipped"),
     )
 
 
 SHIPMENTS = """
-    shipments AS (SELECT o_orderpriority, o_orderdate,
-                         date_diff('day', o_orderdate, l_shipdate) AS days
-                  FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+    shipments AS (
+        SELECT o_orderpriority, placed, epoch_us(shipped) < epoch_us(placed) AS negative,
+               floor((epoch_us(shipped) - epoch_us(placed)) / 1000000.0)::BIGINT AS seconds
+        FROM (SELECT o_orderpriority,
+                     date_trunc('day', o_orderdate) + to_hours(o_custkey % 24) AS placed,
+                     date_trunc('day', l_shipdate) + to_hours(l_partkey % 24)
+                         + to_minutes(l_suppkey % 60) AS shipped
+              FROM lineitem JOIN orders ON o_orderkey = l_orderkey))
 """
 
 
 @query(
     "response_time_by_group",
     f"""WITH {SHIPMENTS} SELECT o_orderpriority, count(*) AS n_all,
-          count(*) FILTER (days < 0) AS n_negative, count(*) FILTER (days >= 0) AS n,
-          avg(days) FILTER (days >= 0) AS mean_days,
-          quantile_cont(days, 0.5) FILTER (days >= 0) AS median_days,
-          round(quantile_cont(days, 0.9) FILTER (days >= 0), 6) AS p90_days
+          count(*) FILTER (negative) AS n_negative, count(*) FILTER (NOT negative) AS n,
+          (sum(seconds) FILTER (NOT negative))::DOUBLE / count(*) FILTER (NOT negative) / 3600.0 AS mean_hours,
+          quantile_cont(seconds, 0.5) FILTER (NOT negative) / 3600.0 AS median_hours,
+          round(quantile_cont(seconds, 0.9) FILTER (NOT negative) / 3600.0, 6) AS p90_hours
         FROM shipments GROUP BY o_orderpriority""",
 )
 def _response_time_by_group(t):
-    times = response_time_by_group(shipments(t), "o_orderpriority", "o_orderdate", "l_shipdate")
-    return times.withColumn("p90_days", F.round("p90_days", 6))
+    times = response_time_by_group(shipments(t), "o_orderpriority", "placed", "shipped")
+    return times.withColumn("p90_hours", F.round("p90_hours", 6))
 
 
 @query(
     "daily_response_series",
     f"""WITH {SHIPMENTS},
-          daily AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, count(*) AS n,
-                           sum(days) AS sum_days FROM shipments WHERE days >= 0 GROUP BY 1, 2)
-        SELECT o_orderpriority, CAST(day AS VARCHAR) AS day, n, sum_days::DOUBLE / n AS mean_days,
-               (sum(sum_days) OVER week)::DOUBLE / sum(n) OVER week AS trailing_mean_days
+          daily AS (SELECT o_orderpriority, CAST(placed AS DATE) AS day, count(*) AS n,
+                           sum(seconds) AS total FROM shipments WHERE NOT negative GROUP BY 1, 2)
+        SELECT o_orderpriority, CAST(day AS VARCHAR) AS day, n, total::DOUBLE / n / 86400.0 AS mean_days,
+               (sum(total) OVER week)::DOUBLE / sum(n) OVER week / 86400.0 AS trailing_mean_days
         FROM daily WINDOW week AS (PARTITION BY o_orderpriority ORDER BY day
                                        RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""",
 )
 def _daily_response_series(t):
-    series = daily_response_series(shipments(t), "o_orderpriority", "o_orderdate", "l_shipdate")
+    series = daily_response_series(shipments(t), "o_orderpriority", "placed", "shipped", unit="days")
     return series.withColumn("day", F.col("day").cast("string"))
 
 
@@ -69,15 +79,14 @@ def _stream_clean_ingest(t):
 
 @query(
     "stream_counts",
-    """SELECT * FROM (SELECT date_trunc('hour', ts) AS window_start,
-                             date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
-                             event_type, count(*) AS n FROM events GROUP BY ALL)
-       WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""",
+    """SELECT date_trunc('hour', ts) AS window_start,
+              date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+              event_type, count(*) AS n FROM events GROUP BY ALL""",
 )
 def _stream_counts(t):
     out, checkpoint = fresh_path(t.spark, "hourly"), fresh_path(t.spark, "stream")
     stream_counts(_event_stream(t), out, checkpoint, "ts", "event_type").awaitTermination()
-    counts = t.spark.read.parquet(out)
+    counts = newest_counts(t.spark, out, "event_type")
     return counts.select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from civicloom.operators.aggregate import status_counts
 from civicloom.operators.filters import (
+    coordinate_report,
     drop_sentinel_row,
     ensure_columns,
     filter_has_coordinates,
@@ -197,6 +198,17 @@ def _filter_has_coordinates(t):
     return filter_has_coordinates(places(t))
 
 
+@query(
+    "coordinate_report",
+    f"""WITH {PLACES} SELECT count(*) AS rows,
+               count(*) FILTER (latitude IS NOT NULL AND longitude IS NOT NULL) AS located,
+               count(*) > 0 AND count(*) FILTER (latitude IS NOT NULL AND longitude IS NOT NULL) = 0
+                   AS none_located FROM places""",
+)
+def _coordinate_report(t):
+    return coordinate_report(places(t))
+
+
 @query(
     "marker_rows",
     f"""WITH {PLACES} SELECT latitude, longitude, c_name AS name, phone FROM places

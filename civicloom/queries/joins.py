@@ -94,23 +94,21 @@ def _merge_labels_upsert(t):
     return merge_labels_upsert(labeled_table(t), new_labels(t), ["run"])
 
 
-def few_incidents(t):
-    """Incidents of rich suppliers only, so that some nations have none."""
-    return t.supplier.filter(F.col("s_acctbal") > 8500).select(
-        F.concat(F.lit("NATION_"), "s_nationkey").alias("name")
-    )
-
-
 @query(
     "district_zero_fill",
-    f"""WITH {NATION_DISTRICTS}
-        SELECT amp_th, amp_en, count(s_suppkey) AS incidents FROM districts
-        LEFT JOIN supplier ON 'NATION_' || s_nationkey = amp_en AND s_acctbal > 8500
-        GROUP BY amp_th, amp_en""",
+    f"""WITH {NATION_DISTRICTS},
+          more AS (SELECT amp_th, amp_en FROM districts UNION ALL SELECT r_name, r_name FROM region)
+        SELECT amp_th, amp_en, count(s_suppkey) AS incidents FROM more
+        LEFT JOIN supplier ON 'NATION_' || s_nationkey = amp_en GROUP BY amp_th, amp_en""",
 )
 def _district_zero_fill(t):
-    sizes = group_sizes(few_incidents(t), "name", "incidents")
-    return district_zero_fill(nation_districts(t), sizes, "amp_en", "name", ["incidents"])
+    """All suppliers as incidents; the regions, listed as districts too, have none."""
+    rows = t.supplier.select(F.concat(F.lit("NATION_"), "s_nationkey").alias("name"))
+    regions = t.region.select(F.col("r_name").alias("amp_th"), F.col("r_name").alias("amp_en"))
+    sizes = group_sizes(rows, "name", "incidents")
+    return district_zero_fill(
+        nation_districts(t).unionByName(regions), sizes, "amp_en", "name", ["incidents"]
+    )
 
 
 def two_key_stats(t):

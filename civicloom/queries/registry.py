@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from functools import wraps
 
@@ -28,6 +29,15 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session prepared for a bound query. A local session without a shared folder gets a
+    temporary one: there the driver and the executors are one process."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None and spark.sparkContext.master.split("[")[0] == "local":
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="civicloom-"))
+    return prepare(spark)
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables)`` under a name, with the SQL that must give the same rows."""
 
@@ -37,7 +47,7 @@ def query(name: str, sql: str | None = None):
 
         @wraps(fn)
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(Tables(prepare(spark), folder))
+            return fn(Tables(ready(spark), folder))
 
         _QUERIES[name] = run
         if sql is not None:

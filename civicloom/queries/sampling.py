@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from civicloom.operators.numbering import assign_batches
 from civicloom.operators.sample import stratified_sample_exact, stratified_split
 from civicloom.queries.registry import LABELED_DOCUMENTS, labeled_documents, query
+from civicloom.session import pin
 
 
 @query(
@@ -69,5 +70,5 @@ def _orders(t):
                picked AS in_first FROM halves""",
 )
 def _stratified_split(t):
-    sample = stratified_sample_exact(_orders(t), 777, "priority", "o_orderkey", 42)
+    sample = pin(stratified_sample_exact(_orders(t), 777, "priority", "o_orderkey", 42), "sample")
     return stratified_split(sample, 200, "priority", "o_orderkey", 7)

@@ -36,7 +36,7 @@ def clean_sql(text: str) -> str:
     f"SELECT doc_id, {clean_sql(f"text || '{TAIL}'")} AS cleaned FROM documents",
 )
 def _clean_text(t):
-    return spread(t.documents.select("doc_id", "text")).select(
+    return spread(t.documents.select("doc_id", "text"), t.spark.sparkContext.defaultParallelism).select(
         "doc_id", clean_text(F.concat("text", F.lit(TAIL))).alias("cleaned")
     )
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +15,8 @@ from civicloom.queries.annotation import rule
 from civicloom.queries.registry import LABELED_DOCUMENTS, labeled_documents, query
 from civicloom.queries.scalars import clean_sql
 from civicloom.session import fresh_path
-from civicloom.sources.html import extract_contacts, extract_html_rows
-from civicloom.sources.nested import read_api_envelope, read_feature_collection
+from civicloom.sources.html import extract_contacts, extract_html_rows, extract_html_tables
+from civicloom.sources.nested import read_api_envelope, read_feature_collection, rejected_bodies
 from civicloom.sources.snapshots import (
     export_range_csv,
     list_snapshots,
@@ -25,6 +26,7 @@ from civicloom.sources.snapshots import (
 )
 from civicloom.sources.tables import (
     ReferenceTables,
+    count_bad_records,
     read_complaints,
     read_complaints_csv,
     read_enriched_or_raw,
@@ -53,6 +55,21 @@ def _read_complaints_csv(t):
     return read_complaints_csv(t.spark, path, rows.schema)
 
 
+@query(
+    "read_csv_by_name",
+    """SELECT doc_id, text, source, lang, CAST(n_chars AS VARCHAR) AS extra,
+              (SELECT count(*) FROM documents) AS records, CAST(0 AS BIGINT) AS bad FROM documents""",
+)
+def _read_csv_by_name(t):
+    """Columns in another order than declared, and one in the middle that nobody declared."""
+    rows = t.documents.select("doc_id", "text", "source", "lang")
+    stored = t.documents.select("lang", "text", F.col("n_chars").alias("extra"), "source", "doc_id")
+    path = write_csv(stored, fresh_path(t.spark, "csv"))
+    read = read_complaints_csv(t.spark, path, rows.schema, "bad_record")
+    records, bad = count_bad_records(read, "bad_record").first()
+    return read.drop("bad_record").withColumns({"records": F.lit(records).cast("bigint"), "bad": F.lit(bad).cast("bigint")})
+
+
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string"
 
 
@@ -141,15 +158,37 @@ def _export_range_csv(t):
 
 @query(
     "list_snapshots",
-    """SELECT name, (SELECT count(*) FROM events) >= 0 AS there
-       FROM (VALUES ('labeled_output_01052024_01122024.csv'),
-                    ('labeled_output_01052024_01202024.csv')) AS known(name)""",
+    """WITH days AS (SELECT min(CAST(ts AS DATE)) AS first, max(CAST(ts AS DATE)) AS last FROM events),
+            ranges AS (SELECT 4 AS place, first AS a, last AS b, '' AS version FROM days
+                       UNION ALL SELECT 3, first, first + 6, '' FROM days
+                       UNION ALL SELECT 2, last - 3, last, '' FROM days
+                       UNION ALL SELECT 1, first, first + 6, '.v2' FROM days)
+       SELECT place, 'labeled_output_' || strftime(a, '%m%d%Y') || '_' || strftime(b, '%m%d%Y')
+                     || version || '.csv' AS name,
+              (SELECT count(*) FROM events WHERE CAST(ts AS DATE) BETWEEN a AND b) AS n
+       FROM ranges""",
 )
 def _list_snapshots(t):
-    folder = _export(t).rsplit("/", 1)[0]
-    later = datetime(2024, 1, 20)
-    export_range_csv(filter_time_range(t.events, START, later, "ts"), folder, START, later)
-    return list_snapshots(t.spark, folder).select("name", F.col("path").isNotNull().alias("there"))
+    """Exports of ranges that follow from the data, one of them made twice, listed newest first,
+    each with the number of its rows."""
+    day = F.col("ts").cast("date")
+    first, last = t.events.agg(F.min(day), F.max(day)).first()
+    folder = fresh_path(t.spark, "shared")
+    for start, end in (
+        (first, last),
+        (first, first + timedelta(days=6)),
+        (last - timedelta(days=3), last),
+        (first, first + timedelta(days=6)),
+    ):
+        export_range_csv(t.events.filter(day.between(start, end)), folder, start, end)
+    schema = _schema("event_id bigint")
+    counted = [
+        read_complaints_csv(t.spark, row["path"], schema).agg(
+            F.lit(place).alias("place"), F.lit(row["name"]).alias("name"), F.count("*").alias("n")
+        )
+        for place, row in enumerate(list_snapshots(t.spark, folder).collect(), 1)
+    ]
+    return reduce(lambda above, below: above.unionByName(below), counted)
 
 
 @query(
@@ -190,6 +229,24 @@ def _read_feature_collection(t):
     return read_feature_collection(t.spark, path, multi_line=False)
 
 
+@query(
+    "read_feature_document",
+    """SELECT s_name AS amp_en, CAST(s_suppkey AS VARCHAR) AS amp_th, '{"type":"Point"}' AS geometry
+       FROM supplier""",
+)
+def _read_feature_document(t):
+    """Whole documents over several lines, one for each nation of the suppliers."""
+    feature = F.struct(
+        F.struct(F.col("s_name").alias("amp_en"), F.col("s_suppkey").cast("string").alias("amp_th")).alias("properties"),
+        F.struct(F.lit("Point").alias("type")).alias("geometry"),
+    )
+    one = t.supplier.groupBy("s_nationkey").agg(F.collect_list(feature).alias("features"))
+    text = F.to_json(F.struct("features"), {"pretty": "true"})
+    path = fresh_path(t.spark, "geojson")
+    one.select("s_nationkey", text.alias("value")).write.partitionBy("s_nationkey").text(path)
+    return read_feature_collection(t.spark, f"{path}/*")
+
+
 @query(
     "read_api_envelope",
     """SELECT event_id, unnest(['value', 'k']) AS field,
@@ -217,6 +274,26 @@ def _read_api_envelope(t):
     return read_api_envelope(t.events.select(body.alias("body")), record_schema)
 
 
+@query(
+    "rejected_bodies",
+    """SELECT event_id, CASE event_type WHEN 'error' THEN 'unsuccessful' WHEN 'click' THEN 'unreadable'
+                             WHEN 'view' THEN 'no records' ELSE 'incomplete' END AS reason
+       FROM events WHERE event_type IN ('error', 'click', 'view') OR value > 1""",
+)
+def _rejected_bodies(t):
+    kind, value = F.col("event_type"), F.col("value")
+    record = F.array(F.struct("event_id"))
+    result = F.struct(
+        F.when(value > 1, F.lit(2)).otherwise(F.lit(1)).alias("total"),
+        F.when(kind != "view", record).alias("records"),
+    )
+    whole = F.to_json(F.struct(F.when(kind == "error", F.lit(False)).alias("success"), result.alias("result")))
+    body = F.when(kind == "click", F.concat(F.lit("<html>"), whole)).otherwise(whole)
+    return rejected_bodies(
+        t.events.select("event_id", body.alias("body")), _schema("event_id bigint")
+    ).select("event_id", "reason")
+
+
 @query(
     "extract_html_rows",
     """SELECT page_id, CAST(0 AS INTEGER) AS table_idx, CAST(0 AS INTEGER) AS row_idx,
@@ -255,8 +332,7 @@ def _extract_contacts(t):
         F.lit("</table><table><tr><td>other</td><td>1</td></tr></table>"),
     )
     pages = t.customer.select(F.col("c_custkey").alias("page_id"), page.alias("html"))
-    rows = extract_html_rows(pages, table_class="mark")
-    return extract_contacts(rows, "stations")
+    return extract_contacts(extract_html_tables(pages, table_class="mark"), "stations")
 
 
 @query(
@@ -280,7 +356,7 @@ def _extract_hospital_contacts(t):
         F.lit("</table>"),
     )
     pages = t.customer.select(F.col("c_custkey").alias("page_id"), page.alias("html"))
-    return extract_contacts(extract_html_rows(pages), "hospitals")
+    return extract_contacts(extract_html_tables(pages), "hospitals")
 
 
 @query(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -10,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 import civicloom
 
-_OWN_FOLDERS: dict[str, str] = {}
-
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Settings the operators rely on; all of them can be changed on a live session.
@@ -36,31 +33,29 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return prepare(builder.getOrCreate())
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+def prepare(spark: SparkSession, keep: tuple[str, ...] = ()) -> SparkSession:
     """Apply the settings to a session somebody else made, and let Python workers run the
-    package's functions without having it installed."""
+    package's functions without having it installed.
+
+    The settings hold for everything the session does from then on. ``keep`` names those to leave
+    as they are. Right answers need the time zone (for times read from text) and the JSON setting
+    (for answers with repeated keys); the others are about speed and memory.
+    """
     cloudpickle.register_pickle_by_value(civicloom)
     for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+        if key not in keep:
+            spark.conf.set(key, value)
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one named in ``spark.checkpoint.dir``.
-
-    Without that setting a local session gets a temporary folder of its own and any
-    other session a folder beside its tables, so that no task writes to its own disk.
-    """
+    """Folder every executor can reach: the one named in ``spark.checkpoint.dir`` or set by
+    ``SparkContext.setCheckpointDir``. Without it nothing is written: a folder picked here might
+    be one that each machine has to itself."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        app = context.applicationId
-        if app not in _OWN_FOLDERS:
-            if context.master.startswith("local"):
-                _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="civicloom-")
-            else:
-                _OWN_FOLDERS[app] = spark.conf.get("spark.sql.warehouse.dir") + "/_civicloom"
-        root = _OWN_FOLDERS[app]
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/civicloom/{context.applicationId}"
 
 
@@ -91,19 +86,10 @@ def pin(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small table out to all cores before a costly step; leave a large one alone.
-
-    Small means too small to give every core a split of its own, such as one file with one row
-    group. Larger tables are split by the scan, and moving them would cost more than it gains.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * split else df
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal the rows out to ``partitions`` tasks before a costly step, for inputs of few files
+    that cannot be split; None leaves them as the scan cuts them."""
+    return df if partitions is None else df.repartition(partitions)
 
 
 def release(spark: SparkSession) -> None:

@@ -27,3 +27,26 @@ def qualified(spark: SparkSession, path: str) -> str:
     """The path as Spark's own listings spell it, scheme included, without a closing slash."""
     fs, hadoop_path = _open(spark, path)
     return fs.makeQualified(hadoop_path).toString()
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file if nobody has: of several writers only one gets True."""
+    fs, hadoop_path = _open(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    try:
+        return bool(fs.createNewFile(hadoop_path))
+    except Exception:
+        if fs.exists(hadoop_path):
+            return False
+        raise
+
+
+def listed(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
+    """``(name, is_folder, modified in ms)`` of what stands directly below a folder."""
+    fs, hadoop_path = _open(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [
+        (status.getPath().getName(), bool(status.isDirectory()), int(status.getModificationTime()))
+        for status in fs.listStatus(hadoop_path)
+    ]

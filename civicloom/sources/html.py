@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from civicloom.functions.text import mentions_any
 from civicloom.session import spread
@@ -95,7 +95,17 @@ def _page_rows(html, table_tag, row_tag, cell_tags, table_class):
                 yield table_idx, row_idx, bool(marked), ["".join(cell) for cell in cells]
 
 
-def extract_html_rows(
+_ROWS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("row_idx", T.IntegerType()),
+            T.StructField("cells", T.ArrayType(T.StringType())),
+        ]
+    )
+)
+
+
+def extract_html_tables(
     pages: DataFrame,
     row_tag: str = "tr",
     cell_tags: Sequence[str] = ("td", "th"),
@@ -103,19 +113,20 @@ def extract_html_rows(
     table_class: str | None = None,
     id_col: str = "page_id",
     html_col: str = "html",
+    partitions: int | None = None,
 ) -> DataFrame:
-    """``(page_id, table_idx, row_idx, by_class, cells)`` of every row that has cells.
+    """``(page_id, table_idx, by_class, rows)`` of every table, its rows that have cells in order.
 
     Where a page has tables of ``table_class`` only those count. Pages without the table tag
-    are dropped on the JVM; the rest is read page by page in Arrow batches.
+    are dropped on the JVM; the rest is read page by page in Arrow batches. ``partitions`` deals
+    the pages out first, for inputs of few files.
     """
     schema = T.StructType(
         [
             pages.schema[id_col],
             T.StructField("table_idx", T.IntegerType()),
-            T.StructField("row_idx", T.IntegerType()),
             T.StructField("by_class", T.BooleanType()),
-            T.StructField("cells", T.ArrayType(T.StringType())),
+            T.StructField("rows", _ROWS),
         ]
     )
     names = schema.names
@@ -123,15 +134,25 @@ def extract_html_rows(
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (page_id, *row)
-                for page_id, html in zip(batch[id_col], batch[html_col])
-                for row in _page_rows(html, table_tag, row_tag, cells, table_class)
-            ]
-            yield pd.DataFrame(rows, columns=names)
+            found = []
+            for page_id, html in zip(batch[id_col], batch[html_col]):
+                by_table = groupby(_page_rows(html, table_tag, row_tag, cells, table_class), lambda row: row[0])
+                for table_idx, rows in by_table:
+                    rows = list(rows)
+                    listed = [{"row_idx": row_idx, "cells": texts} for _, row_idx, _, texts in rows]
+                    found.append((page_id, table_idx, rows[0][2], listed))
+            yield pd.DataFrame(found, columns=names)
 
     holds_table = F.lower(html_col).contains(f"<{table_tag}")
-    return spread(pages.select(id_col, html_col).filter(holds_table)).mapInPandas(read, schema)
+    return spread(pages.select(id_col, html_col).filter(holds_table), partitions).mapInPandas(read, schema)
+
+
+def extract_html_rows(pages: DataFrame, id_col: str = "page_id", **options) -> DataFrame:
+    """``(page_id, table_idx, row_idx, by_class, cells)`` of every row that has cells; options as
+    for ``extract_html_tables``."""
+    tables = extract_html_tables(pages, id_col=id_col, **options)
+    rows = tables.select(id_col, "table_idx", "by_class", F.inline("rows"))
+    return rows.select(id_col, "table_idx", "row_idx", "by_class", "cells")
 
 
 def _positions(cells: Column, test) -> Column:
@@ -144,12 +165,36 @@ def _cell(cells: Column, idx: Column) -> Column:
     return F.coalesce(F.try_element_at(cells, idx + 1), F.lit(""))
 
 
-def _table_window(table_cols: Sequence[str]) -> Window:
-    """Up to the current row of one table of one page, so no wider than one page's HTML."""
-    return (
-        Window.partitionBy(*table_cols)
-        .orderBy("row_idx")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _headings(is_heading, place) -> Column:
+    """The heading rows of a table that place a column: where they stand, and the place."""
+    placed = F.transform(
+        "rows",
+        lambda row, idx: F.struct(
+            idx.alias("idx"), F.when(is_heading(row["cells"]), place(row["cells"])).alias("at")
+        ),
+    )
+    return F.filter(placed, lambda heading: heading["at"].isNotNull())
+
+
+def _placed(tables: DataFrame, is_heading, places: dict[str, tuple]) -> DataFrame:
+    """One row per row of the tables, with the places of its columns: ``places`` names them as
+    ``(place in a heading, which heading counts: -1 the last so far, 1 the first)``. A table's
+    rows are in one row already, so nothing is shuffled."""
+    rows = tables.withColumns(
+        {f"_{name}": _headings(is_heading, place) for name, (place, _) in places.items()}
+    ).select("*", F.posexplode("rows").alias("_idx", "_row"))
+
+    def at(name: str, which: int) -> Column:
+        so_far = F.filter(f"_{name}", lambda heading: heading["idx"] <= F.col("_idx"))
+        return F.try_element_at(so_far, F.lit(which))["at"]
+
+    found = rows.withColumns({name: at(name, which) for name, (_, which) in places.items()})
+    return found.withColumns(
+        {
+            "row_idx": F.col("_row.row_idx"),
+            "cells": F.col("_row.cells"),
+            "is_heading": is_heading(F.col("_row.cells")),
+        }
     )
 
 
@@ -161,7 +206,7 @@ HOSPITAL_ENGLISH = "list of network hospital"
 
 
 def extract_station_contacts(
-    rows: DataFrame, table_cols: Sequence[str] = ("page_id", "table_idx")
+    tables: DataFrame, table_cols: Sequence[str] = ("page_id", "table_idx")
 ) -> DataFrame:
     """Name, phone and fax. Headings move the columns for the rows below them; before any
     heading the columns are the first three. Tables found by class know one heading word and
@@ -181,22 +226,20 @@ def extract_station_contacts(
         latin = by_class & F.lower(cell).contains("fax")
         return ~is_name(cell) & ~is_phone(cell) & (mentions_any(cell, FAX_WORDS) | latin)
 
-    is_heading = heading(F.lower(F.array_join(cells, "")))
-    window = _table_window(table_cols)
+    def is_heading(row: Column) -> Column:
+        return heading(F.lower(F.array_join(row, "")))
 
-    def sticky(test, default: int) -> Column:
-        here = F.when(is_heading, F.array_max(_positions(cells, test)))
-        return F.coalesce(F.last(here, ignorenulls=True).over(window), F.lit(default))
+    def last_of(test):
+        return (lambda row: F.array_max(_positions(row, test))), -1
 
-    placed = rows.select(
-        *table_cols,
-        "row_idx",
-        "by_class",
-        "cells",
-        is_heading.alias("is_heading"),
-        sticky(is_name, 0).alias("name_at"),
-        sticky(is_phone, 1).alias("phone_at"),
-        sticky(is_fax, 2).alias("fax_at"),
+    placed = _placed(
+        tables, is_heading, {"name_at": last_of(is_name), "phone_at": last_of(is_phone), "fax_at": last_of(is_fax)}
+    ).withColumns(
+        {
+            "name_at": F.coalesce("name_at", F.lit(0)),
+            "phone_at": F.coalesce("phone_at", F.lit(1)),
+            "fax_at": F.coalesce("fax_at", F.lit(2)),
+        }
     )
     records = placed.filter(~F.col("is_heading") & (F.size("cells") >= 2)).select(
         *table_cols,
@@ -211,7 +254,7 @@ def extract_station_contacts(
 
 
 def extract_hospital_contacts(
-    rows: DataFrame,
+    tables: DataFrame,
     table_cols: Sequence[str] = ("page_id", "table_idx"),
     any_hospital_row_is_heading: bool = False,
 ) -> DataFrame:
@@ -221,10 +264,10 @@ def extract_hospital_contacts(
     a heading, which loses most rows with an English name.
     """
     cells = F.col("cells")
-    row_text = F.lower(F.array_join(cells, " "))
     english_heading = "hospital" if any_hospital_row_is_heading else HOSPITAL_ENGLISH
-    is_heading = mentions_any(row_text, (HOSPITAL_WORD, english_heading))
-    window = _table_window(table_cols)
+
+    def is_heading(row: Column) -> Column:
+        return mentions_any(F.lower(F.array_join(row, " ")), (HOSPITAL_WORD, english_heading))
 
     def is_thai(cell: Column) -> Column:
         return cell.contains(HOSPITAL_WORD)
@@ -236,17 +279,17 @@ def extract_hospital_contacts(
         phone = cell.contains(HOSPITAL_PHONE_WORD) | F.lower(cell).contains("telephone")
         return ~is_thai(cell) & ~is_english(cell) & phone
 
-    def at(test, pick) -> Column:
-        return F.when(is_heading, pick(_positions(cells, test)))
-
-    placed = rows.select(
-        *table_cols,
-        "row_idx",
-        "cells",
-        is_heading.alias("is_heading"),
-        F.last(at(is_thai, F.array_max), ignorenulls=True).over(window).alias("thai_at"),
-        F.first(at(is_english, F.array_min), ignorenulls=True).over(window).alias("english_at"),
-        F.last(at(is_phone, F.array_max), ignorenulls=True).over(window).alias("phone_at"),
+    def by(test, pick, which: int):
+        return (lambda row: pick(_positions(row, test))), which
+
+    placed = _placed(
+        tables,
+        is_heading,
+        {
+            "thai_at": by(is_thai, F.array_max, -1),
+            "english_at": by(is_english, F.array_min, 1),
+            "phone_at": by(is_phone, F.array_max, -1),
+        },
     )
     widest = F.greatest("thai_at", F.coalesce("english_at", F.lit(0)), F.coalesce("phone_at", F.lit(0)))
     records = placed.filter(
@@ -264,7 +307,7 @@ def extract_hospital_contacts(
     )
 
 
-def extract_contacts(rows: DataFrame, kind: str, **options) -> DataFrame:
-    """Contact records of ``stations`` or ``hospitals``."""
+def extract_contacts(tables: DataFrame, kind: str, **options) -> DataFrame:
+    """Contact records of ``stations`` or ``hospitals`` from ``extract_html_tables``."""
     readers = {"stations": extract_station_contacts, "hospitals": extract_hospital_contacts}
-    return readers[kind](rows, **options)
+    return readers[kind](tables, **options)

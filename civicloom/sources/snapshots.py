@@ -7,7 +7,7 @@ and readers take the newest one whose write has finished.
 from __future__ import annotations
 
 import re
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from civicloom.operators.filters import filter_province
 from civicloom.schemas import HOME_PROVINCE
-from civicloom.sources.files import child_names, exists, qualified
+from civicloom.sources.files import child_names, claim, exists, listed
 from civicloom.sources.tables import read_complaints_csv
 
 _SNAPSHOT = re.compile(r"snapshot=(\d+)$")
@@ -27,10 +27,19 @@ def _numbers(spark: SparkSession, root: str) -> list[int]:
 
 
 def write_snapshot(df: DataFrame, root: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write the next snapshot and return its path; fails rather than overwrite."""
-    taken = _numbers(df.sparkSession, root)
-    path = f"{root}/snapshot={(taken[-1] if taken else 0) + 1}"
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    """Write the next snapshot and return its path; fails rather than overwrite.
+
+    A number belongs to the writer that creates its claim, so two writers never share one. Rows
+    are brought together by ``partition_by`` first, in as many tasks as their size asks for: a
+    day is a few files, whatever the number of tasks, and a hot day is split.
+    """
+    spark = df.sparkSession
+    number = max(_numbers(spark, root), default=0) + 1
+    while not claim(spark, f"{root}/_claims/snapshot={number}"):
+        number += 1
+    path = f"{root}/snapshot={number}"
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return path
 
 
@@ -61,9 +70,14 @@ def export_range_csv(
     end: date | datetime,
     prefix: str = "labeled_output",
 ) -> str:
-    """Write a folder of CSV parts, named after the time range, and return its path."""
-    path = f"{root}/{export_name(start, end, prefix)}"
-    df.write.mode("overwrite").csv(
+    """Write a folder of CSV parts, named after the time range, and return its path. Exporting a
+    range again writes ``.v2.csv``, ``.v3.csv`` and so on: what is there may be being read."""
+    spark, name, version = df.sparkSession, export_name(start, end, prefix), 1
+    path = f"{root}/{name}"
+    while exists(spark, path) or not claim(spark, f"{root}/_claims/{path.rsplit('/', 1)[1]}"):
+        version += 1
+        path = f"{root}/{name.removesuffix('.csv')}.v{version}.csv"
+    df.write.mode("errorifexists").csv(
         path,
         header=True,
         quote='"',
@@ -74,27 +88,27 @@ def export_range_csv(
     return path
 
 
+_EXPORTS = "name string, path string, modified timestamp"
+
+
 def list_snapshots(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
-    """``(name, path, modified)`` of the exports in a folder, newest first.
+    """``(name, path, modified)`` of the exports in a folder, newest first, ties by name.
 
-    An export is a single file or a folder of parts; only file listings are read.
+    An export is a single file, or a folder whose write has finished. The listing has one entry
+    per export; parts are not looked at.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(folder)
-        .select("path", "modificationTime")
-    )
-    below = F.expr(f"substring(path, {len(qualified(spark, folder)) + 2})")
-    named = files.withColumn("name", F.substring_index(below, "/", 1))
-    return (
-        named.filter(F.col("name").endswith(suffix))
-        .groupBy("name")
-        .agg(F.max("modificationTime").alias("modified"))
-        .select("name", F.concat(F.lit(folder.rstrip("/") + "/"), "name").alias("path"), "modified")
-        .orderBy(F.desc("modified"), "name")
-    )
+    folder = folder.rstrip("/")
+    rows = []
+    for name, is_folder, modified in listed(spark, folder):
+        if not name.endswith(suffix) or name.startswith(("_", ".")):
+            continue
+        if is_folder:
+            done = [at for part, _, at in listed(spark, f"{folder}/{name}") if part == "_SUCCESS"]
+            if not done:
+                continue
+            modified = done[0]
+        rows.append((name, f"{folder}/{name}", datetime.fromtimestamp(modified / 1000, timezone.utc)))
+    return spark.createDataFrame(rows, _EXPORTS).orderBy(F.desc("modified"), "name")
 
 
 def load_labeled(
@@ -105,10 +119,13 @@ def load_labeled(
     province_col: str = "province",
     province: str = HOME_PROVINCE,
 ) -> DataFrame:
-    """The given export, or the newest in the folder, for one province; empty if there is none."""
-    if path is None and folder is not None and exists(spark, folder):
+    """The given export, or the newest in the folder, for one province. A folder without exports
+    gives no rows; a path that is named must be there."""
+    if path is not None and not exists(spark, path):
+        raise FileNotFoundError(path)
+    if path is None and folder is not None:
         newest = list_snapshots(spark, folder).limit(1).collect()
         path = newest[0]["path"] if newest else None
-    if path is None or not exists(spark, path):
+    if path is None:
         return spark.createDataFrame([], schema)
     return filter_province(read_complaints_csv(spark, path, schema), province_col, province)

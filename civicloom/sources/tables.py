@@ -9,24 +9,66 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicloom.functions.text import parse_timestamp
-from civicloom.operators.filters import drop_sentinel_row, require_columns, trim_column_names
+from civicloom.operators.filters import drop_sentinel_row, require_columns
 from civicloom.sources.files import exists
 
 COORDINATES = ("latitude", "longitude")
 
 
-def read_complaints_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header, quoted line breaks, and ``"`` doubled inside quotes.
+def read_csv_by_name(
+    spark: SparkSession, path: str, schema: T.StructType, bad_col: str | None = None, **options
+) -> DataFrame:
+    """CSV with a header, its columns found by their names in it, blanks round them aside.
+
+    Declared columns come first, with their types, then the others of the file as text. A declared
+    column the file lacks is an error, as is a name that occurs twice; files of one folder must
+    agree in their headers, which is checked while they are read. ``bad_col`` adds a column with
+    the text of records that do not fit, null for the others (see ``count_bad_records``).
+    """
+    found = spark.read.csv(path, header=True, **options).columns
+    by_name = {name.strip().lstrip("\ufeff").strip(): name for name in found}
+    if len(by_name) < len(found):
+        raise ValueError(f"two columns of {path} have one name: {found}")
+    wanted = {field.name.strip(): field for field in schema.fields}
+    if missing := [name for name in wanted if name not in by_name]:
+        raise ValueError(f"{path} has no column {missing}; it has {list(by_name)}")
+    read = T.StructType()
+    for name, spelled in by_name.items():
+        read = read.add(spelled, wanted[name].dataType if name in wanted else T.StringType())
+    reader = spark.read.option("enforceSchema", "false")
+    if bad_col is not None:
+        reader = reader.option("columnNameOfCorruptRecord", bad_col)
+        read = read.add(bad_col, T.StringType())
+    df = reader.schema(read).csv(path, header=True, **options)
+    others = [name for name in by_name if name not in wanted]
+    kept = [F.col(f"`{by_name[name]}`").alias(name) for name in [*wanted, *others]]
+    return df.select(*kept, *([] if bad_col is None else [bad_col]))
+
+
+def count_bad_records(df: DataFrame, bad_col: str) -> DataFrame:
+    """One row: ``records``, and ``bad`` ones among them, of a frame read with ``bad_col``."""
+    # A record is bad by its columns, so all of them have to be read: this is true of any hash.
+    every_column = (F.xxhash64(*[f"`{c}`" for c in df.columns if c != bad_col]) % 2).between(-1, 1)
+    bad = F.col(bad_col).isNotNull() & every_column
+    return df.agg(F.count("*").alias("records"), F.count_if(bad).alias("bad"))
+
+
+def read_complaints_csv(
+    spark: SparkSession, path: str, schema: T.StructType, bad_col: str | None = None
+) -> DataFrame:
+    """CSV with a header, quoted line breaks, and ``"`` doubled inside quotes; columns by name.
 
     A file with quoted line breaks cannot be split, so one file is one task: deliver large
     loads as many files in one folder.
     """
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"')
+    return read_csv_by_name(spark, path, schema, bad_col, multiLine=True, quote='"', escape='"')
 
 
-def read_reference_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and one record a line; blanks round the column names go."""
-    return trim_column_names(spark.read.schema(schema).csv(path, header=True, encoding="UTF-8"))
+def read_reference_csv(
+    spark: SparkSession, path: str, schema: T.StructType, bad_col: str | None = None
+) -> DataFrame:
+    """CSV with a header and one record a line; columns by name, blanks round the names go."""
+    return read_csv_by_name(spark, path, schema, bad_col, encoding="UTF-8")
 
 
 def read_enriched_or_raw(

@@ -67,13 +67,26 @@ def windowed_counts(
 def stream_counts(
     stream: DataFrame, out: str, checkpoint: str, ts_col: str, key: str, **window: str
 ) -> StreamingQuery:
-    """Append every window to Parquet once the watermark has passed its end."""
+    """Write every window a micro-batch changes, open ones too, with its count so far.
+
+    Each batch has a folder of its own, which a batch that runs again after a failure replaces;
+    ``newest_counts`` reads the result. Stops when the input is read.
+    """
+
+    def save(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
     return (
         windowed_counts(stream, ts_col, key, **window)
-        .writeStream.format("parquet")
-        .option("path", out)
+        .writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+        .outputMode("update")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def newest_counts(spark: SparkSession, out: str, key: str) -> DataFrame:
+    """What ``stream_counts`` has counted: for each window and key the count of its last batch."""
+    written = spark.read.parquet(out)
+    return written.groupBy("window_start", "window_end", key).agg(F.max_by("n", "batch").alias("n"))

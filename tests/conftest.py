@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from civicloom.queries.registry import ready
 from civicloom.session import build_session, fresh_path
 
 
@@ -14,6 +15,7 @@ def spark():
         spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")
+    ready(session)
     yield session
     session.stop()
 

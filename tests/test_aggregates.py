@@ -103,11 +103,24 @@ def test_response_times(spark):
         [("a", f"2024-01-0{s}", f"2024-01-{e:02d}") for s, e in ((1, 1), (1, 3), (2, 12), (9, 2))]
         + [("b", "2024-01-05", "2024-01-01"), ("c", "2024-01-05", None)], "g string, s string, e string"
     ).select("g", F.to_date("s").alias("s"), F.to_date("e").alias("e"))
-    got = {row["g"]: row for row in response_time_by_group(rows, "g", "s", "e").collect()}
+    got = {row["g"]: row for row in response_time_by_group(rows, "g", "s", "e", unit="days").collect()}
     a, b = got["a"], got["b"]
     assert (a["n_all"], a["n_negative"], a["n"], a["mean_days"], a["median_days"]) == (4, 1, 3, 4.0, 2.0)
     assert a["p90_days"] == pytest.approx(8.4)
     assert (b["n_all"], b["n_negative"], b["n"], b["mean_days"], b["median_days"]) == (1, 1, 0, None, None)
-    daily = daily_response_series(rows, "g", "s", "e").orderBy("g", "day").collect()
+    daily = daily_response_series(rows, "g", "s", "e", unit="days").orderBy("g", "day").collect()
     assert [(str(r["day"]), r["n"], r["mean_days"], r["trailing_mean_days"]) for r in daily] == [
         ("2024-01-01", 2, 1.0, 1.0), ("2024-01-02", 1, 10.0, 4.0)]
+
+
+def test_response_times_know_the_time_of_day(spark):
+    rows = spark.createDataFrame(
+        [("a", datetime(2024, 1, 1, 23), datetime(2024, 1, 1, 1)), ("a", datetime(2024, 1, 1, 1), datetime(2024, 1, 1, 23))],
+        "g string, s timestamp, e timestamp")
+    row = response_time_by_group(rows, "g", "s", "e").first()
+    assert (row["n_all"], row["n_negative"], row["n"], row["mean_hours"]) == (2, 1, 1, 22.0)
+
+
+def test_a_null_has_no_bin(spark):
+    rows = spark.createDataFrame([("a", 10), ("b", 0), ("c", None)], "k string, v long")
+    assert {r["k"]: r["bin"] for r in relative_bins(rows, "v").collect()} == {"a": 5, "b": 0, "c": None}

@@ -34,9 +34,10 @@ def test_class_is_preferred_page_by_page(spark):
 
 
 def contact_rows(spark, table, by_class=True):
+    rows = [(i, row) for i, row in enumerate(table)]
     return spark.createDataFrame(
-        [(1, 0, i, by_class, row) for i, row in enumerate(table)],
-        "page_id long, table_idx int, row_idx int, by_class boolean, cells array<string>")
+        [(1, 0, by_class, rows)],
+        "page_id long, table_idx int, by_class boolean, rows array<struct<row_idx: int, cells: array<string>>>")
 
 
 def stations(spark, table, by_class=True):

@@ -5,7 +5,6 @@ from civicloom.operators.join import (
     attach_feature_stats,
     district_two_key_lookup,
     enrich_coordinates,
-    feature_collection,
     merge_labels_replace,
     merge_labels_upsert,
 )
@@ -99,23 +98,10 @@ def test_lookup_asks_once_per_name_and_tries_again(spark, tmp_path):
         return None if name == "unknown" else (1.0, 2.0)
 
     rows = [(i, name, None, None) for i, name in enumerate(["x"] * 50 + ["down"] * 3 + ["unknown"] * 4 + [""])]
-    found = lookup(spark.createDataFrame(rows, PLACES), fn, "name").collect()
+    found = lookup(spark.createDataFrame(rows, PLACES), fn, "name", pause=0, pause_between=0).collect()
     assert len(found) == len(rows)
     assert sum(row["latitude"] == 1.0 for row in found) == 50
     asked = open(log).read().split()
     assert {name: asked.count(name) for name in set(asked)} == {"x": 1, "down": 3, "unknown": 1}
 
 
-def test_feature_collection(spark):
-    rows = spark.createDataFrame(
-        [("A", "ก", '{"type":"Point","coordinates":[1,2]}', 3), ("B", "ข", None, 0)],
-        "amp_en string, amp_th string, geometry string, n long")
-    features = attach_feature_stats(rows, ["n"])
-    text = feature_collection(features).first()["collection"]
-    import json
-    document = json.loads(text)
-    assert document["type"] == "FeatureCollection"
-    assert document["features"][0]["properties"] == {"amp_en": "A", "amp_th": "ก", "n": 3}
-    assert document["features"][0]["geometry"]["coordinates"] == [1, 2]
-    with pytest.raises(ValueError):
-        feature_collection(features, max_features=1)

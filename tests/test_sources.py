@@ -1,4 +1,5 @@
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +9,10 @@ from civicloom.operators.filters import resolve_column, trim_column_names
 from civicloom.operators.join import merge_labels_upsert
 from civicloom.schemas import COMPLAINTS, HOSPITALS, LABELED_COMPLAINTS
 from civicloom.session import shared_folder
-from civicloom.sources.files import exists
-from civicloom.sources.nested import read_api_envelope, read_feature_collection
+from civicloom.sources.files import claim, exists
+from civicloom.sources.nested import read_api_envelope, read_feature_collection, rejected_bodies
 from civicloom.sources.snapshots import (
+    export_range_csv,
     latest_snapshot,
     list_snapshots,
     load_labeled,
@@ -18,6 +20,7 @@ from civicloom.sources.snapshots import (
     write_snapshot,
 )
 from civicloom.sources.tables import (
+    count_bad_records,
     read_complaints,
     read_complaints_csv,
     read_enriched_or_raw,
@@ -127,6 +130,58 @@ def test_envelope(spark):
     df = spark.createDataFrame([(json.dumps(body),) for body in bodies] + [("oops",)], "body string")
     rows = read_api_envelope(df, StructType.fromDDL("_id long")).collect()
     assert [tuple(row) for row in rows] == [(1, 9, 2), (2, 9, 2)]
+    assert sorted(r["reason"] for r in rejected_bodies(df, StructType.fromDDL("_id long")).collect()) == [
+        "incomplete", "unreadable", "unsuccessful"]
+
+
+def test_envelope_without_a_flag(spark):
+    bodies = ['{"result": {"total": 1, "records": [{"_id": 1}]}}', '{"result": {"total": 1}}', None, "[1]"]
+    df = spark.createDataFrame([(body,) for body in bodies], "body string")
+    schema = StructType.fromDDL("_id long")
+    assert [tuple(row) for row in read_api_envelope(df, schema).collect()] == [(1, 1, 1)]
+    assert read_api_envelope(df, schema, need_success=True).collect() == []
+    assert sorted(r["reason"] for r in rejected_bodies(df, schema).collect()) == ["no records", "null", "unreadable"]
+    assert "no flag" in [r["reason"] for r in rejected_bodies(df, schema, need_success=True).collect()]
+
+
+def test_columns_go_by_their_names(spark, tmp_path):
+    schema = StructType.fromDDL("ticket_id string, type string, star int")
+    path = write(tmp_path / "c.csv", "star,ticket_id,comment, type \n3,T1,broken lamp,light\nx,T2,no,water\n")
+    df = read_complaints_csv(spark, path, schema, "bad")
+    assert df.columns == ["ticket_id", "type", "star", "comment", "bad"]
+    assert [tuple(r)[:4] for r in df.collect()] == [("T1", "light", 3, "broken lamp"), ("T2", "water", None, "no")]
+    assert tuple(count_bad_records(df, "bad").first()) == (2, 1)
+    with pytest.raises(ValueError):
+        read_complaints_csv(spark, write(tmp_path / "d.csv", "ticket_id,type\nT1,x\n"), schema)
+    with pytest.raises(ValueError):
+        read_complaints_csv(spark, write(tmp_path / "e.csv", "ticket_id,type,star, type\nT1,x,1,y\n"), schema)
+
+
+def test_files_of_a_folder_must_agree(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.csv", "a,b\n1,2\n")
+    write(tmp_path / "in" / "b.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_reference_csv(spark, str(tmp_path / "in"), StructType.fromDDL("a string, b string")).collect()
+
+
+def test_an_export_is_never_overwritten(spark, folder):
+    rows = spark.createDataFrame([("1",), ("2",)], "id string")
+    day = date(2024, 1, 1)
+    first = export_range_csv(rows, folder, day, day)
+    again = read_complaints_csv(spark, first, rows.schema)
+    second = export_range_csv(again, folder, day, day)
+    assert first.endswith("_01012024_01012024.csv") and second.endswith("_01012024_01012024.v2.csv")
+    assert read_complaints_csv(spark, second, rows.schema).count() == again.count() == 2
+    rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").csv(f"{folder}/unfinished.csv", header=True)
+    assert [r["path"] for r in list_snapshots(spark, folder).collect()] == [second, first]
+    with pytest.raises(FileNotFoundError):
+        load_labeled(spark, rows.schema, path=f"{folder}/none.csv")
+
+
+def test_two_writers_share_no_number(spark, folder):
+    assert claim(spark, f"{folder}/_claims/snapshot=1") and not claim(spark, f"{folder}/_claims/snapshot=1")
+    assert write_snapshot(spark.range(3), folder).endswith("snapshot=2")
 
 
 def test_shared_folder_is_the_named_one(spark):
