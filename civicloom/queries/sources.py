@@ -244,7 +244,8 @@ def _read_feature_document(t):
     text = F.to_json(F.struct("features"), {"pretty": "true"})
     path = fresh_path(t.spark, "geojson")
     one.select("s_nationkey", text.alias("value")).write.partitionBy("s_nationkey").text(path)
-    return read_feature_collection(t.spark, f"{path}/*")
+    read = read_feature_collection(t.spark, f"{path}/*")
+    return read.withColumn("geometry", F.to_json(F.try_parse_json("geometry")))
 
 
 @query(
