@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicloom.llm import html, language, lines, minhash, mixing, neardup_vectors, neighbours, packing, token_files, tokens
-from civicloom.session import fresh_path, pin, prepare
+from civicloom.queries.registry import ready
+from civicloom.session import fresh_path, pin
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +29,7 @@ def tokenizer_path() -> str:
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(prepare(spark), folder)
+            return fn(ready(spark), folder)
 
         _QUERIES[name] = run
         if sql is not None:

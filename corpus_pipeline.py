@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from civicloom.llm import language, lines, minhash, mixing, queries
 from civicloom.llm.names import numbered
-from civicloom.session import pin, prepare
+from civicloom.queries.registry import ready
+from civicloom.session import pin
 
 # A document of which no language holds this share is rejected.
 LEAST_SCORE = 0.5
@@ -16,6 +17,7 @@ LEAST_SCORE = 0.5
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from the labelled ones. Null texts, texts without
     a letter and even mixtures of three languages go."""
+    ready(spark)
     plain, name = numbered(docs)
     learned = language.learn(docs.where(~queries.held_out()))
     found = language.identify(plain, learned, text_col=name["text"])
@@ -26,6 +28,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that stand, give or take two characters, in an earlier place;
     ``n_chars`` follows the text."""
+    ready(spark)
     left = lines.drop_repeated_lines(docs, edits=queries.LINE_EDITS, min_chars=queries.LINE_MIN_CHARS)
     kind = docs.schema["n_chars"].dataType
     return left.withColumn("n_chars", F.coalesce(F.char_length("text").cast(kind), "n_chars"))
@@ -34,6 +37,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by similar word shingles, the one with the smallest id.
     Rows that agree in id and text are one document; which of their other columns stay is open."""
+    ready(spark)
     found = minhash.near_duplicates(docs, words=5, percent=80)
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
@@ -41,11 +45,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them."""
+    ready(spark)
     return mixing.mix(docs, queries.MIX_WEIGHTS, queries.MAX_REPEATS, queries.MIX_SEED)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequences and offsets."""
+    ready(spark)
     return queries.packed(docs)
 
 
@@ -63,8 +69,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written and read again."""
-    prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = pin(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
