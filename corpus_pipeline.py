@@ -11,7 +11,7 @@ from civicloom.queries.registry import ready
 from civicloom.session import pin
 
 # A document of which no language holds this share is rejected.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.4
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
