@@ -19,7 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicloom.llm.tokens import encode_documents
+from civicloom.llm.tokens import Coder
+from civicloom.session import pin
 
 RANK_BITS = 512
 # A shard is closed at this many ids; a longer document is a shard of its own.
@@ -40,20 +41,23 @@ class WaveletMatrix:
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
         ids = np.ascontiguousarray(ids, dtype=np.uint32)
         levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
-        if levels <= 16:
-            ids = ids.astype(np.uint16)
+        ids = ids.astype(np.uint16 if levels <= 16 else np.uint32)
+        other = np.empty_like(ids)
         width = -(-max(len(ids), 1) // RANK_BITS) * RANK_BITS // 8
         planes = np.zeros((levels, width), dtype=np.uint8)
         ranks = np.zeros((levels, width * 8 // RANK_BITS), dtype="<u4")
         zeros = np.zeros(levels, dtype=np.int64)
         for level in range(levels):
-            ones = (ids >> ids.dtype.type(levels - 1 - level)) & ids.dtype.type(1) != 0
+            ones = (ids & ids.dtype.type(1 << (levels - 1 - level))).astype(bool)
             packed = np.packbits(ones)
             planes[level, : len(packed)] = packed
-            each = np.bitwise_count(planes[level]).reshape(-1, RANK_BITS // 8).sum(axis=1)
+            counts = np.bitwise_count(planes[level].view(np.uint64))
+            each = counts.reshape(-1, RANK_BITS // 64).sum(axis=1, dtype=np.int64)
             ranks[level, 1:] = np.cumsum(each)[:-1]
-            zeros[level] = len(ids) - int(each.sum())
-            ids = np.concatenate((ids[~ones], ids[ones]))
+            first = zeros[level] = len(ids) - int(each.sum())
+            np.compress(ones, ids, out=other[first:])
+            np.compress(np.logical_not(ones, out=ones), ids, out=other[:first])
+            ids, other = other, ids
         return cls(len(ids), planes.tobytes(), zeros, ranks.tobytes())
 
     def _ones_before(self, level: int, place: int) -> int:
@@ -153,24 +157,36 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int | None, path:
         .withColumn("_tie", F.xxhash64("_text"))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
+        .drop("_tie")
     )
-    ordered = encode_documents(ordered, tokenizer, end_id, id_col=id_col, text_col="_text")
-    id_type = pa_type(ordered, id_col)
+    id_type = pa_type(docs, id_col)
+    end = np.array([] if end_id is None else [end_id], dtype="<u4")
 
     def run(batches):
-        part = TaskContext.get().partitionId()
-        piece, docs, ids, size = 0, [], [], 0
-        for batch in batches:
-            for doc, coded in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = np.frombuffer(coded.as_buffer(), dtype="<u4")
-                if ids and size + len(own) > shard_tokens:
-                    yield _shard(part, piece, docs, ids, id_type)
-                    piece, docs, ids, size = piece + 1, [], [], 0
-                docs.append(doc)
-                ids.append(own)
-                size += len(own)
-        if ids:
-            yield _shard(part, piece, docs, ids, id_type)
+        part, piece = TaskContext.get().partitionId(), 0
+        docs, sizes, ids, held = [], [], [], 0
+        for batch, flat, ends in Coder(tokenizer).encode_all(batches):
+            if len(end):
+                flat = np.insert(flat, ends, end[0])
+                ends = ends + np.arange(1, len(ends) + 1)
+            begin = 0
+            while begin < len(ends):
+                start = int(ends[begin - 1]) if begin else 0
+                # As many documents as fit; one that is too long starts a shard of its own.
+                last = max(begin, int(np.searchsorted(ends, start + shard_tokens - held, "right")))
+                if last == begin and held == 0:
+                    last = begin + 1
+                if last > begin:
+                    docs.append(batch.column(0)[begin:last])
+                    sizes.append(np.diff(ends[begin:last], prepend=start))
+                    ids.append(flat[start:ends[last - 1]])
+                    held += int(ends[last - 1]) - start
+                if last < len(ends):
+                    yield _shard(part, piece, docs, sizes, ids, id_type)
+                    piece, docs, sizes, ids, held = piece + 1, [], [], [], 0
+                begin = last
+        if docs:
+            yield _shard(part, piece, docs, sizes, ids, id_type)
 
     (
         ordered.mapInArrow(run, _FILE.format(kind=kind))
@@ -185,12 +201,14 @@ def pa_type(df: DataFrame, name: str) -> pa.DataType:
     return to_arrow_type(df.schema[name].dataType)
 
 
-def _shard(part: int, piece: int, docs: list, ids: list[np.ndarray], id_type) -> pa.RecordBatch:
+def _shard(part: int, piece: int, docs: list, sizes: list, ids: list, id_type) -> pa.RecordBatch:
     matrix = WaveletMatrix.of(np.concatenate(ids))
+    names_of = pa.concat_arrays([d.cast(id_type) for d in docs])
     columns = [
         pa.array([part], pa.int32()), pa.array([piece], pa.int32()),
-        pa.array([matrix.length], pa.int64()), pa.array([docs], pa.list_(id_type)),
-        pa.array([[len(own) for own in ids]], pa.list_(pa.int64())),
+        pa.array([matrix.length], pa.int64()),
+        pa.ListArray.from_arrays(pa.array([0, len(names_of)], pa.int32()), names_of),
+        pa.array([np.concatenate(sizes)], pa.list_(pa.int64())),
         pa.array([matrix.zeros.tolist()], pa.list_(pa.int64())),
         pa.array([matrix.ranks.tobytes()], pa.binary()), pa.array([matrix.bits.tobytes()], pa.binary()),
     ]
@@ -222,7 +240,8 @@ def read_token_files(spark, path: str, id_type: str = "long", *, id_col: str = "
         .join(parts, "shard_part")
         .select("shard_part", "shard_piece", (F.col("_inside") + F.col("_before")).alias("shard_start"))
     )
-    placed = files.join(starts, ["shard_part", "shard_piece"]).select(
+    # Written first, so that its size is known: the planes are not shuffled to meet a short list.
+    placed = files.join(pin(starts, "shard-starts"), ["shard_part", "shard_piece"]).select(
         "shard_start", "n_tokens", "doc_ids", "doc_tokens", "zeros", "ranks", "planes")
 
     def run(batches):

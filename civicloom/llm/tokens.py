@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Words remembered by one worker process. Beyond it the memory starts anew; ids do not depend on it.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 450_000
 # Texts encoded together, in bytes; a longer text is a part of its own.
 PART_BYTES = 2_000_000
 # Rows of a batch handed back to Spark.
@@ -48,14 +48,18 @@ class Coder:
 
     def _unit(self, text: str) -> bytes:
         """Ids of what the merge rules see as one."""
-        letters = text.encode().decode("latin-1").translate(self._letters)
+        if text.isascii() and text[1:].isalpha():
+            letters = self._letters[32] + text[1:] if text[0] == " " else text
+        else:
+            letters = text.encode().decode("latin-1").translate(self._letters)
         return array("I", [token.id for token in self._library.model.tokenize(letters)]).tobytes()
 
     def word(self, text: str) -> bytes:
         """Ids, as little-endian unsigned 32-bit numbers, of a word with its blank."""
         known = self._by_word.get(text)
         if known is None:
-            units = [text] if text[1:].isalpha() else self._units.findall(text)
+            letters = text[1:] if text[:1] == " " else text
+            units = [text] if letters.isalpha() else self._units.findall(text)
             if len(units) == 1:
                 known = self._unit(text)
             else:
@@ -103,7 +107,9 @@ class Coder:
         bounds = words.offsets.to_numpy().astype(np.int64)
         bounds = bounds - bounds[0]
         coded = words.flatten().dictionary_encode()
-        ids = [self.word(" " + word) for word in coded.dictionary.to_pylist()]
+        known_word, new_word = self._by_word.get, self.word
+        blank_words = [" " + word for word in coded.dictionary.to_pylist()]
+        ids = [known_word(word) or new_word(word) for word in blank_words]
         index = coded.indices.to_numpy().astype(np.int64)
         # The first word of a text has no blank before it.
         starts = bounds[:-1]

@@ -16,7 +16,8 @@ from tests.llm.small import documents, rows_of, sentence
 
 ODD = ["", " ", "  ", " a", "a ", "a  b", "\n", "a\n b", "a \nb", "<|endoftext|> hi<|endoftext|>",
        "don't it's we'll", "日本 語。です", "a,b. c!? d;;", "é à", "　a 　", "tab\tx y\t z",
-       "a\x1c b", "Ⅷ ²³ 1a", " ' s", "ab. 's", "\u0085 x", None, "x" * 5000, "word " * 3000]
+       "a\x1c b", "Ⅷ ²³ 1a", " ' s", "ab. 's", "\u0085 x", None, "x" * 5000, "word " * 3000,
+       "(the", "\"the (the", ".st", "#include", "-ing 1st 2nd", "1the the1", "'the", "\x00the", "é\u0301a \u0301b"]
 
 
 @pytest.fixture(scope="module")
