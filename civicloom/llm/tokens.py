@@ -59,7 +59,12 @@ class Coder:
         known = self._by_word.get(text)
         if known is None:
             letters = text[1:] if text[:1] == " " else text
-            units = [text] if letters.isalpha() else self._units.findall(text)
+            if letters.isalpha():
+                units = [text]
+            elif letters[-1:] in _MARKS and letters[:-1].isalpha():
+                units = [text[:-1], text[-1]]
+            else:
+                units = self._units.findall(text)
             if len(units) == 1:
                 known = self._unit(text)
             else:
@@ -134,6 +139,10 @@ class Coder:
 _UNITS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+# Marks that follow letters as a unit of their own.
+_MARKS = frozenset(".,;:!?")
+
+
 def _remembered(tokenizer: str) -> dict[str, bytes]:
     """Words this worker process has met, kept from one task to the next."""
     memory = sys.modules.setdefault("_civicloom_words", types.ModuleType("_civicloom_words"))
