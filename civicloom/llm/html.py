@@ -3,8 +3,10 @@
 Markup is stripped to lines, one per block element; menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments leave empty lines. Lengths of text are summed
 over windows of a few lines. The main text starts where the sums surge, ends where they dive for
-the last time, and all lines between are kept. A page that marks its article shows no length
-outside of it, so that short paragraphs at its ends count however short they are.
+the last time, and all lines between are kept. From there it grows over the text beside it, however
+short, until links or a gap. Sums surge at a fixed length or, where lines are shorter, at their
+median, weighted by the logarithms of the lengths: one huge paragraph does not raise it. A page
+that marks its article gives the marked lines only.
 """
 
 from __future__ import annotations
@@ -12,14 +14,16 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from html import unescape
+from math import log1p
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Lines of a window, the line itself in the middle.
 WINDOW = 3
-# Share of the fullest window at which the sums count as surged, where no article is marked.
-SURGE = 0.2
+# Characters at which the sum of a window counts as surged, unless most lines are shorter.
+SURGE = 86
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -63,6 +67,11 @@ class Line:
     length: int
     marked: bool
 
+    @property
+    def is_links(self) -> bool:
+        """Whether most of the line's text stands in links."""
+        return 2 * self.length < len(self.text)
+
 
 def _furniture(name: str, rest: str, by_class: bool) -> bool:
     if name in _DROPPED:
@@ -85,7 +94,8 @@ def _furniture(name: str, rest: str, by_class: bool) -> bool:
 
 
 def page_lines(html: str, by_class: bool = True) -> list[Line]:
-    """The page as lines of stripped text. Dropped elements leave one empty line."""
+    """The page as lines of stripped text. A dropped element leaves one empty line; the ends of
+    other blocks leave none."""
     lines: list[Line] = []
     parts: list[str] = []
     state = {"links": 0, "linked": 0}
@@ -94,7 +104,8 @@ def page_lines(html: str, by_class: bool = True) -> list[Line]:
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
-        lines.append(Line(text, max(0, len(text) - state["linked"]), marked > 0))
+        if text:
+            lines.append(Line(text, max(0, len(text) - state["linked"]), marked > 0))
         parts.clear()
         state["linked"] = 0
 
@@ -112,6 +123,8 @@ def page_lines(html: str, by_class: bool = True) -> list[Line]:
             if name not in _INLINE:
                 flush()
             dropped -= was_dropped
+            if was_dropped and not dropped:
+                lines.append(Line("", 0, marked > 0))
             marked -= was_marked
             state["links"] -= name == "a"
 
@@ -161,29 +174,36 @@ def page_lines(html: str, by_class: bool = True) -> list[Line]:
     return lines
 
 
+def _median(values: list[tuple[float, float]]) -> float:
+    """Of ``(value, weight)``, the value that half of the weight does not exceed."""
+    values.sort()
+    rest = sum(weight for _, weight in values) / 2
+    for value, weight in values:
+        rest -= weight
+        if rest <= 0:
+            break
+    return value
+
+
 def between_surge_and_dive(lines: list[Line]) -> tuple[int, int]:
     """First and last line of the main text, as a half-open range; empty if there is none."""
-    any_marked = any(line.marked and line.text for line in lines)
-    if any_marked:
-        signal = [len(line.text) if line.marked else 0 for line in lines]
-    else:
-        signal = [line.length for line in lines]
     rows = [k for k, line in enumerate(lines) if line.text]
     if not rows:
         return 0, 0
     # Windows run over lines that have text, and over the gaps that dropped elements leave.
-    sums, total = [], 0
-    for k in range(len(signal) + WINDOW - 1):
-        total += signal[k] if k < len(signal) else 0
-        total -= signal[k - WINDOW] if k >= WINDOW else 0
-        sums.append(total)  # of lines k - WINDOW + 1 to k
-    level = 1 if any_marked else max(1, SURGE * max(sums))
-    high = [k for k, value in enumerate(sums) if value >= level]
-    if not high:
+    padded = [0] * (WINDOW // 2) + [line.length for line in lines] + [0] * (WINDOW // 2)
+    sums = [sum(padded[k:k + WINDOW]) for k in range(len(lines))]
+    told = [k for k in rows if not lines[k].is_links]
+    if not told:
         return rows[0], rows[-1] + 1  # nothing but links
-    first, last = max(0, high[0] - WINDOW + 1), min(len(lines) - 1, high[-1])
-    inside = [k for k in range(first, last + 1) if signal[k]]
-    return inside[0], inside[-1] + 1
+    level = min(SURGE, _median([(sums[k], log1p(lines[k].length)) for k in told]))
+    high = [k for k in told if sums[k] >= level]
+    first, last = high[0], high[-1]
+    while first and lines[first - 1].text and not lines[first - 1].is_links:
+        first -= 1
+    while last + 1 < len(lines) and lines[last + 1].text and not lines[last + 1].is_links:
+        last += 1
+    return first, last + 1
 
 
 def main_text(html: str | None) -> str:

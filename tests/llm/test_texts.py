@@ -207,3 +207,25 @@ def test_pipeline_edges(spark):
             assert left.columns == docs.columns
         packed = corpus_pipeline.STAGES[-1][1](spark, left, SMALL)
         assert {r["doc_id"] for r in packed.collect()} <= (set() if empty else {4, None})
+
+
+def blocks(*texts):
+    return "".join(f"<p>{text}</p>" for text in texts)
+
+
+def test_pages_of_unequal_paragraphs():
+    """Neither a huge paragraph nor a short one at the ends takes other paragraphs away."""
+    few = [f"{k} " + "word " * 40 for k in range(15)]
+    texts = ["Short.", "By X.", *few, "huge " * 2000, *few, "The", "end", "is", "here."]
+    joined = " ".join(" ".join(t.split()) for t in texts)
+    menu = "<ul>" + "".join(f"<li><a href=/{k}>Menu entry {k}</a></li>" for k in range(20)) + "</ul>"
+    assert html.main_text(PAGE % f"<div>{blocks(*texts)}</div>") == joined
+    assert html.main_text(f"<body>{menu}<div>{blocks(*texts)}</div>{menu}</body>") == joined
+    poem = [f"a line of a poem {k}" for k in range(100)]
+    page = f"<body><div>{blocks(*poem)}</div><nav>x</nav><p>{'far ' * 30}</p></body>"
+    assert " ".join(poem) in html.main_text(page)
+
+
+def test_windows_hold_three_lines_of_text():
+    lines = html.page_lines("<div><div><p>a</p></div></div><nav>n<div>m</div></nav><ul><li>b</li><li>c</li></ul>")
+    assert [line.text for line in lines] == ["a", "", "b", "c"]
