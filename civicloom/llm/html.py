@@ -5,8 +5,8 @@ adverts, forms, scripts, styles and reader comments leave empty lines. Lengths o
 over windows of a few lines. The main text starts where the sums surge, ends where they dive for
 the last time, and all lines between are kept. From there it grows over the text beside it, however
 short, until links or a gap. Sums surge at a fixed length or, where lines are shorter, at their
-median, weighted by the logarithms of the lengths: one huge paragraph does not raise it. A page
-that marks its article gives the marked lines only.
+median, weighted by the logarithms of the lengths: one huge paragraph does not raise it. The sums
+decide on every page; an article or main element is a check afterwards of what they picked.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ _FURNITURE = frozenset({
     "promotion", "related", "replies", "reply", "search", "share", "sharing", "sidebar", "signup", "social",
     "sponsor", "sponsored", "subscribe", "subscription", "teaser", "toolbar", "widget"})
 _REPLIES = frozenset({"comment", "comments", "disqus", "replies", "reply"})
-_MAIN = frozenset({"article", "main"})
+_MARKS = {"main": 1, "article": 2}
 # Elements that hold the whole page: their classes say something about it, not what they are.
 _FRAMES = frozenset({"html", "body", "article", "main"})
 
@@ -65,7 +65,7 @@ _FRAMES = frozenset({"html", "body", "article", "main"})
 class Line:
     text: str
     length: int
-    marked: bool
+    mark: int  # 2 within an article, 1 within main, else 0
 
     @property
     def is_links(self) -> bool:
@@ -99,13 +99,16 @@ def page_lines(html: str, by_class: bool = True) -> list[Line]:
     lines: list[Line] = []
     parts: list[str] = []
     state = {"links": 0, "linked": 0}
-    stack: list[tuple[str, bool, bool]] = []  # name, dropped, marked
-    dropped = marked = 0
+    stack: list[tuple[str, bool, int]] = []  # name, dropped, mark
+    dropped, open_marks = 0, [0, 0, 0]
+
+    def mark() -> int:
+        return 2 if open_marks[2] else 1 if open_marks[1] else 0
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            lines.append(Line(text, max(0, len(text) - state["linked"]), marked > 0))
+            lines.append(Line(text, max(0, len(text) - state["linked"]), mark()))
         parts.clear()
         state["linked"] = 0
 
@@ -117,15 +120,15 @@ def page_lines(html: str, by_class: bool = True) -> list[Line]:
                 state["linked"] += len(text.strip())
 
     def close(place: int) -> None:
-        nonlocal dropped, marked
+        nonlocal dropped
         while len(stack) > place:
-            name, was_dropped, was_marked = stack.pop()
+            name, was_dropped, was_mark = stack.pop()
             if name not in _INLINE:
                 flush()
             dropped -= was_dropped
             if was_dropped and not dropped:
-                lines.append(Line("", 0, marked > 0))
-            marked -= was_marked
+                lines.append(Line("", 0, mark()))
+            open_marks[was_mark] -= 1
             state["links"] -= name == "a"
 
     at, end = 0, len(html)
@@ -164,10 +167,10 @@ def page_lines(html: str, by_class: bool = True) -> list[Line]:
         if name in _VOID:
             continue
         is_dropped = _furniture(name, rest, by_class)
-        is_marked = name in _MAIN and not is_dropped and not dropped
-        stack.append((name, is_dropped, is_marked))
+        own_mark = 0 if is_dropped or dropped else _MARKS.get(name, 0)
+        stack.append((name, is_dropped, own_mark))
         dropped += is_dropped
-        marked += is_marked
+        open_marks[own_mark] += 1
         state["links"] += name == "a"
     close(0)
     flush()
@@ -186,7 +189,7 @@ def _median(values: list[tuple[float, float]]) -> float:
 
 
 def between_surge_and_dive(lines: list[Line]) -> tuple[int, int]:
-    """First and last line of the main text, as a half-open range; empty if there is none."""
+    """First and last line between surge and dive, as a half-open range; empty if there is none."""
     rows = [k for k, line in enumerate(lines) if line.text]
     if not rows:
         return 0, 0
@@ -198,12 +201,55 @@ def between_surge_and_dive(lines: list[Line]) -> tuple[int, int]:
         return rows[0], rows[-1] + 1  # nothing but links
     level = min(SURGE, _median([(sums[k], log1p(lines[k].length)) for k in told]))
     high = [k for k in told if sums[k] >= level]
-    first, last = high[0], high[-1]
-    while first and lines[first - 1].text and not lines[first - 1].is_links:
-        first -= 1
-    while last + 1 < len(lines) and lines[last + 1].text and not lines[last + 1].is_links:
-        last += 1
-    return first, last + 1
+    return high[0], high[-1] + 1
+
+
+def _checked(lines: list[Line], kept: list[int]) -> tuple[list[int], int]:
+    """Of the lines between surge and dive those that the marks agree with, and their least mark.
+
+    A mark counts if most of the text between stands under it: text beside it goes. Otherwise
+    articles are teasers or quotations; they go where the text would start or end with them.
+    """
+    weight = [0, 0, 0]
+    for k in kept:
+        weight[lines[k].mark] += lines[k].length
+    if 2 * weight[2] > sum(weight):
+        return [k for k in kept if lines[k].mark == 2], 2
+    least = int(weight[1] > weight[0])
+    kept = [k for k in kept if lines[k].mark >= least]
+    plain = [k for k in kept if lines[k].mark < 2 and not lines[k].is_links]
+    if 2 * weight[2] < sum(weight) and plain:
+        kept = [k for k in kept if plain[0] <= k <= plain[-1]]
+    return kept, least
+
+
+def _grown(lines: list[Line], at: int, step: int, least: int) -> int:
+    """How far the text goes on from a line of it: over text that is not links; within an article
+    also past gaps and single lines of links, if such text follows."""
+    far, links, k = at, 0, at + step
+    while 0 <= k < len(lines) and lines[k].mark >= least and (least == 2 or lines[k].mark < 2):
+        if lines[k].text and not lines[k].is_links:
+            far, links = k, 0
+        elif least < 2:
+            break
+        elif lines[k].is_links:
+            links += 1
+            if links == 2:
+                break
+        k += step
+    return far
+
+
+def main_lines(lines: list[Line]) -> list[str]:
+    """The lines of the main text."""
+    first, last = between_surge_and_dive(lines)
+    kept, least = _checked(lines, [k for k in range(first, last) if lines[k].text])
+    if not kept:
+        return []
+    if not all(lines[k].is_links for k in kept):
+        before, after = _grown(lines, kept[0], -1, least), _grown(lines, kept[-1], 1, least)
+        kept = [*range(before, kept[0]), *kept, *range(kept[-1] + 1, after + 1)]
+    return [lines[k].text for k in kept if lines[k].text]
 
 
 def main_text(html: str | None) -> str:
@@ -212,12 +258,7 @@ def main_text(html: str | None) -> str:
         return ""
     # Class names mislead on a few pages: if they leave nothing, go by elements alone.
     for by_class in (True, False):
-        lines = page_lines(html, by_class)
-        first, last = between_surge_and_dive(lines)
-        kept = lines[first:last]
-        if any(line.marked for line in kept):
-            kept = [line for line in kept if line.marked]
-        text = " ".join(line.text for line in kept if line.text)
+        text = " ".join(main_lines(page_lines(html, by_class)))
         if text:
             return text
     return ""

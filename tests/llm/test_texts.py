@@ -229,3 +229,25 @@ def test_pages_of_unequal_paragraphs():
 def test_windows_hold_three_lines_of_text():
     lines = html.page_lines("<div><div><p>a</p></div></div><nav>n<div>m</div></nav><ul><li>b</li><li>c</li></ul>")
     assert [line.text for line in lines] == ["a", "", "b", "c"]
+
+
+def test_marks_check_what_the_windows_pick():
+    story = [f"Paragraph {k} of the story has a fair number of words in it, as stories do." for k in range(6)]
+    text = " ".join(["Head", *story, "Fin."])
+    body = f"<h1>Head</h1>{blocks(*story)}<p>Fin.</p>"
+    menu = "<ul>" + "".join(f"<li><a href=/{k}>Entry {k}</a></li>" for k in range(9)) + "</ul>"
+    card = "<article class=card><h3>Next</h3><p>A teaser of another story, with a few words.</p></article>"
+    assert html.main_text(f"<body>{menu}<div>{body}</div>{menu}</body>") == text  # unmarked
+    for page in (f"<div>{body}</div>{card}", f"{card}<div>{body}</div>", f"{card}{menu}<div>{body}</div>{menu}{card}"):
+        assert html.main_text(f"<body>{page}</body>") == text
+        assert html.main_text(f"<body><main>{page}</main></body>") == text
+    wrapped = f"<body><main>{menu}<div>Site</div>{menu}<div>{body}</div>{menu}<div>&copy; 2020</div></main></body>"
+    assert html.main_text(wrapped) == text
+    marked = f"<body><p>Of today</p><article>{body[:-11]}<div class=ad>Buy</div><p>Fin.</p></article><p>Legal</p></body>"
+    assert html.main_text(marked) == text
+    assert html.main_text("<article><p>a</p></article><article><p>b</p></article>") == "a b"
+
+
+def test_windows_decide_on_marked_pages():
+    lines = html.page_lines("<article><ul>" + "<li><a>Entry</a></li>" * 9 + f"</ul><p>{'word ' * 50}</p></article>")
+    assert html.between_surge_and_dive(lines) == (9, 10)
