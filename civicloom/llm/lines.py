@@ -25,13 +25,14 @@ from civicloom.session import pin
 _LETTERS = "etaoinsrhldcumgp"
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int | None) -> DataFrame:
     rows = docs.select(
         F.col(id_col).alias("_id"),
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("_row"),
         F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("_line_no", "_line"),
     )
-    return rows.where(F.char_length("_line") >= min_chars).withColumns({
+    looked_at = F.col("_line").rlike(r"\S") if min_chars is None else F.char_length("_line") >= min_chars
+    return rows.where(looked_at).withColumns({
         "_h1": F.xxhash64("_line"), "_h2": F.xxhash64(F.lit(1), F.reverse("_line"))})
 
 
@@ -135,17 +136,19 @@ def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
     return own.join(probes, met).select(*names).distinct()
 
 
-def repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int = 20, id_col: str = "doc_id",
+def repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int | None = None, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Lines that go: ``_id``, ``_row`` (the document, by id and a hash of id and text) and
     ``removed`` (numbers of its lines from 0, ascending). Documents that lose none are not listed.
 
-    Lines are what line feeds divide. A line of at least ``min_chars`` characters goes if an equal
-    line, or one within ``edits`` edits, stands first in an earlier place; documents are in order
-    of their id (null first) and that hash. Shorter lines, which are titles and blanks, always
-    stay. Rows equal in id and text are one document. Null texts have no lines.
+    Lines are what line feeds divide. A line goes if an equal line, or one within ``edits`` edits,
+    stands first in an earlier place; documents are in order of their id (null first) and that
+    hash. Blank lines always stay, and lines of less than ``(edits + 1) ** 2`` characters go for
+    equal ones only. With ``min_chars``, all shorter lines stay. Rows equal in id and text are one
+    document. Null texts have no lines.
     """
-    if min_chars < (edits + 1) ** 2:
+    segments_from = (edits + 1) ** 2
+    if min_chars is not None and min_chars < segments_from:
         raise ValueError("segments must be longer than the edits")
     found = _lines(docs, id_col, text_col, min_chars)
     place = F.struct("_id", "_row", "_line_no").alias("_place")
@@ -159,7 +162,7 @@ def repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int = 20, id_c
             F.first("_parities").alias("_parities"), F.first("_keys").alias("_keys")),
         "lines",
     )
-    pairs = pin(near_pairs(lines, edits), "line-pairs")
+    pairs = pin(near_pairs(lines.where(F.col("_size") >= segments_from), edits), "line-pairs")
     asked = pairs.select(F.col("short_h1").alias("_h1"), F.col("short_h2").alias("_h2")).union(
         pairs.select("long_h1", "long_h2")).distinct()
     asked = asked.join(lines.select("_h1", "_h2", "_place"), ["_h1", "_h2"])
@@ -192,7 +195,7 @@ def repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int = 20, id_c
     )
 
 
-def line_report(docs: DataFrame, *, edits: int = 2, min_chars: int = 20, id_col: str = "doc_id",
+def line_report(docs: DataFrame, *, edits: int = 2, min_chars: int | None = None, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col``, ``n_lines`` (0 for a null text), ``n_removed`` and
     ``removed`` (see ``repeated_lines``). Texts are not moved."""
@@ -210,7 +213,7 @@ def line_report(docs: DataFrame, *, edits: int = 2, min_chars: int = 20, id_col:
     )
 
 
-def drop_repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int = 20, id_col: str = "doc_id",
+def drop_repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int | None = None, id_col: str = "doc_id",
                         text_col: str = "text") -> DataFrame:
     """``docs`` without the lines that go (see ``repeated_lines``), in the same columns. A
     document of which no character but white space is left goes too, unless it lost no line."""

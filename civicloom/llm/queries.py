@@ -144,12 +144,11 @@ def op10(spark, folder):
 
 
 LINE_EDITS = 2
-LINE_MIN_CHARS = 20
 
 
 @query("op3_line_dedup")
 def op3(spark, folder):
-    return lines.line_report(table(spark, folder, "documents"), edits=LINE_EDITS, min_chars=LINE_MIN_CHARS)
+    return lines.line_report(table(spark, folder, "documents"), edits=LINE_EDITS)
 
 
 # The pages mark their article: its blocks, without inline markup, in page order.

@@ -26,10 +26,10 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand, give or take two characters, in an earlier place;
-    ``n_chars`` follows the text."""
+    """Documents without lines that stand, give or take two characters from nine characters up, in
+    an earlier place; ``n_chars`` follows the text."""
     ready(spark)
-    left = lines.drop_repeated_lines(docs, edits=queries.LINE_EDITS, min_chars=queries.LINE_MIN_CHARS)
+    left = lines.drop_repeated_lines(docs, edits=queries.LINE_EDITS)
     kind = docs.schema["n_chars"].dataType
     return left.withColumn("n_chars", F.coalesce(F.char_length("text").cast(kind), "n_chars"))
 

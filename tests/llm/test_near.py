@@ -112,6 +112,25 @@ def test_line_edges(spark):
         lines.line_report(docs, edits=4, min_chars=20)
 
 
+def test_short_lines(spark):
+    """Equal lines go whatever their length, blank ones stay, segments serve from 9 characters."""
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcé ") for _ in range(rng.randint(1, 13))) for _ in range(25)]
+    rows = [(d, "\n".join([*(changed(rng, rng.choice(base), rng.randint(0, 3)) for _ in range(6)), "", " \t", "ok"]))
+            for d in range(25)]
+    places = {}
+    for d, text in rows:
+        for k, line in enumerate(text.split("\n")):
+            if line.strip():
+                places.setdefault(line, []).append((d, k))
+    long = [line for line in places if len(line) >= 9]
+    gone = {b for b in long for a in long if places[a][0] < places[b][0] and distance(a, b) <= 2}
+    want = {d: sorted(k for line, where in places.items() for e, k in (where if line in gone else where[1:]) if e == d)
+            for d, _ in rows}
+    assert gone and sum(map(len, want.values())) > 50
+    assert {r["doc_id"]: r["removed"] for r in lines.line_report(documents(spark, rows)).collect()} == want
+
+
 def test_lines_use_no_python(spark):
     plan = queries.queries()["op3_line_dedup"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
