@@ -139,6 +139,37 @@ def pack(pieces: DataFrame, max_tokens: int, *, order_by: list[str]) -> DataFram
     return ranked.mapInPandas(place, f"{schema}, sequence_id long, offset long")
 
 
+def fill_sequences(placed: DataFrame, ids: DataFrame, *, key: str, id_col: str = "doc_id") -> DataFrame:
+    """The packed sequences: ``sequence_id``, ``n_tokens``, ``ids`` (of the whole sequence, from
+    its first token on) and ``pieces``, an array by ``offset`` of ``offset, length, id_col, piece,
+    start``.
+
+    ``placed`` is what ``pack`` gives; ``key`` names a column that is different for every piece
+    and tells which of the rows of ``ids``, ``(key, ids)``, belongs to it. Ids move once to their
+    piece and once to their sequence.
+    """
+    facts = ["offset", "length", id_col, "piece", "start"]
+    joined = placed.join(ids.select(key, F.col("ids").alias("_ids")), key)
+    together = joined.groupBy("sequence_id").agg(
+        F.array_sort(F.collect_list(F.struct("offset", F.struct(*facts).alias("fact"), "_ids"))).alias("_all"))
+    return together.select(
+        "sequence_id",
+        F.expr("aggregate(_all, 0L, (n, p) -> n + p.fact.length)").alias("n_tokens"),
+        F.expr("aggregate(_all, cast('' as binary), (whole, p) -> concat(whole, p._ids))").alias("ids"),
+        F.col("_all.fact").alias("pieces"),
+    )
+
+
+def pieces_of(sequences: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+    """The pieces of filled sequences, a row each: ``id_col, piece, start, length, ids,
+    sequence_id, offset``."""
+    rows = sequences.select("sequence_id", "ids", F.explode("pieces").alias("_fact"))
+    own = F.expr("substring(ids, cast(_fact.offset * 4 + 1 as int), cast(_fact.length * 4 as int))")
+    return rows.select(
+        F.col("_fact")[id_col].alias(id_col), "_fact.piece", "_fact.start", "_fact.length", own.alias("ids"),
+        "sequence_id", "_fact.offset")
+
+
 class _Slots:
     """For each length, which ranks go to which sequences, and where in them."""
 

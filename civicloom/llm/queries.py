@@ -63,6 +63,17 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(lean, MAX_TOKENS, order_by=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
+def packed_sequences(docs: DataFrame) -> DataFrame:
+    """The filled sequences of ``docs``, one row each."""
+    encoded = tokens.encode_documents(docs, tokenizer_path(), PACK_END)
+    cut = packing.cut_pieces(encoded, MAX_TOKENS)
+    # Copies of a document agree in everything else. The numbers are written with the pieces.
+    pieces = pin(cut.withColumns({"key": F.monotonically_increasing_id(), "ids_crc32": F.crc32("ids")}), "token-pieces")
+    order = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    placed = packing.pack(pieces.select("key", *order), MAX_TOKENS, order_by=order)
+    return packing.fill_sequences(placed, pieces, key="key")
+
+
 @query("op1_best_fit_packing")
 def op1(spark, folder):
     return packed(table(spark, folder, "documents").select("doc_id", "text"))

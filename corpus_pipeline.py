@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.llm import language, lines, minhash, mixing, queries
+from civicloom.llm import language, lines, minhash, mixing, packing, queries
 from civicloom.llm.names import numbered
 from civicloom.queries.registry import ready
 from civicloom.session import pin
@@ -50,9 +50,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their sequences and offsets."""
+    """Pieces of the documents with their token ids, sequences and offsets, read from the filled
+    sequences, which are written to the shared folder."""
     ready(spark)
-    return queries.packed(docs)
+    return packing.pieces_of(pin(queries.packed_sequences(docs), "sequences"))
 
 
 STAGES = [

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from civicloom.llm import packing, queries, token_files, tokens
 from civicloom.session import fresh_path
 from tests.llm.small import documents, rows_of, sentence
@@ -145,6 +146,32 @@ def test_packing_edges(spark):
     assert queries.packed(docs.limit(0)).collect() == []
 
 
+def test_sequences_are_filled_with_ids(spark, library):
+    """Copies of a document, too, come out whole, each once; the pipeline's rows hold their ids."""
+    rows = [(1, None), (2, "one two"), (2, "one two"), (2, "one two"), (None, "a b"), (3, "long " * 2500), (4, "tie")]
+    docs = documents(spark, rows)
+    found = queries.packed_sequences(docs).collect()
+    got = []
+    for row in found:
+        ids, end = np.frombuffer(row["ids"], dtype="<u4").tolist(), 0
+        assert len(ids) == row["n_tokens"] <= 1024
+        for p in row["pieces"]:
+            assert p["offset"] == end
+            end += p["length"]
+            got.append((p["doc_id"], p["piece"], p["start"], ids[p["offset"]:end]))
+        assert end == len(ids)
+    want = []
+    for d, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        cuts = sorted({0, *range(len(ids) % 1024, len(ids), 1024), len(ids)})
+        want += [(d, k, a, ids[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))] if len(ids) > 1024 else [(d, 0, 0, ids)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    assert sorted(((r["doc_id"], r["piece"], r["start"], np.frombuffer(r["ids"], dtype="<u4").tolist()) for r in pieces),
+                  key=repr) == sorted(want, key=repr)
+    assert queries.packed_sequences(docs.limit(0)).collect() == []
+
+
 def test_a_frequent_length_is_dealt_out(spark):
     pieces = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(100).cast("long").alias("length"))
     df = packing.pack(pieces, 1024, order_by=["doc_id", "piece"])
