@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.llm import html, language, lines, minhash, mixing, neardup_vectors, neighbours, packing, token_files, tokens
+from civicloom.llm import (
+    html,
+    language,
+    lines,
+    minhash,
+    mixing,
+    neardup_vectors,
+    neighbours,
+    packing,
+    repair,
+    token_files,
+    tokens,
+    topk,
+    trie,
+)
 from civicloom.queries.registry import ready
 from civicloom.session import fresh_path, pin
 
@@ -220,3 +234,214 @@ def op6(spark, folder):
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     index = pin(neighbours.build_index(vectors, ids_per_vector=NEAREST + 1), "graphs")
     return neighbours.search(index, vectors.where("vec_id % 50 = 0"), NEAREST)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults put in by a hash of conversation and turn; null roles and texts
+    are one space."""
+    blank = F.lit(" ")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"),
+                     F.coalesce(F.col("turn").cast("string"), blank))
+    fault = F.crc32(place) % 20
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    rows = conversations.select(
+        "conv_id", "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("times"))
+    return rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("times", "copy")
+
+
+# CRC-32 of an ASCII text ``{0}``, eight bits of a character at a time.
+_CRC_SQL = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda crc, ch: list_reduce(list_prepend(xor(crc, ch), range(8)),
+                                lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"""
+
+
+# Above every cost; a cheapest past is ten digits of its cost, then its initials.
+_NEVER = "5" + "0" * 9
+
+
+def _then(past: str, price: str, initials: str) -> str:
+    return f"(lpad((substr({past}, 1, 10)::BIGINT + {price})::VARCHAR, 10, '0') || substr({past}, 11) || '{initials}')"
+
+
+def _stays(past: str, initial: str) -> str:
+    """A past goes on with a turn kept or made one of the role that is due."""
+    return (f"CASE WHEN q.must_go THEN '{_NEVER}' WHEN q.initial = '{initial}' THEN {_then(past, 'q.extra', 'K')} "
+            f"ELSE {_then(past, '2 + q.extra', 'R')} END")
+
+
+# The cheapest pasts of the four states, turn after turn; the least text is the cheapest past and
+# of several the first. Inserts come before a turn is dealt with (w), then its own edit.
+REPAIR_SQL = rf"""
+WITH RECURSIVE
+source AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_CRC_SQL.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+    FROM conversations),
+turns AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM source),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+        sha256(strlen(role)::VARCHAR || ':' || role || text)) AS n
+    FROM turns),
+judged AS (
+    SELECT *, substr(role, 1, 1) AS initial,
+           NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+           NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS unended,
+           lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before
+    FROM placed),
+ruled AS (
+    SELECT *, blank OR again AS must_go, (unended AND NOT blank AND NOT again)::BIGINT AS extra FROM judged),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again AND NOT blank) AS duplicate,
+           sum(extra)::BIGINT AS truncated,
+           count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+           max(n) AS last
+    FROM ruled GROUP BY conv_id),
+walk AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS n, '{"0" * 10}' AS s0, '{_NEVER}' AS s1, '{_NEVER}' AS s2, '{_NEVER}' AS s3
+    FROM ruled
+    UNION ALL
+    SELECT w.conv_id, q.n, {_then("w.s0", "3", "D")},
+           least({_then("w.s1", "3", "D")},
+                 CASE WHEN q.initial = 's' AND NOT q.must_go THEN {_then("w.s0", "q.extra", "K")} ELSE '{_NEVER}' END),
+           least({_then("w.s2", "3", "D")}, {", ".join(_stays(f"w.{s}", "u") for s in ("s0", "s1", "s3"))}),
+           least({_then("w.s3", "3", "D")}, {_stays("w.s2", "a")})
+    FROM (SELECT conv_id, n, s0, s1, s2, least(s3, {_then("s2", "2", "I")}) AS s3
+          FROM (SELECT conv_id, n, s0, s1, s3,
+                       least(s2, {", ".join(_then(s, "2", "I") for s in ("s0", "s1", "s3"))}) AS s2
+                FROM walk)) w
+    JOIN ruled q ON q.conv_id IS NOT DISTINCT FROM w.conv_id AND q.n = w.n + 1),
+best AS (
+    SELECT w.conv_id, c.gaps, c.blank, c.duplicate, c.truncated, c.illegal,
+           least(s0, s3, {_then("s2", "2", "I")}, {_then("s1", "4", "II")}) AS past
+    FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.last = w.n),
+edits AS (
+    SELECT conv_id, place, substr(past, (10 + place)::BIGINT, 1) AS edit
+    FROM (SELECT conv_id, past, unnest(range(1, length(past) - 9)) AS place FROM best)),
+dealt AS (
+    SELECT *, count(*) FILTER (WHERE edit <> 'I') OVER (PARTITION BY conv_id ORDER BY place) AS n FROM edits),
+lines AS (
+    SELECT d.conv_id, d.place, d.edit, q.role, CASE WHEN d.edit = 'I' THEN '' ELSE q.text END AS text,
+           count(*) FILTER (WHERE NOT (d.edit = 'K' AND q.initial = 's'))
+               OVER (PARTITION BY d.conv_id ORDER BY d.place) AS due
+    FROM dealt d LEFT JOIN ruled q ON q.conv_id IS NOT DISTINCT FROM d.conv_id AND q.n = d.n
+    WHERE d.edit <> 'D'),
+whole AS (
+    SELECT conv_id, string_agg(
+        CASE WHEN edit = 'K' THEN role WHEN due % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+        chr(10) ORDER BY place) AS repaired
+    FROM lines GROUP BY conv_id)
+SELECT o.conv_id, coalesce(b.gaps, 0) AS gaps, coalesce(b.blank, 0) AS blank, coalesce(b.duplicate, 0) AS duplicate,
+       coalesce(b.truncated, 0) AS truncated, coalesce(b.illegal, 0) AS illegal,
+       coalesce(substr(b.past, 1, 10)::BIGINT, 0) AS cost, coalesce(substr(b.past, 11), '') AS audit,
+       sha256(coalesce(w.repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN whole w ON w.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query("op11_conversation_repair", REPAIR_SQL)
+def op11(spark, folder):
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = repair.repair(damaged(conversations))
+    asked = conversations.select(F.col("conv_id").alias("asked")).distinct()
+    none = F.lit(0).cast("long")
+    return asked.join(repaired, F.col("asked").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("asked").alias("conv_id"),
+        *[F.coalesce(name, none).alias(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+TOP = 10
+
+TOP_K_SQL = f"""
+WITH able AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+    FROM able q JOIN able c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= {TOP}
+"""
+
+
+def integers(embeddings: DataFrame) -> DataFrame:
+    """Vectors of ``floor(1024 * x)``; null where one is null or holds a null or non-finite component."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1024))
+    return embeddings.select("vec_id", F.when(finite, whole).alias("vector"))
+
+
+@query("op12_exact_top_k", TOP_K_SQL)
+def op12(spark, folder):
+    vectors = integers(table(spark, folder, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), TOP)
+
+
+HEAD_GROUP = 100
+HEAD_TURNS = 6
+
+TRIE_SQL = f"""
+WITH
+turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS n
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT c, c - c % {HEAD_GROUP} AS base, {_CRC_SQL.format("c::VARCHAR")} % {HEAD_TURNS} AS h
+    FROM (SELECT DISTINCT c FROM turns)),
+rebuilt AS (
+    SELECT v.c, 0 AS part, t.n, t.role, t.text FROM convs v JOIN turns t ON t.c = v.base AND t.n <= v.h
+    UNION ALL
+    SELECT v.c, 1, t.n, t.role, t.text FROM convs v JOIN turns t ON t.c = v.c AND t.n > v.h),
+placed AS (
+    SELECT c, text, row_number() OVER w AS depth,
+           string_agg(sha256(strlen(role)::VARCHAR || ':' || role || text), '') OVER w AS path
+    FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY part, n)),
+steps AS (
+    SELECT c, depth, path, length(text) AS n_chars FROM placed
+    UNION ALL SELECT c, 0, '', 0 FROM convs),
+named AS (SELECT c, depth, n_chars, min(c) OVER (PARTITION BY depth, path) AS name FROM steps),
+lengths AS (SELECT c, max(depth) AS depth FROM named GROUP BY c),
+nodes AS (
+    SELECT n.depth, n.name, count(*) AS n_convs, (count(*) - 1) * max(n.n_chars) AS saved,
+           string_agg(CASE WHEN l.depth = n.depth THEN n.c::VARCHAR END, ',' ORDER BY n.c) AS ends
+    FROM named n JOIN lengths l ON l.c = n.c GROUP BY n.depth, n.name),
+parents AS (
+    SELECT o.depth, o.name, p.name AS parent
+    FROM nodes o LEFT JOIN named p ON p.c = o.name AND p.depth = o.depth - 1),
+children AS (SELECT depth - 1 AS depth, parent AS name, count(*) AS n FROM parents WHERE depth > 0 GROUP BY ALL),
+totals AS (
+    SELECT a.depth, a.name, sum(o.saved)::BIGINT AS saved, (count(*) FILTER (WHERE k.n IS NULL))::BIGINT AS leaves
+    FROM nodes o LEFT JOIN children k ON k.depth = o.depth AND k.name = o.name
+    JOIN named a ON a.c = o.name AND a.depth <= o.depth GROUP BY a.depth, a.name)
+SELECT o.name AS conv_id, o.depth, p.parent AS parent_conv_id, o.n_convs, coalesce(k.n, 0) AS n_children,
+       t.leaves AS n_leaves, t.saved AS saved_tokens, sha256(coalesce(o.ends, '')) AS ends_sha256
+FROM nodes o JOIN parents p ON p.depth = o.depth AND p.name = o.name
+JOIN totals t ON t.depth = o.depth AND t.name = o.name
+LEFT JOIN children k ON k.depth = o.depth AND k.name = o.name
+"""
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def op13(spark, folder):
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return trie.prefix_trie(trie.rebuilt(conversations, group=HEAD_GROUP, heads=HEAD_TURNS))
