@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicloom.functions.answers import ITEM_TYPE, answer_for, read_answers
+from civicloom.functions.answers import FAILED, ITEM_TYPE, answer_for, read_answers
 from civicloom.functions.labels import label_description
 from civicloom.functions.text import present_flag, star_text
 from civicloom.operators.filters import filter_has_evidence, has_coordinates, split_by_status
 from civicloom.operators.join import LABEL, REASON, left_join_once, union_cached_and_new
+from civicloom.operators.journal import JournalWriter, known_rows, row_key
 from civicloom.operators.numbering import assign_batches
 from civicloom.session import pin
 
@@ -76,11 +77,15 @@ def request_text(
 
 
 def build_requests(
-    batched: DataFrame, id_col: str, roles: dict[str, str] | None = None, prompt: str = ""
+    batched: DataFrame,
+    id_col: str,
+    roles: dict[str, str] | None = None,
+    prompt: str = "",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per batch: the request text, the ``members`` (position, id) in order, and the
-    ``photos`` (position, id, reference) of those that have one. A list never holds more than
-    one batch."""
+    """One row per batch: the request text, the ``members`` (position, id, and the columns of
+    ``carry``) in order, and the ``photos`` (position, id, reference) of those that have one. A
+    list never holds more than one batch."""
     photo = {**{role: role for role in REQUEST_ROLES}, **(roles or {})}["photo"]
     reference = F.col(photo).cast("string") if photo in batched.columns else F.lit(None).cast("string")
     rows = batched.select(
@@ -90,13 +95,16 @@ def build_requests(
             F.col(id_col).cast("string").alias("ticket_id"),
             request_text(batched, id_col, roles=roles).alias("text"),
             F.when(present_flag(reference), reference).alias("photo"),
+            *carry,
         ).alias("row"),
     )
     lists = rows.groupBy("batch_num").agg(F.sort_array(F.collect_list("row")).alias("rows"))
     return lists.select(
         "batch_num",
         F.concat(F.lit(prompt), F.array_join(F.col("rows.text"), "")).alias("request"),
-        F.transform("rows", lambda r: F.struct(r["pos"], r["ticket_id"])).alias("members"),
+        F.transform(
+            "rows", lambda r: F.struct(r["pos"], r["ticket_id"], *[r[name].alias(name) for name in carry])
+        ).alias("members"),
         F.transform(
             F.filter("rows", lambda r: r["photo"].isNotNull()),
             lambda r: F.struct(r["pos"], r["ticket_id"], r["photo"]),
@@ -112,27 +120,41 @@ def _takes_photos(fn: Callable) -> bool:
     return True
 
 
-def call_per_batch(requests: DataFrame, fn: Callable[..., str]) -> DataFrame:
+def call_per_batch(
+    requests: DataFrame, fn: Callable[..., str], journal: str | None = None, journal_every: int = 1
+) -> DataFrame:
     """Adds ``answer`` and ``error``: the function's result, or the text of what it raised.
     A batch that fails leaves the others alone.
 
     ``fn(request)`` gets the text. A function of two parameters, ``fn(request, photos)``, also
     gets the batch's photos: dictionaries of ``pos``, ``ticket_id`` and ``photo``, the reference
     as the table has it; fetching is the function's business.
+
+    With ``journal`` every answer, error included, is added to that folder as soon as
+    ``journal_every`` of a task have come; the members then carry their ``key``.
     """
     with_photos = _takes_photos(fn)
 
     @F.pandas_udf("answer string, error string")
-    def call(texts: pd.Series, photos: pd.Series) -> pd.DataFrame:
+    def call(texts: pd.Series, photos: pd.Series, members: pd.Series) -> pd.DataFrame:
         def one(text: str, listed) -> tuple[str | None, str | None]:
             try:
                 return (fn(text, [dict(photo) for photo in listed]) if with_photos else fn(text)), None
             except Exception as problem:
                 return None, str(problem)
 
-        return pd.DataFrame([one(*row) for row in zip(texts, photos)], columns=["answer", "error"])
-
-    called = requests.withColumn("_called", call.asNondeterministic()("request", "photos"))
+        if journal is None:
+            return pd.DataFrame([one(*row) for row in zip(texts, photos)], columns=["answer", "error"])
+        writer, rows = JournalWriter(journal, journal_every), []
+        try:
+            for text, listed, asked in zip(texts, photos, members):
+                rows.append(one(text, listed))
+                writer.add(asked, *rows[-1])
+        finally:
+            writer.flush()
+        return pd.DataFrame(rows, columns=["answer", "error"])
+
+    called = requests.withColumn("_called", call.asNondeterministic()("request", "photos", "members"))
     return called.select("*", "_called.answer", "_called.error").drop("_called")
 
 
@@ -154,10 +176,14 @@ def parse_answers(answers: DataFrame, answer_col: str = "answer") -> DataFrame:
 
 
 def match_answers(
-    answered: DataFrame, answer_col: str = "answer", error_col: str | None = None
+    answered: DataFrame,
+    answer_col: str = "answer",
+    error_col: str | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per asked id, in the order asked: ``(batch_num, pos, ticket_id, code,
-    reasoning)``. Question and answer are in one row, so nothing is shuffled."""
+    reasoning)``, then the members' columns of ``carry``. Question and answer are in one row, so
+    nothing is shuffled."""
     asked = read_answers(answered, answer_col, error_col)
     matched = F.transform(
         "members",
@@ -165,10 +191,11 @@ def match_answers(
             member["pos"].alias("pos"),
             member["ticket_id"].alias("ticket_id"),
             answer_for(member["ticket_id"]).alias("result"),
+            *[member[name].alias(name) for name in carry],
         ),
     )
     return asked.select("batch_num", F.explode(matched).alias("m")).select(
-        "batch_num", "m.pos", "m.ticket_id", "m.result.code", "m.result.reasoning"
+        "batch_num", "m.pos", "m.ticket_id", "m.result.code", "m.result.reasoning", *[f"m.{name}" for name in carry]
     )
 
 
@@ -181,21 +208,50 @@ def label_rows(
     batch_size: int = 20,
     parallelism: int = PARALLEL_CALLS,
     prompt: str = "",
+    journal: str | None = None,
+    ask_again: tuple[str, ...] = (FAILED,),
+    journal_every: int = 1,
 ) -> DataFrame:
     """Label every row: ``(batch_num, pos, ticket_id, code, llm_label, llm_reasoning)``.
 
     ``parallelism`` is the number of tasks that call the function, so the number of calls under
     way is bounded by it and by the executors' cores. Answers are written once, since the
     function may cost money and need not give the same answer twice.
+
+    ``journal`` names a folder for answers as they come; every executor must reach it by the file
+    systems of ``pyarrow``. A run that fails loses at most ``journal_every`` answers of a task, and
+    the next run with the journal asks only for rows without a usable answer: whose request, prompt
+    or photo is new, or whose code is in ``ask_again``. These rows are put into batches of their
+    own; ``batch_num`` and ``pos`` of the result number all rows, as if none had been known.
     """
     # What is numbered is also written, so take along only what a request holds.
     named = {**{role: role for role in REQUEST_ROLES}, **(roles or {})}
     wanted = {id_col, *order_by, *named.values()}
     narrow = pending.select(*[name for name in pending.columns if name in wanted])
-    batched = assign_batches(narrow, order_by, batch_size).repartition(parallelism, "batch_num")
-    requests = build_requests(batched, id_col, roles, prompt)
-    answered = pin(call_per_batch(requests, fn).drop("request", "photos"), "answers")
-    return match_answers(answered, error_col="error").select(
+    batched = assign_batches(narrow, order_by, batch_size)
+    carry = () if journal is None else ("key", "place")
+    known = None
+    if journal is not None:
+        alone = batched.withColumn("_alone", F.lit(1))
+        photo = F.col(named["photo"]).cast("string") if named["photo"] in batched.columns else F.lit(None).cast("string")
+        keyed = pin(
+            alone.withColumns({
+                "key": row_key(request_text(alone, id_col, "_alone", roles), photo, prompt),
+                "place": F.struct("batch_num", "pos"),
+            }).drop("_alone", "batch_num", "pos"),
+            "keyed",
+        )
+        answers = known_rows(pending.sparkSession, journal, ask_again)
+        known = keyed.join(answers, "key").select(
+            "place.batch_num", "place.pos", F.col(id_col).cast("string").alias("ticket_id"), "code", "reasoning")
+        batched = assign_batches(keyed.join(answers, "key", "left_anti"), ["place"], batch_size)
+    requests = build_requests(batched.repartition(parallelism, "batch_num"), id_col, roles, prompt, carry)
+    called = call_per_batch(requests, fn, journal, journal_every)
+    answered = pin(called.drop("request", "photos"), "answers")
+    matched = match_answers(answered, error_col="error", carry=carry)
+    if known is not None:
+        matched = matched.select("place.batch_num", "place.pos", "ticket_id", "code", "reasoning").unionByName(known)
+    return matched.select(
         "batch_num",
         "pos",
         "ticket_id",
@@ -227,12 +283,14 @@ def annotate(
     batch_size: int = 20,
     parallelism: int = PARALLEL_CALLS,
     prompt: str = "",
+    journal: str | None = None,
+    ask_again: tuple[str, ...] = (FAILED,),
 ) -> DataFrame:
     """Labels of all rows, old and new: ``(ticket_id, llm_label, llm_reasoning, batch_num, pos)``.
 
     Rows with a good label keep it (their batch and position are 0); the others are labelled if
     they hold a comment or a photo. The result is what ``merge_labels_upsert`` takes, ordered by
-    batch and position. The input is evaluated once: its ids, labels and, for the rows to label,
+    batch and position. ``journal`` and ``ask_again`` are those of ``label_rows``. The input is evaluated once: its ids, labels and, for the rows to label,
     what a request holds are written and gone on from.
     """
     for name in (LABEL, REASON):
@@ -254,7 +312,8 @@ def annotate(
         F.lit(0).alias("pos"),
     )
     pending = pending_rows(df, roles)
-    new = label_rows(pending, fn, order_by, id_col, roles, batch_size, parallelism, prompt)
+    new = label_rows(
+        pending, fn, order_by, id_col, roles, batch_size, parallelism, prompt, journal, ask_again)
     return union_cached_and_new(cached, new.drop("code"))
 
 

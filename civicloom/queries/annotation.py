@@ -19,6 +19,7 @@ from civicloom.operators.annotate import (
 from civicloom.operators.numbering import assign_batches
 from civicloom.queries.joins import nation_gazetteer
 from civicloom.queries.registry import LABELED_DOCUMENTS, labeled_documents, query
+from civicloom.session import fresh_path
 
 ROLES = {"type": "source", "organization": "lang", "comment": "text", "star": "quality"}
 
@@ -185,6 +186,42 @@ def _annotate(t):
     return annotate(rows, rule, ["doc_id"], "doc_id", ROLES)
 
 
+def _asked(request: str) -> list[str]:
+    return re.findall(r"\(Ticket ID: (\S+)\)", request)
+
+
+def first_rule(request: str) -> str:
+    """Stands in for a model that is down whenever it is asked about a document of number 7, 17, ..."""
+    ids = _asked(request)
+    if any(i.endswith("7") for i in ids):
+        raise RuntimeError("down")
+    return json.dumps([{"id": i, "label": 1, "reasoning": "first"} for i in ids])
+
+
+def second_rule(request: str) -> str:
+    return json.dumps([{"id": i, "label": 0, "reasoning": "second"} for i in _asked(request)])
+
+
+@query(
+    "annotate_resumed",
+    """WITH numbered AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS rn FROM documents),
+          earlier AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 5 AS batch FROM documents WHERE lang = 'en'),
+          down AS (SELECT DISTINCT batch FROM earlier WHERE doc_id % 10 = 7)
+       SELECT CAST(n.doc_id AS VARCHAR) AS ticket_id,
+              CASE WHEN e.batch IS NOT NULL AND d.batch IS NULL THEN 'Sufficient' ELSE 'Not Sufficient' END AS llm_label,
+              CASE WHEN e.batch IS NOT NULL AND d.batch IS NULL THEN 'first' ELSE 'second' END AS llm_reasoning,
+              CAST(rn // 5 + 1 AS BIGINT) AS batch_num, CAST(rn % 5 + 1 AS INTEGER) AS pos
+       FROM numbered n LEFT JOIN earlier e ON e.doc_id = n.doc_id LEFT JOIN down d ON d.batch = e.batch""",
+)
+def _annotate_resumed(t):
+    """A run over a part of the documents, some of whose calls fail; then a run over all: what the
+    first one was told is not asked again, whatever batch it stands in now."""
+    rows = t.documents.select("doc_id", F.col("text").alias("comment"), "lang")
+    journal, options = fresh_path(t.spark, "journal"), {"order_by": ["doc_id"], "id_col": "doc_id", "batch_size": 5}
+    label_rows(rows.where("lang = 'en'").drop("lang"), first_rule, journal=journal, journal_every=64, **options)
+    return label_rows(rows.drop("lang"), second_rule, journal=journal, journal_every=64, **options).drop("code")
+
+
 def locate(name: str):
     """Stands in for a geocoder: knows the nations whose number ends in 2 to 9."""
     number = int(name.rsplit("_", 1)[1])

@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from civicloom.functions.text import clean_text
 from civicloom.operators.response import daily_response_series, response_time_by_group
 from civicloom.queries.registry import query
 from civicloom.queries.scalars import clean_sql
 from civicloom.session import fresh_path
-from civicloom.streaming.jobs import newest_counts, read_stream, stream_clean_ingest, stream_counts
+from civicloom.sources.manifests import read_manifest
+from civicloom.sources.snapshots import append_batch, read_snapshot, write_snapshot
+from civicloom.streaming.jobs import (
+    newest_counts,
+    read_stream,
+    stream_clean_ingest,
+    stream_counts,
+    stream_into_table,
+)
 
 
 def shipments(t):
@@ -77,6 +86,24 @@ def _stream_clean_ingest(t):
     return t.spark.read.parquet(out).select("event_id", "ts", "event_type", "props")
 
 
+@query(
+    "stream_into_table",
+    f"SELECT event_id, ts, event_type, {clean_sql('props')} AS props FROM events",
+)
+def _stream_into_table(t):
+    """A load fills the table with some events and a stream with the others; the stream's batch
+    is then added a second time, as after a failure, and counts once."""
+    root, checkpoint, landed = (fresh_path(t.spark, name) for name in ("table", "stream", "landed"))
+    loaded = t.events.where("event_id % 4 = 0").withColumn("props", clean_text(F.col("props")))
+    write_snapshot(loaded, root)
+    t.events.where("event_id % 4 <> 0").write.parquet(landed)
+    stream = read_stream(t.spark, landed, t.events.schema)
+    stream_into_table(stream, root, checkpoint, "events", "props", "ts").awaitTermination()
+    for batch in range(read_manifest(t.spark, root).done["events"] + 1):
+        append_batch(t.events, root, "events", batch)
+    return read_snapshot(t.spark, root).select("event_id", "ts", "event_type", "props")
+
+
 @query(
     "stream_counts",
     """SELECT date_trunc('hour', ts) AS window_start,

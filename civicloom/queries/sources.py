@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicloom.operators.filters import filter_time_range
-from civicloom.plans.labelling import label_range
+from civicloom.plans.labelling import label_range, labeled_state, read_labeled, read_state, write_labels
 from civicloom.plans.loading import load_complaints, verify_load
 from civicloom.queries.annotation import rule
 from civicloom.queries.registry import LABELED_DOCUMENTS, labeled_documents, query
@@ -55,6 +55,14 @@ def _read_complaints_csv(t):
     return read_complaints_csv(t.spark, path, rows.schema)
 
 
+@query("read_complaints_csv_split", "SELECT doc_id, text, source, lang FROM documents")
+def _read_complaints_csv_split(t):
+    """The same file cut into as many tasks as its bytes ask for, line breaks in texts or not."""
+    rows = t.documents.select("doc_id", "text", "source", "lang")
+    path = write_csv(rows, fresh_path(t.spark, "csv"))
+    return read_complaints_csv(t.spark, path, rows.schema, split=True)
+
+
 @query(
     "read_csv_by_name",
     """SELECT doc_id, text, source, lang, CAST(n_chars AS VARCHAR) AS extra,
@@ -467,3 +475,49 @@ def _label_range(t):
     start, end = datetime(2024, 1, 1, 6), datetime(2024, 1, 3)
     table = label_range(t.spark, root, rule, start, end, ["ts", "doc_id"], "doc_id", "ts")
     return table.select("doc_id", "ts", "llm_label", "llm_reasoning")
+
+
+def _run_of(rows, label: str):
+    return rows.select(
+        F.col("doc_id").cast("string").alias("ticket_id"), F.lit(label).alias("llm_label"),
+        F.col("source").alias("llm_reasoning"), F.lit(1).cast("bigint").alias("batch_num"), F.lit(1).alias("pos"))
+
+
+@query(
+    "fold_with_two_writers",
+    """SELECT doc_id, lang, CASE WHEN doc_id % 3 = 0 OR lang = 'fr' THEN 'Not Sufficient'
+                                 WHEN lang = 'en' THEN 'Sufficient' END AS llm_label,
+              CASE WHEN doc_id % 3 = 0 OR lang IN ('en', 'fr') THEN source END AS llm_reasoning
+       FROM documents""",
+)
+def _fold_with_two_writers(t):
+    """One writer folds labels into the table; two runs of another end after the fold has read
+    and before it is written. No label is lost, and the later one of a row counts."""
+    root = fresh_path(t.spark, "table")
+    docs = t.documents.select("doc_id", "source", "lang")
+    write_snapshot(docs.select("doc_id", "lang"), root)
+    write_labels(_run_of(docs.where("lang = 'en'"), "Sufficient"), root)
+    state = labeled_state(t.spark, root)
+    folded = read_state(t.spark, root, state, "doc_id")
+    write_labels(_run_of(docs.where("doc_id % 3 = 0"), "Not Sufficient"), root)
+    write_labels(_run_of(docs.where("lang = 'fr'"), "Not Sufficient"), root)
+    write_snapshot(folded, root, holds=state.runs, base=state.manifest)
+    return read_labeled(t.spark, root, "doc_id").select("doc_id", "lang", "llm_label", "llm_reasoning")
+
+
+@query(
+    "read_labeled_by_day",
+    """SELECT event_id, CAST(ts AS DATE)::VARCHAR AS day,
+              CASE WHEN CAST(ts AS DATE) = DATE '2024-01-02' AND event_type = 'click' THEN 'Sufficient' END AS llm_label
+       FROM events""",
+)
+def _read_labeled_by_day(t):
+    """Labels of one day: only that day's folder is joined with them."""
+    root = fresh_path(t.spark, "table")
+    rows = t.events.select("event_id", "event_type", F.to_date("ts").alias("day"))
+    write_snapshot(rows.select("event_id", "day"), root, ("day",))
+    chosen = rows.where((F.col("day") == F.lit("2024-01-02").cast("date")) & (F.col("event_type") == "click"))
+    run = chosen.select(F.col("event_id").alias("doc_id"), F.lit("r").alias("source"))
+    write_labels(_run_of(run, "Sufficient"), root, ["2024-01-02"])
+    return read_labeled(t.spark, root, "event_id", "day").select(
+        "event_id", F.col("day").cast("string").alias("day"), "llm_label")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -73,19 +75,39 @@ def pin(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, purpose)
-    asked = spark.conf.get(_DROP_SHUFFLES, None)
-    # Nobody else reads the shuffles of this write: let their files go with it.
-    spark.conf.set(_DROP_SHUFFLES, "true")
-    try:
+    with _dropping_shuffles(spark):
         df.write.parquet(path)
-    finally:
-        if asked is None:
-            spark.conf.unset(_DROP_SHUFFLES)
-        else:
-            spark.conf.set(_DROP_SHUFFLES, asked)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_writes: dict[str, int] = {}
+_asked: dict[str, str | None] = {}
+_lock = threading.Lock()
+
+
+@contextmanager
+def _dropping_shuffles(spark: SparkSession):
+    """Nobody else reads the shuffles of a pinning write: let their files go with it. The setting
+    is the session's, so of writes in several threads the first sets it and the last restores it."""
+    session = str(spark._jsparkSession.sessionUUID())
+    with _lock:
+        _writes[session] = _writes.get(session, 0) + 1
+        if _writes[session] == 1:
+            _asked[session] = spark.conf.get(_DROP_SHUFFLES, None)
+            spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            _writes[session] -= 1
+            if _writes[session] == 0:
+                asked = _asked.pop(session)
+                if asked is None:
+                    spark.conf.unset(_DROP_SHUFFLES)
+                else:
+                    spark.conf.set(_DROP_SHUFFLES, asked)
+
+
 def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     """Deal the rows out to ``partitions`` tasks before a costly step, for inputs of few files
     that cannot be split; None leaves them as the scan cuts them."""

@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 
 from civicloom.functions.text import parse_timestamp
 from civicloom.operators.filters import drop_sentinel_row, require_columns
-from civicloom.sources.files import exists
+from civicloom.sources.files import exists, largest_file
+from civicloom.sources.splitcsv import split_records
 
 COORDINATES = ("latitude", "longitude")
 
 
 def read_csv_by_name(
-    spark: SparkSession, path: str, schema: T.StructType, bad_col: str | None = None, **options
+    spark: SparkSession, path: str, schema: T.StructType, bad_col: str | None = None, split: bool = False, **options
 ) -> DataFrame:
     """CSV with a header, its columns found by their names in it, blanks round them aside.
 
@@ -24,6 +25,7 @@ def read_csv_by_name(
     column the file lacks is an error, as is a name that occurs twice; files of one folder must
     agree in their headers, which is checked while they are read. ``bad_col`` adds a column with
     the text of records that do not fit, null for the others (see ``count_bad_records``).
+    ``split`` cuts files with quoted line breaks into many tasks (see ``sources.splitcsv``).
     """
     found = spark.read.csv(path, header=True, **options).columns
     by_name = {name.strip().lstrip("\ufeff").strip(): name for name in found}
@@ -35,16 +37,38 @@ def read_csv_by_name(
     read = T.StructType()
     for name, spelled in by_name.items():
         read = read.add(spelled, wanted[name].dataType if name in wanted else T.StringType())
-    reader = spark.read.option("enforceSchema", "false")
-    if bad_col is not None:
-        reader = reader.option("columnNameOfCorruptRecord", bad_col)
-        read = read.add(bad_col, T.StringType())
-    df = reader.schema(read).csv(path, header=True, **options)
+    if split:
+        df = _split_csv(spark, path, found, read, bad_col, options)
+    else:
+        reader = spark.read.option("enforceSchema", "false")
+        if bad_col is not None:
+            reader = reader.option("columnNameOfCorruptRecord", bad_col)
+            read = read.add(bad_col, T.StringType())
+        df = reader.schema(read).csv(path, header=True, **options)
     others = [name for name in by_name if name not in wanted]
     kept = [F.col(f"`{by_name[name]}`").alias(name) for name in [*wanted, *others]]
     return df.select(*kept, *([] if bad_col is None else [bad_col]))
 
 
+def _split_csv(
+    spark: SparkSession, path: str, header: list[str], read: T.StructType, bad_col: str | None, options: dict
+) -> DataFrame:
+    plain = {name: str(value).lower() if isinstance(value, bool) else value for name, value in options.items()}
+    places = [f"c{k}" for k in range(len(header))]
+    typed = ", ".join(f"{place} {field.dataType.simpleString()}" for place, field in zip(places, read.fields))
+    if bad_col is not None:
+        typed += ", bad string"
+        plain["columnNameOfCorruptRecord"] = "bad"
+    names = F.from_csv("record", ", ".join(f"{place} string" for place in places), plain)
+    agrees = F.array(*[names[place] for place in places]) == F.array(*[F.lit(name.lstrip("\ufeff")) for name in header])
+    other = F.concat(F.lit(f"a file of {path} has another header than {header}: "), F.col("record"))
+    body = F.when(~F.col("head"), True).otherwise(
+        F.when(F.coalesce(agrees, F.lit(False)), False).otherwise(F.raise_error(other).cast("boolean")))
+    rows = split_records(spark, path).where(body).select(F.from_csv("record", typed, plain).alias("row"))
+    columns = [F.col(f"row.{place}").alias(name) for place, name in zip(places, header)]
+    return rows.select(*columns, *([] if bad_col is None else [F.col("row.bad").alias(bad_col)]))
+
+
 def count_bad_records(df: DataFrame, bad_col: str) -> DataFrame:
     """One row: ``records``, and ``bad`` ones among them, of a frame read with ``bad_col``."""
     # A record is bad by its columns, so all of them have to be read: this is true of any hash.
@@ -54,14 +78,18 @@ def count_bad_records(df: DataFrame, bad_col: str) -> DataFrame:
 
 
 def read_complaints_csv(
-    spark: SparkSession, path: str, schema: T.StructType, bad_col: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType, bad_col: str | None = None, split: bool | None = None
 ) -> DataFrame:
     """CSV with a header, quoted line breaks, and ``"`` doubled inside quotes; columns by name.
 
-    A file with quoted line breaks cannot be split, so one file is one task: deliver large
-    loads as many files in one folder.
+    Files larger than one read task (``spark.sql.files.maxPartitionBytes``) are cut into many, the
+    others are a task each; ``split`` says which way to go whatever the sizes. Both give the same
+    rows. Cut files must end their lines with a line feed, with or without a carriage return.
     """
-    return read_csv_by_name(spark, path, schema, bad_col, multiLine=True, quote='"', escape='"')
+    if split is None:
+        size = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        split = largest_file(spark, path) > size
+    return read_csv_by_name(spark, path, schema, bad_col, split, multiLine=True, quote='"', escape='"')
 
 
 def read_reference_csv(

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from civicloom.functions.text import clean_text, parse_timestamp
+from civicloom.sources.manifests import read_manifest
+from civicloom.sources.snapshots import append_batch, compact
 
 
 def read_stream(
@@ -23,6 +25,13 @@ def read_stream(
     return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path)
 
 
+def _cleaned(stream: DataFrame, text_col: str, ts_col: str) -> DataFrame:
+    typed = F.col(ts_col)
+    if isinstance(stream.schema[ts_col].dataType, T.StringType):
+        typed = parse_timestamp(typed)
+    return stream.withColumns({text_col: clean_text(F.col(text_col)), ts_col: typed})
+
+
 def stream_clean_ingest(
     stream: DataFrame,
     out: str,
@@ -32,12 +41,8 @@ def stream_clean_ingest(
 ) -> StreamingQuery:
     """Clean the text, type the time, and append to Parquet; each input file counts once, also
     after a restart, by the checkpoint and the sink's own log. Stops when the input is read."""
-    typed = F.col(ts_col)
-    if isinstance(stream.schema[ts_col].dataType, T.StringType):
-        typed = parse_timestamp(typed)
-    cleaned = stream.withColumns({text_col: clean_text(F.col(text_col)), ts_col: typed})
     return (
-        cleaned.writeStream.format("parquet")
+        _cleaned(stream, text_col, ts_col).writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
@@ -46,6 +51,42 @@ def stream_clean_ingest(
     )
 
 
+def stream_into_table(
+    stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    name: str,
+    text_col: str = "comment",
+    ts_col: str = "timestamp",
+    day_col: str | None = None,
+    compact_after: int = 32,
+) -> StreamingQuery:
+    """Clean the text, type the time, and append to the table that ``load_complaints`` and
+    ``label_range`` use. Stops when the input is read.
+
+    Each micro-batch is one change of the table's manifest, under the stream's ``name`` and the
+    batch's number: a batch that runs again after a failure counts once. A checkpoint that starts
+    anew needs a new name. Once more than ``compact_after`` batches stand beside the snapshot, one
+    rewrite brings them together; labels and readers go on meanwhile.
+    """
+    days = (day_col,) if day_col else ()
+
+    def save(rows: DataFrame, batch: int) -> None:
+        if day_col:
+            rows = rows.withColumn(day_col, F.col(ts_col).cast("date"))
+        spark = rows.sparkSession
+        append_batch(rows, root, name, batch, days)
+        if len(read_manifest(spark, root).parts) > compact_after:
+            compact(spark, root, days)
+
+    return (
+        _cleaned(stream, text_col, ts_col).writeStream.foreachBatch(save)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def windowed_counts(
     stream: DataFrame, ts_col: str, key: str, width: str = "1 hour", lateness: str = "1 hour"
 ) -> DataFrame:
