@@ -93,7 +93,9 @@ def name_prefixes(turns: DataFrame, depth: int, root: int) -> DataFrame:
             above = above.union(names)
         tops = above.select("conv", F.col("depth").alias("root_depth"), F.col("name").alias("root"))
         cuts = pin(cuts.join(tops, ["conv", "root_depth"]), "cuts")
-        named = cuts.groupBy("root_depth", "root", "digest").agg(F.min("conv").alias("name"))
+        # Written, so that its true size is known: a small one is broadcast, and in a join of two
+        # shuffles a prefix that many share is split.
+        named = pin(cuts.groupBy("root_depth", "root", "digest").agg(F.min("conv").alias("name")), "cut-names")
         found = cuts.join(named, ["root_depth", "root", "digest"])
         known.append(pin(found.select("conv", (F.col("root_depth") + size).alias("depth"), "name"), "names"))
     whole = known[0]
@@ -212,10 +214,10 @@ def prefix_trie(turns: DataFrame) -> DataFrame:
         "depth", "name", (F.col("n_children") == 0).cast("long").alias("n_leaves"), "saved")
     totals = _graft(start, nodes.where("depth > 0").select("depth", "name", "parent"), paths.where("depth > 0"), depth)
     # The root: what the tries below it sum up to, or a leaf itself.
-    below = totals.where("depth = 1").agg(F.sum("n_leaves").alias("leaves"), F.sum("saved").alias("below"))
-    root = nodes.where("depth = 0").join(below.withColumn("name", F.lit(least).cast("long")), "name")
-    totals = totals.union(root.select(
-        "depth", "name", F.coalesce("leaves", F.lit(1).cast("long")), F.coalesce("below", F.lit(0).cast("long"))))
+    below = totals.where("depth = 1").withColumns({"depth": F.lit(0).cast("long"), "name": F.lit(least).cast("long")})
+    root = nodes.where("depth = 0").select("depth", "name", (F.col("n_children") == 0).cast("long").alias("n_leaves"), "saved")
+    totals = totals.union(root.union(below).groupBy("depth", "name").agg(
+        F.sum("n_leaves").alias("n_leaves"), F.sum("saved").alias("saved")))
     ends = hash_members(names.join(lengths, ["conv", "depth"]))
     none = F.lit(hashlib.sha256(b"").hexdigest())
     return (
