@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Iterable
 from contextlib import contextmanager
 
 from pyspark import cloudpickle
@@ -77,9 +78,29 @@ def pin(df: DataFrame, purpose: str) -> DataFrame:
     path = fresh_path(spark, purpose)
     with _dropping_shuffles(spark):
         df.write.parquet(path)
+    with _lock:
+        _pins.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_pins: dict[str, list[str]] = {}
+
+
+def pins(spark: SparkSession) -> list[str]:
+    """Paths of the tables this application has pinned and not let go, oldest first."""
+    with _lock:
+        return list(_pins.get(spark.sparkContext.applicationId, []))
+
+
+def unpin(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete pinned tables that no frame will be read from any more."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        with _lock:
+            _pins[spark.sparkContext.applicationId].remove(name)
+
+
 _writes: dict[str, int] = {}
 _asked: dict[str, str | None] = {}
 _lock = threading.Lock()
