@@ -8,9 +8,12 @@ its own substrings at those places, and the pairs that meet are verified: bits o
 positions within ``edits`` of the diagonal are reachable with 0, 1, ... errors, and a character
 moves all of them at once.
 
-Only DataFrame functions. Equal lines are one line from the start. Pairs that meet must also agree
-on the parities of their letter counts but for two per edit, which is checked while they are
-joined; lines' texts are fetched for the rest only.
+Only DataFrame functions. Equal lines are one line from the start. Few lines meet any other; only
+their texts are fetched, and their letters counted: an edit changes the counts of two letters at
+most, so pairs must agree in all others, which is checked while they are joined. Where many lines
+share a segment, they are dealt out by the counts of five groups of letters, one of which two edits
+leave alone, and are first compared with the earliest line of each deal: a line found near an
+earlier one is settled and compared no more.
 """
 
 from __future__ import annotations
@@ -21,8 +24,10 @@ from pyspark.sql import functions as F
 from civicloom.llm.names import numbered
 from civicloom.session import pin
 
-# Letters whose counts' parities are compared; any letters are right, frequent ones tell more.
-_LETTERS = "etaoinsrhldcumgp"
+# Letters whose counts are compared; any letters are right, frequent ones tell more.
+_LETTERS = "etaoinsrhldcumgpfwybvkxj0123456."
+# A segment that more lines share is dealt out by letter counts.
+HOT = 64
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int | None) -> DataFrame:
@@ -33,7 +38,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int | None) -
     )
     looked_at = F.col("_line").rlike(r"\S") if min_chars is None else F.char_length("_line") >= min_chars
     return rows.where(looked_at).withColumns({
-        "_h1": F.xxhash64("_line"), "_h2": F.xxhash64(F.lit(1), F.reverse("_line"))})
+        "_h1": F.xxhash64("_line"), "_h2": F.xxhash64(F.lit(1), "_line")})
 
 
 def _shared_places(edits: int) -> list[tuple[int, int, int]]:
@@ -59,13 +64,22 @@ def _key(line: Column, length: Column, less: int, k: int, shift: int, edits: int
     return F.xxhash64(F.lit(k), own, piece)
 
 
-def _parities(line: Column) -> Column:
-    bits = F.lit(0)
-    for k, letter in enumerate(_LETTERS):
+def _counts(line: Column, letters: str) -> Column:
+    """Counts of up to 16 letters, each modulo 16, as a long."""
+    found = F.lit(0).cast("long")
+    for k, letter in enumerate(letters):
         # Letters of one byte: bytes are counted faster than characters.
         count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        bits = bits.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(1)), k))
-    return bits
+        found = found.bitwiseOR(F.shiftleft(count.bitwiseAND(15).cast("long"), 4 * k))
+    return found
+
+
+def _letters_apart(one: Column, other: Column) -> Column:
+    """How many letters' counts differ."""
+    apart = one.bitwiseXOR(other)
+    for shift in (1, 2):
+        apart = apart.bitwiseOR(F.shiftrightunsigned(apart, shift))
+    return F.bit_count(apart.bitwiseAND(F.lit(0x1111111111111111)))
 
 
 def within_edits(pairs: DataFrame, short: str, long: str, edits: int) -> DataFrame:
@@ -113,27 +127,92 @@ def within_edits(pairs: DataFrame, short: str, long: str, edits: int) -> DataFra
     return rows.where((less <= edits) & (end.bitwiseAND(bit) != 0)).drop("_chars")
 
 
-def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs of different lines that may be within ``edits`` edits: ``short_h1, short_h2,
-    long_h1, long_h2``. ``lines`` has one row per line: ``_h1``, ``_h2``, ``_size``,
-    ``_parities`` and ``_keys``, in the order of the shared places."""
-    places = _shared_places(edits)
-    indexed = [n for n, (less, _, shift) in enumerate(places) if less == 0 and shift == 0]
-    facts = F.shiftleft(F.col("_size").cast("long"), len(_LETTERS)).bitwiseOR(F.col("_parities").cast("long"))
-    own = lines.select(
-        F.explode(F.array(*[F.col("_keys")[n] for n in indexed])).alias("_key"),
-        F.col("_h1").alias("short_h1"), F.col("_h2").alias("short_h2"), facts.alias("_short"))
-    probes = lines.select(
-        F.explode("_keys").alias("_key"),
-        F.col("_h1").alias("long_h1"), F.col("_h2").alias("long_h2"), facts.alias("_long"))
-    low = F.lit((1 << len(_LETTERS)) - 1)
-    less = F.shiftright("_long", len(_LETTERS)) - F.shiftright("_short", len(_LETTERS))
-    odd = F.bit_count(F.col("_long").bitwiseXOR(F.col("_short")).bitwiseAND(low))
-    once = (less > 0) | (F.col("long_h1") > F.col("short_h1")) | (
-        (F.col("long_h1") == F.col("short_h1")) & (F.col("long_h2") > F.col("short_h2")))
-    met = (own["_key"] == probes["_key"]) & less.between(0, edits) & once & (odd <= 2 * edits)
-    names = ["short_h1", "short_h2", "long_h1", "long_h2"]
-    return own.join(probes, met).select(*names).distinct()
+def _meeting(lines: DataFrame, edits: int) -> DataFrame:
+    """Rows of ``lines`` for each segment key they share with another line: their facts, ``_key``,
+    ``_own`` (whether the key is of a segment of the line itself) and ``_owners`` of the key."""
+    indexed = [n for n, (less, _, shift) in enumerate(_shared_places(edits)) if less == 0 and shift == 0]
+    keyed = lines.select("_h1", "_h2", "_place", "_size", F.posexplode("_keys").alias("_slot", "_key"))
+    keyed = keyed.withColumn("_own", F.col("_slot").isin(indexed)).drop("_slot")
+    # Dealt by key before they are counted: hardly any key occurs twice in a task.
+    live = (
+        keyed.select("_key", "_h1", "_h2", F.col("_own").cast("int").alias("_owner")).repartition("_key").groupBy("_key")
+        .agg(F.sum("_owner").alias("_owners"), F.min("_h1").alias("_a"), F.max("_h1").alias("_b"),
+             F.min("_h2").alias("_c"), F.max("_h2").alias("_d"))
+        .where((F.col("_owners") > 0) & ((F.col("_a") != F.col("_b")) | (F.col("_c") != F.col("_d"))))
+        .select("_key", "_owners")
+    )
+    return keyed.join(pin(live, "line-keys"), "_key")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """The later line ``(_h1, _h2)`` of each pair that is within the edits."""
+    sides = [texts.select(*[F.col(f"_{name}").alias(f"{side}_{name}") for name in ("h1", "h2", "place", "line")])
+             for side in ("short", "long")]
+    together = pairs.join(sides[0], ["short_h1", "short_h2"]).join(sides[1], ["long_h1", "long_h2"])
+    near = within_edits(together, "short_line", "long_line", edits)
+    short_later = F.col("short_place") > F.col("long_place")
+    return near.select(*[
+        F.when(short_later, F.col(f"short_{name}")).otherwise(F.col(f"long_{name}")).alias(f"_{name}")
+        for name in ("h1", "h2")]).distinct()
+
+
+_PAIR = ["short_h1", "short_h2", "long_h1", "long_h2"]
+
+
+def near_earlier(lines: DataFrame, found: DataFrame, place: Column, edits: int) -> DataFrame:
+    """``(_h1, _h2)`` of the lines that are within ``edits`` edits of an earlier one.
+
+    ``lines`` has one row per line: ``_h1``, ``_h2``, ``_place``, ``_size`` and ``_keys``, in the
+    order of the shared places; ``found`` has the lines' texts at all their ``place`` s."""
+    members = pin(_meeting(lines, edits), "line-members")
+    asked = members.select("_h1", "_h2", "_place").distinct()
+    texts = found.withColumn("_here", place).join(pin(asked, "lines-asked"), ["_h1", "_h2"]).where("_here <=> _place")
+    texts = pin(texts.dropDuplicates(["_h1", "_h2"]).select("_h1", "_h2", "_place", "_line"), "line-texts")
+    line, half = F.col("_line"), len(_LETTERS) // 2
+    counts = texts.select(
+        "_h1", "_h2", _counts(line, _LETTERS[:half]).alias("_some"), _counts(line, _LETTERS[half:]).alias("_others"))
+    # Two edits change four letters at most: one of five groups is as it was.
+    groups = 2 * edits + 1
+
+    def nibbles(group: int) -> int:
+        mask = sum(15 << (4 * k) for k in range(group, half, groups))
+        return mask - (1 << 64) if mask >> 63 else mask
+
+    deals = F.array(*[F.xxhash64(F.lit(g), F.col("_some").bitwiseAND(F.lit(nibbles(g)).cast("long")),
+                                 F.col("_others").bitwiseAND(F.lit(nibbles(g)).cast("long"))) for g in range(groups)])
+    one = F.array(F.lit(0).cast("long"))
+    dealt = pin(
+        members.join(counts, ["_h1", "_h2"])
+        .withColumn("_deal", F.explode(F.when(F.col("_owners") > HOT, deals).otherwise(one))).drop("_owners"),
+        "line-deals",
+    )
+    # First everything against the earliest line of its deal.
+    shared = ["_key", "_deal"]
+    first = dealt.groupBy(*shared).agg(
+        F.min_by(F.struct("_h1", "_h2", "_size", "_some", "_others"), "_place").alias("_first"))
+    beside = dealt.select(*shared, "_h1", "_h2", "_size", "_some", "_others").join(first, shared)
+    apart = _letters_apart(F.col("_some"), F.col("_first._some")) + _letters_apart(F.col("_others"), F.col("_first._others"))
+    own_short = F.col("_size") <= F.col("_first._size")
+    stars = beside.where(
+        (F.abs(F.col("_size") - F.col("_first._size")) <= edits) & (apart <= 2 * edits)
+        & ((F.col("_h1") != F.col("_first._h1")) | (F.col("_h2") != F.col("_first._h2"))))
+    stars = stars.select(*[
+        F.when(own_short if side == "short" else ~own_short, F.col(f"_{name}")).otherwise(F.col(f"_first._{name}"))
+        .alias(f"{side}_{name}") for side in ("short", "long") for name in ("h1", "h2")]).distinct()
+    settled = pin(_verified(stars, texts, edits), "lines-settled")
+    # Then those not settled against all that share a segment and a deal with them.
+    open_ = dealt.join(settled.withColumn("_settled", F.lit(True)), ["_h1", "_h2"], "left").withColumn(
+        "_settled", F.col("_settled").isNotNull())
+    names = ["h1", "h2", "place", "size", "some", "others", "settled"]
+    short = open_.where("_own").select(*shared, *[F.col(f"_{name}").alias(f"short_{name}") for name in names])
+    long = open_.select(*shared, *[F.col(f"_{name}").alias(f"long_{name}") for name in names])
+    less = F.col("long_size") - F.col("short_size")
+    apart = _letters_apart(F.col("short_some"), F.col("long_some")) + _letters_apart(F.col("short_others"), F.col("long_others"))
+    later = F.when(F.col("short_place") > F.col("long_place"), F.col("short_settled")).otherwise(F.col("long_settled"))
+    different = (F.col("short_h1") != F.col("long_h1")) | (F.col("short_h2") != F.col("long_h2"))
+    met = less.between(0, edits) & different & (apart <= 2 * edits) & ~later
+    pairs = short.join(long, shared).where(met).select(*_PAIR).distinct()
+    return settled.union(_verified(pin(pairs, "line-pairs"), texts, edits)).distinct()
 
 
 def repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int | None = None, id_col: str = "doc_id",
@@ -155,33 +234,13 @@ def repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int | None = N
     size = F.char_length("_line")
     keys = F.array(*[_key(F.col("_line"), size, *p, edits) for p in _shared_places(edits)])
     lines = pin(
-        found.select("_h1", "_h2", place, size.alias("_size"), _parities(F.col("_line")).alias("_parities"),
-                     keys.alias("_keys"))
+        found.select("_h1", "_h2", place, size.alias("_size"), F.when(size >= segments_from, keys).alias("_keys"))
         .groupBy("_h1", "_h2").agg(
             F.min("_place").alias("_place"), F.count("*").alias("_n"), F.first("_size").alias("_size"),
-            F.first("_parities").alias("_parities"), F.first("_keys").alias("_keys")),
+            F.first("_keys").alias("_keys")),
         "lines",
     )
-    pairs = pin(near_pairs(lines.where(F.col("_size") >= segments_from), edits), "line-pairs")
-    asked = pairs.select(F.col("short_h1").alias("_h1"), F.col("short_h2").alias("_h2")).union(
-        pairs.select("long_h1", "long_h2")).distinct()
-    asked = asked.join(lines.select("_h1", "_h2", "_place"), ["_h1", "_h2"])
-    texts = pin(
-        found.withColumn("_here", place).join(asked, ["_h1", "_h2"]).where("_here <=> _place")
-        .dropDuplicates(["_h1", "_h2"]).select("_h1", "_h2", "_place", "_line"),
-        "line-texts",
-    )
-    short = texts.select(F.col("_h1").alias("short_h1"), F.col("_h2").alias("short_h2"),
-                         F.col("_place").alias("short_place"), F.col("_line").alias("short_line"))
-    long = texts.select(F.col("_h1").alias("long_h1"), F.col("_h2").alias("long_h2"),
-                        F.col("_place").alias("long_place"), F.col("_line").alias("long_line"))
-    together = pairs.join(short, ["short_h1", "short_h2"]).join(long, ["long_h1", "long_h2"])
-    near = within_edits(together, "short_line", "long_line", edits)
-    short_later = F.col("short_place") > F.col("long_place")
-    gone = near.select(
-        F.when(short_later, F.col("short_h1")).otherwise(F.col("long_h1")).alias("_h1"),
-        F.when(short_later, F.col("short_h2")).otherwise(F.col("long_h2")).alias("_h2"),
-    ).distinct().withColumn("_gone", F.lit(True))
+    gone = near_earlier(lines.where(F.col("_size") >= segments_from), found, place, edits).withColumn("_gone", F.lit(True))
     ruled = pin(
         lines.select("_h1", "_h2", "_place", "_n").join(gone, ["_h1", "_h2"], "left")
         .where(F.col("_gone") | (F.col("_n") > 1))

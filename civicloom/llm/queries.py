@@ -84,7 +84,8 @@ def packed_sequences(docs: DataFrame) -> DataFrame:
     # Copies of a document agree in everything else. The numbers are written with the pieces.
     pieces = pin(cut.withColumns({"key": F.monotonically_increasing_id(), "ids_crc32": F.crc32("ids")}), "token-pieces")
     order = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    placed = packing.pack(pieces.select("key", *order), MAX_TOKENS, order_by=order)
+    # Written, so that its true size decides whether ids are shuffled to meet it.
+    placed = pin(packing.pack(pieces.select("key", *order), MAX_TOKENS, order_by=order), "placed")
     return packing.fill_sequences(placed, pieces, key="key")
 
 

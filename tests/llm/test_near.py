@@ -322,3 +322,18 @@ def test_op6_recall(spark):
         for w, s in zip(want, scores):
             assert w not in found[v] or abs(found[v][w] - s) < 1e-12
     assert hits >= 0.95 * total
+
+
+def test_a_bucket_of_thousands_of_near_lines(spark):
+    """Lines that share all but a number: equal ends do not count, so their distance is that of
+    the numbers."""
+    rng = random.Random(12)
+    numbers = [f"{rng.randrange(10 ** 7):07d}" for _ in range(300)] + [f"{k:04d}" for k in range(500)]
+    numbers = list(dict.fromkeys(numbers))
+    rng.shuffle(numbers)
+    begin, end = "Every page ends with one line like this, number ", " of a very long report."
+    rows = [(k, f"{begin}{number}{end}\n{begin}{number}{end}") for k, number in enumerate(numbers)]
+    gone = {b: any(abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2 for a in numbers[:k]) for k, b in enumerate(numbers)}
+    want = {k: [0, 1] if gone[number] else [1] for k, number in enumerate(numbers)}
+    assert 50 < sum(gone.values()) < len(numbers) - 50
+    assert {r["doc_id"]: r["removed"] for r in lines.line_report(documents(spark, rows)).collect()} == want
