@@ -53,15 +53,13 @@ def _shared_places(edits: int) -> list[tuple[int, int, int]]:
     ]
 
 
-def _key(line: Column, length: Column, less: int, k: int, shift: int, edits: int) -> Column:
-    """What the ``k``-th segment of a line of ``length - less`` characters is looked up by."""
-    own = length - less
-    base, longer = F.floor(own / (edits + 1)), own % (edits + 1)
-    short = edits + 1 - longer  # segments before this one have no extra character
-    start = base * k + F.greatest(F.lit(k) - short, F.lit(0))
-    size = base + (F.lit(k) >= short).cast("int")
-    piece = F.substring(line, (start + shift + 1).cast("int"), size.cast("int"))
-    return F.xxhash64(F.lit(k), own, piece)
+def _key(wide: str, less: int, k: int, shift: int, edits: int) -> Column:
+    """What the ``k``-th segment of a line that is ``less`` characters shorter is looked up by.
+    ``wide`` has four bytes for every character, so that a place is found without counting."""
+    own = f"(cast(octet_length({wide}) div 4 as int) - {less})"
+    start, end = (f"cast(({own} * {n}) div {edits + 1} as int)" for n in (k, k + 1))
+    piece = f"substring({wide}, 4 * ({start} + {shift}) + 1, 4 * ({end} - {start}))"
+    return F.expr(f"xxhash64({k}, {own}, {piece})")
 
 
 def _counts(line: Column, letters: str) -> Column:
@@ -128,20 +126,22 @@ def within_edits(pairs: DataFrame, short: str, long: str, edits: int) -> DataFra
 
 
 def _meeting(lines: DataFrame, edits: int) -> DataFrame:
-    """Rows of ``lines`` for each segment key they share with another line: their facts, ``_key``,
-    ``_own`` (whether the key is of a segment of the line itself) and ``_owners`` of the key."""
+    """``_h1``, ``_h2`` and ``_size`` of lines for each segment key they share with another line,
+    with ``_key``, ``_own`` (whether the key is of a segment of the line itself) and ``_owners``
+    (how many such lines the key has)."""
     indexed = [n for n, (less, _, shift) in enumerate(_shared_places(edits)) if less == 0 and shift == 0]
-    keyed = lines.select("_h1", "_h2", "_place", "_size", F.posexplode("_keys").alias("_slot", "_key"))
-    keyed = keyed.withColumn("_own", F.col("_slot").isin(indexed)).drop("_slot")
-    # Dealt by key before they are counted: hardly any key occurs twice in a task.
+    keyed = lines.select("_h1", "_h2", "_size", F.posexplode("_keys").alias("_slot", "_key"))
+    # Dealt by key once: what is counted and what the counts select are the same shuffle.
+    dealt = keyed.withColumn("_own", F.col("_slot").isin(indexed)).drop("_slot").repartition("_key")
     live = (
-        keyed.select("_key", "_h1", "_h2", F.col("_own").cast("int").alias("_owner")).repartition("_key").groupBy("_key")
-        .agg(F.sum("_owner").alias("_owners"), F.min("_h1").alias("_a"), F.max("_h1").alias("_b"),
-             F.min("_h2").alias("_c"), F.max("_h2").alias("_d"))
-        .where((F.col("_owners") > 0) & ((F.col("_a") != F.col("_b")) | (F.col("_c") != F.col("_d"))))
+        dealt.groupBy("_key")
+        .agg(F.count_if("_own").alias("_owners"), F.min("_h1").alias("_a"), F.max("_h1").alias("_b"),
+             F.min("_h2").alias("_c"), F.max("_h2").alias("_d"), F.max("_size").alias("_most"))
+        .where((F.col("_owners") > 0) & ((F.col("_a") != F.col("_b")) | (F.col("_c") != F.col("_d")))
+               & (F.col("_most") > 0))
         .select("_key", "_owners")
     )
-    return keyed.join(pin(live, "line-keys"), "_key")
+    return dealt.join(live.hint("shuffle_hash"), "_key")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
@@ -162,15 +162,18 @@ _PAIR = ["short_h1", "short_h2", "long_h1", "long_h2"]
 def near_earlier(lines: DataFrame, found: DataFrame, place: Column, edits: int) -> DataFrame:
     """``(_h1, _h2)`` of the lines that are within ``edits`` edits of an earlier one.
 
-    ``lines`` has one row per line: ``_h1``, ``_h2``, ``_place``, ``_size`` and ``_keys``, in the
-    order of the shared places; ``found`` has the lines' texts at all their ``place`` s."""
+    ``lines`` has one row per line: ``_h1``, ``_h2``, ``_size`` and ``_keys``, in the order of the
+    shared places; ``found`` has the lines' texts at all their places, which ``place`` gives."""
     members = pin(_meeting(lines, edits), "line-members")
-    asked = members.select("_h1", "_h2", "_place").distinct()
-    texts = found.withColumn("_here", place).join(pin(asked, "lines-asked"), ["_h1", "_h2"]).where("_here <=> _place")
-    texts = pin(texts.dropDuplicates(["_h1", "_h2"]).select("_h1", "_h2", "_place", "_line"), "line-texts")
+    asked = pin(members.select("_h1", "_h2").distinct(), "lines-asked")
+    texts = pin(
+        found.withColumn("_here", place).join(asked, ["_h1", "_h2"]).groupBy("_h1", "_h2")
+        .agg(F.min("_here").alias("_place"), F.first("_line").alias("_line")),
+        "line-texts",
+    )
     line, half = F.col("_line"), len(_LETTERS) // 2
     counts = texts.select(
-        "_h1", "_h2", _counts(line, _LETTERS[:half]).alias("_some"), _counts(line, _LETTERS[half:]).alias("_others"))
+        "_h1", "_h2", "_place", _counts(line, _LETTERS[:half]).alias("_some"), _counts(line, _LETTERS[half:]).alias("_others"))
     # Two edits change four letters at most: one of five groups is as it was.
     groups = 2 * edits + 1
 
@@ -232,9 +235,12 @@ def repeated_lines(docs: DataFrame, *, edits: int = 2, min_chars: int | None = N
     found = _lines(docs, id_col, text_col, min_chars)
     place = F.struct("_id", "_row", "_line_no").alias("_place")
     size = F.char_length("_line")
-    keys = F.array(*[_key(F.col("_line"), size, *p, edits) for p in _shared_places(edits)])
+    # Exploding makes columns of them; as expressions they would be worked out once per key.
+    wide = F.struct("_h1", "_h2", place, size.alias("_size"), F.when(size >= segments_from, F.encode("_line", "UTF-32")).alias("_wide"))
+    keys = F.array(*[_key("_wide", *p, edits) for p in _shared_places(edits)])
     lines = pin(
-        found.select("_h1", "_h2", place, size.alias("_size"), F.when(size >= segments_from, keys).alias("_keys"))
+        found.select(F.explode(F.array(wide)).alias("_of")).select("_of.*")
+        .withColumn("_keys", F.when(F.col("_wide").isNotNull(), keys)).drop("_wide")
         .groupBy("_h1", "_h2").agg(
             F.min("_place").alias("_place"), F.count("*").alias("_n"), F.first("_size").alias("_size"),
             F.first("_keys").alias("_keys")),
