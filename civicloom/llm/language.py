@@ -21,8 +21,8 @@ GRAM_BITS = 16
 UNDETERMINED = "und"
 # Texts counted together, in bytes.
 PART_BYTES = 1 << 20
-# Fitted sets have up to so many languages.
-LARGEST_SET = 3
+# A text's set stops growing after so many sizes in a row that do not explain it better.
+MISSES = 2
 ROUNDS_ALL = 12
 ROUNDS_SET = 8
 # Weight of the corpus-wide distribution in a language's own, in n-grams.
@@ -153,13 +153,17 @@ class _Fit:
         best = np.zeros((texts, languages), dtype=np.float32)
         best[np.arange(texts), order[:, 0]] = 1
         value = alone.max(axis=1) - charge
-        for size in range(2, min(LARGEST_SET, languages) + 1):
+        misses = np.zeros(texts, dtype=int)
+        for size in range(2, languages + 1):
+            if (misses >= MISSES).all():
+                break
             chosen = np.zeros((texts, languages), dtype=np.float32)
             np.put_along_axis(chosen, order[:, :size], 1 / size, axis=1)
             shares = self.rounds(chosen, ROUNDS_SET)
             fitness = self.fitness(shares) - size * charge
-            better = fitness > value
-            best[better], value = shares[better], np.maximum(value, fitness)
+            better = (fitness > value) & (misses < MISSES)
+            best[better], value[better] = shares[better], fitness[better]
+            misses = np.where(better, 0, misses + 1)
         return best.astype(np.float64)
 
 

@@ -28,6 +28,8 @@ from civicloom.session import pin
 _LETTERS = "etaoinsrhldcumgpfwybvkxj0123456."
 # A segment that more lines share is dealt out by letter counts.
 HOT = 64
+# Bits of the map of lines to fetch: 2 MB at most are broadcast.
+FILTER_BITS = 1 << 24
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int | None) -> DataFrame:
@@ -144,6 +146,18 @@ def _meeting(lines: DataFrame, edits: int) -> DataFrame:
     return dealt.join(live.hint("shuffle_hash"), "_key")
 
 
+def _likely(found: DataFrame, asked: DataFrame) -> DataFrame:
+    """Rows of ``found`` whose hash may be among the ``asked`` ones, before any of them moves: the
+    broadcast is a bitmap of ``FILTER_BITS`` bits, however many lines are asked for."""
+    spot = F.pmod("_h1", F.lit(FILTER_BITS)) + 1
+    bits = asked.select(F.bitmap_bucket_number(spot).alias("_bucket"), F.bitmap_bit_position(spot).alias("_bit"))
+    bits = bits.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    placed = found.withColumn("_bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(bits), "_bucket")
+    bit = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return placed.where(F.floor(byte / F.pow(F.lit(2), bit % 8)) % 2 == 1).drop("_bucket", "_bits")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     """The later line ``(_h1, _h2)`` of each pair that is within the edits."""
     sides = [texts.select(*[F.col(f"_{name}").alias(f"{side}_{name}") for name in ("h1", "h2", "place", "line")])
@@ -167,8 +181,9 @@ def near_earlier(lines: DataFrame, found: DataFrame, place: Column, edits: int)
     members = pin(_meeting(lines, edits), "line-members")
     asked = pin(members.select("_h1", "_h2").distinct(), "lines-asked")
     texts = pin(
-        found.withColumn("_here", place).join(asked, ["_h1", "_h2"]).groupBy("_h1", "_h2")
-        .agg(F.min("_here").alias("_place"), F.first("_line").alias("_line")),
+        _likely(found, asked).groupBy("_h1", "_h2")
+        .agg(F.min(place).alias("_place"), F.first("_line").alias("_line"))
+        .join(asked, ["_h1", "_h2"], "left_semi"),
         "line-texts",
     )
     line, half = F.col("_line"), len(_LETTERS) // 2

@@ -50,6 +50,42 @@ def test_mixtures_are_found(spark):
     assert rows[2]["languages"] == ["es"] and rows[2]["score"] == 1.0
 
 
+def test_all_four_languages_of_a_text_are_found(spark):
+    """Equal parts, against a plain search over all sets of languages."""
+    import itertools
+    import math
+
+    import numpy as np
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    names = ["de", "en", "es", "fr"]
+    parts = {lang: " ".join(r["text"] for r in docs.where(f"lang = '{lang}'").orderBy("doc_id").limit(6).collect())[:3000]
+             for lang in names}
+    learned = language.learn(docs)
+    texts = [" ".join(parts[lang] for lang in chosen) for n in (1, 2, 3, 4) for chosen in itertools.combinations(names, n)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in language.identify(df, learned).collect()}
+    assert sorted(found[len(texts) - 1]["languages"]) == names
+    for k, text in enumerate(texts):
+        import pyarrow as pa
+
+        _, _, _, code, count = next(iter(language.gram_counts(pa.array([text]))))
+        likelihood = learned.likelihood[code].astype(float)
+        charge = language.CHARGE * 0.5 * math.log(max(count.sum(), 2))
+
+        def fitted(chosen):
+            shares = np.full(len(chosen), 1 / len(chosen))
+            for _ in range(60):
+                joint = shares * likelihood[:, chosen]
+                joint *= (count / joint.sum(axis=1))[:, None]
+                shares = joint.sum(axis=0) / count.sum()
+            return (count * np.log((shares * likelihood[:, chosen]).sum(axis=1))).sum() - charge * len(chosen)
+
+        sets = [list(c) for n in (1, 2, 3, 4) for c in itertools.combinations(range(4), n)]
+        best = max(sets, key=fitted)
+        assert sorted(found[k]["languages"]) == [learned.names[j] for j in best]
+
+
 def test_language_edges(spark):
     rows = [(1, None, "en", "a"), (2, "", "en", "a"), (3, "123 !?", "en", "a"), (4, "the and of the", "en", "a"),
             (4, "the and of the", "en", "a"), (None, "der und die und", "de", "a"), (6, "und der die", "de", None),
