@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import inspect
+import math
 import time
 from collections.abc import Callable, Sequence
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -317,6 +319,22 @@ def annotate(
     return union_cached_and_new(cached, new.drop("code"))
 
 
+class _Slots:
+    """Slots of time that tasks own in turn, counted from the clock all of them share."""
+
+    def __init__(self, length: float, tasks: int, task: int):
+        self.length, self.turn, self.offset = length, length * tasks, length * (task % tasks)
+
+    def wait(self) -> None:
+        """Until the next slot of this task begins."""
+        if self.length <= 0:
+            return
+        now = time.time()
+        begin = math.ceil((now - self.offset) / self.turn) * self.turn + self.offset
+        while (left := begin - time.time()) > 0:
+            time.sleep(left)
+
+
 def lookup(
     df: DataFrame,
     fn: Callable[[str], tuple[float, float] | None],
@@ -334,30 +352,37 @@ def lookup(
     """Fill missing coordinates from the gazetteer and, for names it lacks, from a function.
 
     Every name is asked for once, however many rows hold it. ``None`` is a final answer; an
-    exception is tried again, ``tries`` times in all, ``pause`` seconds apart. Each of the
-    ``parallelism`` tasks waits ``pause_between`` seconds from one name to the next.
+    exception is tried again, ``tries`` times in all, after ``pause`` seconds and twice as long for
+    every failure that follows another in a task, up to a minute.
+
+    All tasks together ask once in ``pause_between`` seconds: time is divided into slots of that
+    length, which the ``parallelism`` tasks own in turn, and a task asks at the beginning of a slot
+    of its own. Clocks of the executors must agree to a part of a slot.
     ``status_col`` adds how a row that needed coordinates fared: ``known`` (gazetteer),
     ``found``, ``not found``, or ``failed`` (every try raised); null for the other rows.
     """
 
     @F.pandas_udf("lat double, lon double, status string")
     def locate(names: pd.Series) -> pd.DataFrame:
+        slots = _Slots(pause_between, parallelism, TaskContext.get().partitionId())
+        failures = 0
+
         def one(name: str) -> tuple[float | None, float | None, str]:
+            nonlocal failures
             for attempt in range(tries):
                 if attempt:
-                    time.sleep(pause)
+                    time.sleep(min(60.0, pause * 2 ** (failures - 1)))
+                slots.wait()
                 try:
                     answer = fn(name)
                 except Exception:
+                    failures += 1
                     continue
+                failures = 0
                 return (*answer, "found") if answer else (None, None, "not found")
             return None, None, "failed"
 
-        rows = []
-        for name in names:
-            rows.append(one(name))
-            time.sleep(pause_between)
-        return pd.DataFrame(rows, columns=["lat", "lon", "status"])
+        return pd.DataFrame([one(name) for name in names], columns=["lat", "lon", "status"])
 
     wanted = ~has_coordinates(lat_col, lon_col) & present_flag(F.col(name_col))
     names = df.filter(wanted).select(F.col(name_col).alias("name")).distinct()

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from civicloom.operators.numbering import number_rows
 from civicloom.session import pin
 
 # A stratum is cut into about so many buckets for each thousand rows drawn.
@@ -74,11 +75,12 @@ def quotas(sizes: DataFrame, n: int) -> DataFrame:
         F.expr("_scaled div _total").alias("_whole"),
         F.expr("_scaled % _total").alias("_rest"),
     )
-    by_rest = Window.orderBy(F.desc("_rest"), _STRATUM)
-    everything = Window.partitionBy()
-    left = F.lit(n) - F.sum("_whole").over(everything)
-    extra = F.when(F.row_number().over(by_rest) <= left, 1).otherwise(0)
-    return shared.select(_STRATUM, (F.col("_whole") + extra).cast("bigint").alias("_quota"))
+    # Remainders are numbered by a global sort, so a million strata are not ranked in one task.
+    shared = pin(shared, "shares")
+    left = F.lit(n) - shared.agg(F.sum("_whole")).scalar()
+    numbered = number_rows(shared.withColumn("_least", -F.col("_rest")), ["_least", _STRATUM], "_nth")
+    extra = F.when(F.col("_nth") <= left, 1).otherwise(0)
+    return numbered.select(_STRATUM, (F.col("_whole") + extra).cast("bigint").alias("_quota"))
 
 
 def _ranked(
