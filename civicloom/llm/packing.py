@@ -146,10 +146,11 @@ def fill_sequences(placed: DataFrame, ids: DataFrame, *, key: str, id_col: str =
 
     ``placed`` is what ``pack`` gives; ``key`` names a column that is different for every piece
     and tells which of the rows of ``ids``, ``(key, ids)``, belongs to it. Ids move once to their
-    piece and once to their sequence.
+    piece and once to their sequence; in between they are written, so that one of the two shuffles
+    is on disk at a time, and ``placed`` and ``ids`` are not read again.
     """
     facts = ["offset", "length", id_col, "piece", "start"]
-    joined = placed.join(ids.select(key, F.col("ids").alias("_ids")), key)
+    joined = pin(placed.join(ids.select(key, F.col("ids").alias("_ids")), key).drop(key), "placed-ids")
     together = joined.groupBy("sequence_id").agg(
         F.array_sort(F.collect_list(F.struct("offset", F.struct(*facts).alias("fact"), "_ids"))).alias("_all"))
     return together.select(

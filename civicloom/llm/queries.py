@@ -23,7 +23,7 @@ from civicloom.llm import (
     trie,
 )
 from civicloom.queries.registry import ready
-from civicloom.session import fresh_path, pin
+from civicloom.session import fresh_path, pin, pins, unpin
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
 def packed_sequences(docs: DataFrame) -> DataFrame:
     """The filled sequences of ``docs``, one row each."""
+    spark, before = docs.sparkSession, set(pins(docs.sparkSession))
     encoded = tokens.encode_documents(docs, tokenizer_path(), PACK_END)
     cut = packing.cut_pieces(encoded, MAX_TOKENS)
     # Copies of a document agree in everything else. The numbers are written with the pieces.
@@ -86,7 +87,10 @@ def packed_sequences(docs: DataFrame) -> DataFrame:
     order = ["doc_id", "piece", "start", "length", "ids_crc32"]
     # Written, so that its true size decides whether ids are shuffled to meet it.
     placed = pin(packing.pack(pieces.select("key", *order), MAX_TOKENS, order_by=order), "placed")
-    return packing.fill_sequences(placed, pieces, key="key")
+    filled = packing.fill_sequences(placed, pieces, key="key")
+    # The sequences are read from what was pinned last.
+    unpin(spark, [path for path in pins(spark)[:-1] if path not in before])
+    return filled
 
 
 @query("op1_best_fit_packing")
