@@ -3,7 +3,9 @@
 Texts are encoded by the ``tokenizers`` library. No token of a byte-level vocabulary runs from a
 visible character into a following blank, so the ids of a text are those of its blank-separated
 words one after the other. Words repeat, texts hardly do: each worker has the library encode a
-word when it first meets it, and gathers the rest with Arrow and numpy.
+word when it first meets it, and gathers the rest with Arrow and numpy. Texts that hold runs of
+blanks or an added token of the vocabulary (such as ``<|endoftext|>``, which the library's defaults
+read as one id) go through the library whole.
 """
 
 from __future__ import annotations
@@ -32,13 +34,16 @@ _RUN = r" [\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}]|[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}]
 
 
 class Coder:
-    """Encodes texts with one tokenizer file; made inside a task."""
+    """Encodes texts with one tokenizer file; made inside a task. A file that divides texts in
+    another way than ``_UNITS`` is refused."""
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(tokenizer)
-        self._library.encode_special_tokens = True
+        _require_byte_level(self._library, tokenizer)
+        added = self._library.get_added_tokens_decoder().values()
+        self._odd = "|".join([_RUN, *(regex.escape(token.content) for token in added)])
         self._units = regex.compile(_UNITS)
         self._letters = _byte_letters()
         self._by_word = _remembered(tokenizer)
@@ -103,7 +108,7 @@ class Coder:
             first = last
 
     def _part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        odd = pc.match_substring_regex(texts, _RUN).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, self._odd).to_numpy(zero_copy_only=False)
         if odd.any():
             kept = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts)
         else:
@@ -149,6 +154,19 @@ def _remembered(tokenizer: str) -> dict[str, bytes]:
     return memory.__dict__.setdefault(tokenizer, {})
 
 
+def _require_byte_level(library, name: str) -> None:
+    from tokenizers import models, pre_tokenizers
+
+    divides, model = library.pre_tokenizer, library.model
+    if not (
+        library.normalizer is None
+        and isinstance(divides, pre_tokenizers.ByteLevel) and divides.use_regex and not divides.add_prefix_space
+        and isinstance(model, models.BPE) and not model.dropout
+        and not model.continuing_subword_prefix and not model.end_of_word_suffix
+    ):
+        raise ValueError(f"{name} is no byte-level vocabulary that divides texts by the plain pattern")
+
+
 def _ending_with_none(batches):
     yield from batches
     yield None

@@ -18,6 +18,7 @@ from tests.llm.small import documents, rows_of, sentence
 ODD = ["", " ", "  ", " a", "a ", "a  b", "\n", "a\n b", "a \nb", "<|endoftext|> hi<|endoftext|>",
        "don't it's we'll", "日本 語。です", "a,b. c!? d;;", "é à", "　a 　", "tab\tx y\t z",
        "a\x1c b", "Ⅷ ²³ 1a", " ' s", "ab. 's", "\u0085 x", None, "x" * 5000, "word " * 3000,
+       "hello <|endoftext|> world", "a<|endoftext|><|endoftext|> b", "<|endoftext|", "<| endoftext|>",
        "(the", "\"the (the", ".st", "#include", "-ing 1st 2nd", "1the the1", "'the", "\x00the", "é\u0301a \u0301b"]
 
 
@@ -25,9 +26,7 @@ ODD = ["", " ", "  ", " a", "a ", "a  b", "\n", "a\n b", "a \nb", "<|endoftext|>
 def library():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(queries.tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(queries.tokenizer_path())
 
 
 def encoded(texts):
@@ -50,6 +49,20 @@ def test_ids_of_random_texts(texts):
     assert encoded(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_an_added_token_is_one_id():
+    assert encoded(["hello <|endoftext|> world", "plain"])[0] == [31373, 220, 50256, 995]
+
+
+def test_a_file_that_divides_texts_otherwise_is_refused(tmp_path):
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    other = Tokenizer.from_file(queries.tokenizer_path())
+    other.pre_tokenizer = pre_tokenizers.Whitespace()
+    other.save(str(tmp_path / "other.json"))
+    with pytest.raises(ValueError, match="byte-level"):
+        tokens.Coder(str(tmp_path / "other.json"))
+
+
 def test_the_memory_may_start_anew(monkeypatch, library):
     monkeypatch.setattr(tokens, "REMEMBERED_WORDS", 3)
     monkeypatch.setattr(tokens, "PART_BYTES", 20)
