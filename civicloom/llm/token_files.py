@@ -126,13 +126,14 @@ class WaveletMatrix:
         """All ids in order: the planes undone from the last to the first."""
         kind = np.uint16 if self.levels <= 16 else np.uint32
         values = np.zeros(self.length, dtype=kind)
+        before = np.empty_like(values)
         for level in range(self.levels - 1, -1, -1):
             ones = np.unpackbits(self.bits[level], count=self.length).view(bool)
-            before = np.empty_like(values)
             zeros = int(self.zeros[level])
-            before[~ones] = values[:zeros]
-            before[ones] = values[zeros:] | kind(1 << (self.levels - 1 - level))
-            values = before
+            values[zeros:] |= kind(1 << (self.levels - 1 - level))
+            before[np.flatnonzero(ones)] = values[zeros:]
+            before[np.flatnonzero(np.logical_not(ones, out=ones))] = values[:zeros]
+            values, before = before, values
         return values.astype("<u4")
 
 

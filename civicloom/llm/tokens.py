@@ -23,9 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Words remembered by one worker process. Beyond it the memory starts anew; ids do not depend on it.
-REMEMBERED_WORDS = 450_000
+REMEMBERED_WORDS = 900_000
 # Texts encoded together, in bytes; a longer text is a part of its own.
-PART_BYTES = 2_000_000
+PART_BYTES = 4_000_000
 # Rows of a batch handed back to Spark.
 ROWS_BACK = 512
 
