@@ -7,11 +7,15 @@ the last time, and all lines between are kept. From there it grows over the text
 short, until links or a gap. Sums surge at a fixed length or, where lines are shorter, at their
 median, weighted by the logarithms of the lengths: one huge paragraph does not raise it. The sums
 decide on every page; an article or main element is a check afterwards of what they picked.
+
+Classes and ids name furniture less reliably than elements do: a block that they name stays if most
+of the page's text, and all of it under an article or main element, stands in it.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 from math import log1p
@@ -56,6 +60,10 @@ _FURNITURE = frozenset({
     "promotion", "related", "replies", "reply", "search", "share", "sharing", "sidebar", "signup", "social",
     "sponsor", "sponsored", "subscribe", "subscription", "teaser", "toolbar", "widget"})
 _REPLIES = frozenset({"comment", "comments", "disqus", "replies", "reply"})
+# Words that turn a name into a property: "no-sidebar", "has-header".
+_PROPERTY = frozenset({"has", "no", "with", "without"})
+# Elements that a slash closes.
+_FOREIGN = frozenset({"svg", "math"})
 _MARKS = {"main": 1, "article": 2}
 # Elements that hold the whole page: their classes say something about it, not what they are.
 _FRAMES = frozenset({"html", "body", "article", "main"})
@@ -66,6 +74,7 @@ class Line:
     text: str
     length: int
     mark: int  # 2 within an article, 1 within main, else 0
+    block: int = 0  # innermost block that a class or id calls furniture, 0 for none
 
     @property
     def is_links(self) -> bool:
@@ -73,24 +82,52 @@ class Line:
         return 2 * self.length < len(self.text)
 
 
-def _furniture(name: str, rest: str, by_class: bool) -> bool:
+def _furniture(name: str, rest: str, by_class: bool) -> tuple[bool, bool]:
+    """Whether an element goes whatever it holds, and whether its class or id calls it furniture."""
     if name in _DROPPED:
-        return True
+        return True, False
     if not rest or "=" not in rest and "hidden" not in rest:
-        return False
+        return False, False
     words: set[str] = set()
     for match in _ATTRIBUTE.finditer(rest):
         attribute = match[1].lower()
         value = (match[2] or match[3] or match[4] or "").lower()
         if attribute == "hidden" or attribute == "aria-hidden" and value == "true":
-            return True
+            return True, False
         if attribute == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return True, False
         if attribute == "role" and value in _DROPPED_ROLES:
-            return True
+            return True, False
         if attribute in ("class", "id"):
-            words.update(_WORD.findall(value))
-    return by_class and not words.isdisjoint(_REPLIES if name in _FRAMES else _FURNITURE)
+            for given in value.split():
+                found = _WORD.findall(given)
+                if _PROPERTY.isdisjoint(found):
+                    words.update(found)
+    if not by_class:
+        return False, False
+    if not words.isdisjoint(_REPLIES):
+        return True, False
+    return False, name not in _FRAMES and not words.isdisjoint(_FURNITURE)
+
+
+def _without_furniture(lines: list[Line], parents: list[int]) -> list[Line]:
+    """``lines`` without the blocks that classes call furniture, each of which leaves an empty line.
+    ``parents`` has the block around each block. A block's last line is empty."""
+    total, marked = [0] * len(parents), [0] * len(parents)
+    for line in lines:
+        total[line.block] += line.length
+        marked[line.block] += line.length if line.mark else 0
+    for block in range(len(parents) - 1, 0, -1):  # a block comes after the one around it
+        total[parents[block]] += total[block]
+        marked[parents[block]] += marked[block]
+    gone = [0] * len(parents)  # the outermost furniture around a block's lines
+    for block in range(1, len(parents)):
+        stays = 2 * total[block] > total[0] and marked[block] == marked[0]
+        gone[block] = gone[parents[block]] or (0 if stays else block)
+    last = {line.block: k for k, line in enumerate(lines)}
+    return [line for k, line in enumerate(lines)
+            if (gone[line.block] == line.block and last[line.block] == k if gone[line.block]
+                else not line.block or last[line.block] != k)]
 
 
 def page_lines(html: str, by_class: bool = True) -> list[Line]:
@@ -99,8 +136,10 @@ def page_lines(html: str, by_class: bool = True) -> list[Line]:
     lines: list[Line] = []
     parts: list[str] = []
     state = {"links": 0, "linked": 0}
-    stack: list[tuple[str, bool, int]] = []  # name, dropped, mark
+    stack: list[tuple[str, bool, int, bool]] = []  # name, dropped, mark, whether a block of its own
+    opened: Counter[str] = Counter()  # names in the stack
     dropped, open_marks = 0, [0, 0, 0]
+    block, parents = 0, [0]
 
     def mark() -> int:
         return 2 if open_marks[2] else 1 if open_marks[1] else 0
@@ -108,7 +147,7 @@ def page_lines(html: str, by_class: bool = True) -> list[Line]:
     def flush() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            lines.append(Line(text, max(0, len(text) - state["linked"]), mark()))
+            lines.append(Line(text, max(0, len(text) - state["linked"]), mark(), block))
         parts.clear()
         state["linked"] = 0
 
@@ -120,17 +159,27 @@ def page_lines(html: str, by_class: bool = True) -> list[Line]:
                 state["linked"] += len(text.strip())
 
     def close(place: int) -> None:
-        nonlocal dropped
+        nonlocal dropped, block
         while len(stack) > place:
-            name, was_dropped, was_mark = stack.pop()
+            name, was_dropped, was_mark, was_block = stack.pop()
+            opened[name] -= 1
             if name not in _INLINE:
                 flush()
             dropped -= was_dropped
-            if was_dropped and not dropped:
-                lines.append(Line("", 0, mark()))
+            if was_dropped and not dropped or was_block:
+                lines.append(Line("", 0, mark(), block))
+            if was_block:
+                block = parents[block]
             open_marks[was_mark] -= 1
             state["links"] -= name == "a"
 
+    def close_last(name: str) -> None:
+        """Close the innermost element of a name, which is open, and all within it."""
+        place = len(stack) - 1
+        while stack[place][0] != name:
+            place -= 1
+        close(place)
+
     at, end = 0, len(html)
     while at < end:
         match = _TOKEN.search(html, at)
@@ -143,38 +192,38 @@ def page_lines(html: str, by_class: bool = True) -> list[Line]:
             continue
         name, rest = match["name"].lower(), match["rest"].rstrip(">")
         if match["end"]:
-            for place in range(len(stack) - 1, -1, -1):
-                if stack[place][0] == name:
-                    close(place)
-                    break
-            else:
-                if name not in _INLINE:
-                    flush()
+            if opened[name]:
+                close_last(name)
+            elif name not in _INLINE:
+                flush()
             continue
         if name == "body":
             close(0)
-        if name == "a":  # links do not nest
-            for place in range(len(stack) - 1, -1, -1):
-                if stack[place][0] == "a":
-                    close(place)
-                    break
+        if name == "a" and opened[name]:  # links do not nest
+            close_last(name)
         if name not in _INLINE:
             flush()
         if name in _RAW:
             closing = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
             at = closing.end() if closing else end
             continue
-        if name in _VOID:
+        if name in _VOID or name in _FOREIGN and rest.endswith("/"):
             continue
-        is_dropped = _furniture(name, rest, by_class)
+        is_dropped, is_block = _furniture(name, rest, by_class)
+        if is_block and (dropped or name in _INLINE):  # an inline element is part of a line
+            is_dropped, is_block = True, False
         own_mark = 0 if is_dropped or dropped else _MARKS.get(name, 0)
-        stack.append((name, is_dropped, own_mark))
+        stack.append((name, is_dropped, own_mark, is_block))
+        opened[name] += 1
+        if is_block:
+            parents.append(block)
+            block = len(parents) - 1
         dropped += is_dropped
         open_marks[own_mark] += 1
         state["links"] += name == "a"
     close(0)
     flush()
-    return lines
+    return _without_furniture(lines, parents)
 
 
 def _median(values: list[tuple[float, float]]) -> float:

@@ -1,6 +1,7 @@
 """Languages, mixtures, pages and the pipeline."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -287,3 +288,30 @@ def test_marks_check_what_the_windows_pick():
 def test_windows_decide_on_marked_pages():
     lines = html.page_lines("<article><ul>" + "<li><a>Entry</a></li>" * 9 + f"</ul><p>{'word ' * 50}</p></article>")
     assert html.between_surge_and_dive(lines) == (9, 10)
+
+
+def test_classes_of_wrappers_do_not_drop_the_article():
+    story = [f"{k} " + "word " * 40 for k in range(6)]
+    text = " ".join(" ".join(t.split()) for t in story)
+    foot = "<footer>&copy; site</footer><p class=copyright><a href=/>Site</a></p>"
+    for wrapper in ("<div class='content no-sidebar'>", "<div class='elementor-widget-text-editor'>",
+                    "<div id='page' class='site has-header'>", "<div class='layout sidebar-right'><div class='widget'>"):
+        body = f"{wrapper}{blocks(*story)}<div class='promo'>Buy <b>now</b></div></div></div>"
+        assert html.main_text(f"<body>{body}{foot}</body>") == text, wrapper
+    # What holds most of the text, but none of an article's, is furniture all the same.
+    page = f"<body><article><p>A short note.</p></article><div class='sidebar'>{blocks(*story)}</div></body>"
+    assert html.main_text(page) == "A short note."
+    page = f"<body><div><p>{'word ' * 30}</p></div><div class='comments'>{blocks(*story)}</div></body>"
+    assert html.main_text(page) == ("word " * 30).strip()
+
+
+def test_an_element_that_closes_itself_drops_nothing():
+    assert html.main_text("<article><p>before <svg/> after</p><p>next <svg><path/><text>x</text></svg> end</p></article>") == \
+        "before after next end"
+
+
+def test_unmatched_tags_take_time_by_the_length_of_the_page():
+    for unit in ("<b>x</i>", "<p>x</div>", "<a>x", "<div class=ad>x</p>"):
+        began = time.process_time()
+        html.main_text(unit * 20_000)
+        assert time.process_time() - began < 4, unit
