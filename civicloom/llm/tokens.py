@@ -118,9 +118,10 @@ class Coder:
         bounds = bounds - bounds[0]
         coded = words.flatten().dictionary_encode()
         known_word, new_word = self._by_word.get, self.word
-        blank_words = [" " + word for word in coded.dictionary.to_pylist()]
-        ids = [known_word(word) or new_word(word) for word in blank_words]
-        index = coded.indices.to_numpy().astype(np.int64)
+        none, blank = (pa.scalar(text, pa.large_string()) for text in ("", " "))
+        blank_words = pc.binary_join_element_wise(none, coded.dictionary, blank).to_numpy(zero_copy_only=False)
+        ids = [known_word(word) or new_word(word) for word in blank_words.tolist()]
+        index = coded.indices.to_numpy().copy()
         # The first word of a text has no blank before it.
         starts = bounds[:-1]
         first_words = words.flatten().take(pa.array(starts)).to_pylist()
@@ -135,8 +136,9 @@ class Coder:
         ends = np.cumsum(counts)
         if len(ends) == 0:
             return np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
-        moved = np.repeat(begins[index] - (ends - counts), counts)
-        moved += np.arange(ends[-1])
+        narrow = np.int32 if max(ends[-1], len(flat)) < 1 << 31 else np.int64
+        moved = np.repeat((begins[index] - (ends - counts)).astype(narrow), counts)
+        moved += np.arange(ends[-1], dtype=narrow)
         return flat[moved], ends[bounds[1:] - 1]
 
 
