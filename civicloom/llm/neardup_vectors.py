@@ -5,11 +5,14 @@ the coordinate that is largest in absolute value, with its sign: the nearest ver
 cross-polytope. A table hashes by several rotations at once. Each vector enters, in every table,
 the buckets of its few likeliest combinations of vertices, so that a pair that straddles a border
 still meets. Vectors that share a bucket are compared exactly; a pair that shares several counts in
-the first only, so links can be counted without listing pairs.
+the first only, so links can be counted without listing pairs. The number of tables follows from the
+threshold, the dimension and the share of pairs at the threshold that may be missed.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,13 +22,18 @@ from civicloom.llm.components import components
 from civicloom.llm.groups import block_pairs, stars, whole_units
 from civicloom.session import pin
 
-TABLES = 6
+# Share of the pairs exactly at the threshold that no table may bring together; pairs above it meet more often.
+MISS = 1e-6
 ROTATIONS_PER_TABLE = 2
 PROBES = 3
 # Vertices per rotation that combinations are made of.
 NEAREST = 3
 BLOCK = 1024
+# Few dimensions are padded: Hadamard rotations of 2 or 4 of them are too few to differ between tables.
+LEAST_WIDTH = 32
 _SEED = 20
+# Pairs and tables that a table's rate of meetings is measured with.
+_TRIALS, _TRIAL_TABLES = 500, 8
 
 
 def usable(vector: str) -> F.Column:
@@ -50,10 +58,40 @@ def rotations(width: int, tables: int, seed: int = _SEED) -> np.ndarray:
     return signs * 2.0 - 1.0
 
 
-def buckets(unit: np.ndarray, tables: int = TABLES, probes: int = PROBES, seed: int = _SEED) -> np.ndarray:
+def _width(dim: int) -> int:
+    return max(LEAST_WIDTH, 1 << (dim - 1).bit_length())
+
+
+@lru_cache(maxsize=None)
+def tables_for(dim: int, least: float, probes: int = PROBES, miss: float = MISS) -> int:
+    """Tables after which at most ``miss`` of the pairs of cosine ``least`` share no bucket.
+
+    A table's rate of meetings is measured on random pairs of that cosine and dimension, with
+    rotations that the search does not use, and taken three standard errors lower.
+    """
+    if not 0 < least <= 1 or not 0 < miss < 1:
+        raise ValueError("least must be above 0 and at most 1, miss between 0 and 1")
+    draw = np.random.default_rng([_SEED + 1, dim])
+    one, other = draw.standard_normal((2, _TRIALS, dim))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (one * other).sum(axis=1, keepdims=True) * one
+    length = np.linalg.norm(other, axis=1, keepdims=True)
+    other /= np.where(length > 0, length, 1)
+    turned = least * one + np.sqrt(1 - least * least) * other
+    turned /= np.linalg.norm(turned, axis=1, keepdims=True)
+    a, b = (buckets(side, _TRIAL_TABLES, probes, _SEED + 1).reshape(-1, probes) for side in (one, turned))
+    n = len(a)
+    meet = (a[:, :, None] == b[:, None, :]).any(axis=(1, 2)).mean()
+    meet = min(meet - 3 * np.sqrt(meet * (1 - meet) / n), 1 - 3 / n)
+    if meet <= 0:
+        raise ValueError(f"pairs of cosine {least} in {dim} dimensions hardly share buckets: give tables")
+    return int(np.ceil(np.log(miss) / np.log(1 - meet)))
+
+
+def buckets(unit: np.ndarray, tables: int, probes: int = PROBES, seed: int = _SEED) -> np.ndarray:
     """For each unit vector, ``tables`` x ``probes`` bucket numbers, a table's likeliest first."""
     n, dim = unit.shape
-    width = max(2, 1 << (dim - 1).bit_length())
+    width = _width(dim)
     padded = np.zeros((n, width))
     padded[:, :dim] = unit
     signs = rotations(width, tables, seed)
@@ -86,7 +124,7 @@ def _rows(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _hashed(classes: DataFrame, tables: int, probes: int) -> DataFrame:
+def _hashed(classes: DataFrame, least: float, miss: float, tables: int | None, probes: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             sizes = batch.column("dim").to_numpy()
@@ -94,7 +132,8 @@ def _hashed(classes: DataFrame, tables: int, probes: int) -> DataFrame:
                 own = batch.filter(pa.array(sizes == size))
                 vectors = _rows(own.column("vector"))
                 vectors /= np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
-                keys = np.sort(buckets(vectors, tables, probes), axis=1)
+                count = tables or tables_for(int(size), least, probes, miss)
+                keys = np.sort(buckets(vectors, count, probes), axis=1)
                 lists = pa.ListArray.from_arrays(
                     np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays([*own.columns, lists], names=[*own.schema.names, "buckets"])
@@ -175,14 +214,15 @@ def _first_shared(keys: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.nd
     return answer
 
 
-def near_duplicate_vectors(vectors: DataFrame, *, least: float = 0.93, tables: int = TABLES,
-                           probes: int = PROBES, id_col: str = "vec_id", vector_col: str = "embedding",
+def near_duplicate_vectors(vectors: DataFrame, *, least: float = 0.93, miss: float = MISS,
+                           tables: int | None = None, probes: int = PROBES, id_col: str = "vec_id", vector_col: str = "embedding",
                            label_col: str = "label") -> DataFrame:
     """One row per vector: ``id_col``, ``label_col``, ``n_links`` (other vectors linked directly),
     ``component_id`` (smallest id reachable) and ``kept`` (whether that is its own).
 
     Vectors of equal, non-null label and equal dimension are linked if their cosine, in double
-    precision, is at least ``least`` and they share a bucket. A vector that is null, all zero or
+    precision, is at least ``least`` and they share a bucket; of pairs exactly at ``least``, ``miss`` may
+    not (``tables_for``), unless ``tables`` fixes the number of tables. A vector that is null, all zero or
     holds a null or non-finite component, and one without a label, links with nothing, and so
     does one without an id, whose component is null. Equal vectors are one class from the start.
     Rows that share an id count as vectors of their own in ``n_links``. No rows give no rows.
@@ -196,7 +236,7 @@ def near_duplicate_vectors(vectors: DataFrame, *, least: float = 0.93, tables: i
         able.groupBy("label", "vector").agg(F.min("vec").alias("vec"), F.count("*").alias("copies"))
         .select("vec", "copies", "label", F.size("vector").alias("dim"), "vector")
     )
-    classes = pin(_hashed(classes, tables, probes), "vector-classes")
+    classes = pin(_hashed(classes, least, miss, tables, probes), "vector-classes")
     place = ["label", "dim", "bucket"]
     entered = classes.select("vec", "label", "dim", F.explode(F.array_distinct("buckets")).alias("bucket"))
     # Only vectors that meet another one carry their components on.

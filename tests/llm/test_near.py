@@ -259,6 +259,50 @@ def test_vectors_against_brute_force(spark, monkeypatch, block):
         "vec_id", "n_links", "component_id", "kept") == [(4, 0, 4, True), (None, 0, None, True)]
 
 
+def pairs_of_cosine(draw, n, dim, cosine):
+    one, other = draw.standard_normal((2, n, dim))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (one * other).sum(axis=1, keepdims=True) * one
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    return one, cosine * one + np.sqrt(1 - cosine * cosine) * other
+
+
+@pytest.mark.parametrize("dim, least, n", [(2, 0.93, 4000), (64, 0.93, 20000), (64, 0.8, 4000), (768, 0.93, 500)])
+def test_pairs_at_the_threshold_meet(dim, least, n):
+    one, other = pairs_of_cosine(np.random.default_rng(dim), n, dim, least + 1e-4)
+    tables = neardup_vectors.tables_for(dim, least)
+    a, b = neardup_vectors.buckets(one, tables), neardup_vectors.buckets(other, tables)
+    met = np.zeros(n, dtype=bool)
+    for k in range(a.shape[1]):
+        met |= (b == a[:, k:k + 1]).any(axis=1)
+    assert met.all()
+
+
+def test_more_tables_for_lower_thresholds_and_fewer_misses():
+    count = neardup_vectors.tables_for
+    assert count(64, 0.8) > count(64, 0.93) > count(64, 0.99) >= 1
+    assert count(64, 0.93, miss=1e-9) > count(64, 0.93) > count(64, 0.93, miss=0.01)
+    assert count(768, 0.93) > count(64, 0.93)
+    assert count(1, 1.0) >= 1
+    with pytest.raises(ValueError):
+        count(64, 0.0)
+
+
+@pytest.mark.parametrize("least", [0.8, 0.6])
+def test_vectors_of_lower_thresholds_against_brute_force(spark, least):
+    one, other = pairs_of_cosine(np.random.default_rng(3), 60, 16, least + 1e-3)
+    vectors = np.concatenate((one, other))
+    cosines = vectors @ vectors.T
+    np.fill_diagonal(cosines, 0)
+    want = Sets(range(len(vectors)))
+    for v, w in np.argwhere(np.triu(cosines >= least)).tolist():
+        want.join(v, w)
+    docs = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(vectors)], VECTORS)
+    got = rows_of(neardup_vectors.near_duplicate_vectors(docs, least=least), "vec_id", "n_links", "component_id")
+    links = (cosines >= least).sum(axis=1)
+    assert got == sorted(((k, int(links[k]), want.find(k)) for k in range(len(vectors))), key=repr)
+
+
 def test_hadamard_keeps_lengths_and_angles():
     rows = np.random.default_rng(8).normal(size=(5, 32))
     turned = neardup_vectors._hadamard(rows)
