@@ -303,21 +303,28 @@ def _rejected_bodies(t):
     ).select("event_id", "reason")
 
 
-@query(
-    "extract_html_rows",
-    """SELECT page_id, CAST(0 AS INTEGER) AS table_idx, CAST(0 AS INTEGER) AS row_idx,
+_NAV_ROWS_SQL = """SELECT page_id, CAST(0 AS INTEGER) AS table_idx, CAST(0 AS INTEGER) AS row_idx,
               false AS by_class, replace(replace(replace(CAST(to_json(cells) AS VARCHAR),
                   '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS cells
        FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav>.*?</nav>'),
                                                 '<li><a[^>]*>(.*?)</a></li>', 1) AS cells
              FROM pages)
-       WHERE len(cells) > 0""",
-)
+       WHERE len(cells) > 0"""
+
+
+@query("extract_html_rows", _NAV_ROWS_SQL)
 def _extract_html_rows(t):
     rows = extract_html_rows(t.pages, row_tag="ul", cell_tags=("li",), table_tag="nav")
     return rows.withColumn("cells", F.to_json("cells"))
 
 
+@query("extract_html_rows_implied", _NAV_ROWS_SQL)
+def _extract_html_rows_implied(t):
+    pages = t.pages.withColumn("html", F.regexp_replace("html", "</(li|ul|a)>", ""))
+    rows = extract_html_rows(pages, row_tag="ul", cell_tags=("li",), table_tag="nav", implied_ends=True)
+    return rows.withColumn("cells", F.to_json("cells"))
+
+
 def _cells(tag: str, *values) -> F.Column:
     parts = [F.concat(F.lit(f"<{tag}> "), value, F.lit(f"\n</{tag}>")) for value in values]
     return F.concat(F.lit("<tr>"), *parts, F.lit("</tr>"))

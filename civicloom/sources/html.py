@@ -19,46 +19,75 @@ VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 HIDDEN_TAGS = frozenset(("script", "style", "template"))
+GROUP_TAGS = frozenset(("thead", "tbody", "tfoot"))
 
 
 class _TableReader(HTMLParser):
-    """Collects the cells of one page; an element left open holds all that follows."""
+    """Finds the tables, rows and cells of one page in time that grows with its length.
 
-    def __init__(self, table_tag: str, row_tag: str, cell_tags: frozenset[str]):
+    Texts, cells and rows are kept once, in page order. An element that is open holds all that
+    follows until it ends, so what it holds is a span of them: ``[start, end)``.
+    """
+
+    def __init__(self, table_tag: str, row_tag: str, cell_tags: frozenset[str], implied_ends: bool):
         super().__init__(convert_charrefs=True)
         self.roles = {table_tag: "table", row_tag: "row", **dict.fromkeys(cell_tags, "cell")}
-        self.tables: list[dict] = []
-        self.open: list[tuple[str, str | None, object]] = []
+        self.implied_ends = implied_ends
+        self.texts: list[str] = []
+        self.spans: dict[str, list[list]] = {"table": [], "row": [], "cell": []}
+        self.inside = {"table": self.spans["row"], "row": self.spans["cell"], "cell": self.texts}
+        self.open: list[tuple[str, str | None, list | None]] = []
+        # Where the open elements of each tag and of each role stand in ``open``.
+        self.places: dict[str, list[int]] = {}
+        self.role_places: dict[str, list[int]] = {"table": [], "row": [], "cell": []}
+        self.hidden = 0
         self.pieces: list[str] = []
 
-    def _held(self, role: str) -> list:
-        return [held for _, its_role, held in self.open if its_role == role]
-
     def flush(self) -> None:
         if not self.pieces:
             return
         text = "".join(self.pieces).strip()
         self.pieces.clear()
-        if text and not any(tag in HIDDEN_TAGS for tag, _, _ in self.open):
-            for cell in self._held("cell"):
-                cell.append(text)
+        if text and not self.hidden and self.role_places["cell"]:
+            self.texts.append(text)
+
+    def _last(self, role: str) -> int:
+        places = self.role_places[role]
+        return places[-1] if places else -1
+
+    def _end_from(self, place: int) -> None:
+        """End the element that stands there and those that were opened in it."""
+        while len(self.open) > place:
+            tag, role, span = self.open.pop()
+            self.places[tag].pop()
+            self.hidden -= tag in HIDDEN_TAGS
+            if role:
+                self.role_places[role].pop()
+                span[1] = len(self.inside[role])
+
+    def _end_implied(self, tag: str, role: str | None) -> None:
+        """What the start of a row, a cell or a group of rows ends in the innermost table."""
+        table, row, cell = self._last("table"), self._last("row"), self._last("cell")
+        if (role == "row" or tag in GROUP_TAGS) and row > table:
+            self._end_from(row)
+        elif role == "cell" and cell > max(table, row):
+            self._end_from(cell)
 
     def handle_starttag(self, tag, attrs):
         self.flush()
-        role, held = self.roles.get(tag), None
-        if role == "table":
-            held = {"classes": dict(attrs).get("class") or "", "rows": []}
-            self.tables.append(held)
-        elif role == "row":
-            held = []
-            for table in self._held("table"):
-                table["rows"].append(held)
-        elif role == "cell":
-            held = []
-            for row in self._held("row"):
-                row.append(held)
+        role, span = self.roles.get(tag), None
+        if self.implied_ends:
+            self._end_implied(tag, role)
+        if role:
+            start = len(self.inside[role])
+            span = [start, start, dict(attrs).get("class") or "" if role == "table" else None]
+            self.spans[role].append(span)
         if tag not in VOID_TAGS:
-            self.open.append((tag, role, held))
+            self.places.setdefault(tag, []).append(len(self.open))
+            if role:
+                self.role_places[role].append(len(self.open))
+            self.hidden += tag in HIDDEN_TAGS
+            self.open.append((tag, role, span))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -66,10 +95,13 @@ class _TableReader(HTMLParser):
 
     def handle_endtag(self, tag):
         self.flush()
-        for place in range(len(self.open) - 1, -1, -1):
-            if self.open[place][0] == tag:
-                del self.open[place:]
-                return
+        places = self.places.get(tag)
+        if not places:
+            return
+        # With implied ends, a stray end tag ends nothing outside of the cell it stands in.
+        if self.implied_ends and not self.roles.get(tag) and tag not in GROUP_TAGS and places[-1] < self._last("cell"):
+            return
+        self._end_from(places[-1])
 
     def handle_data(self, data):
         self.pieces.append(data)
@@ -78,21 +110,22 @@ class _TableReader(HTMLParser):
         self.flush()
 
 
-def _page_rows(html, table_tag, row_tag, cell_tags, table_class):
-    reader = _TableReader(table_tag, row_tag, cell_tags)
+def _page_rows(html, table_tag, row_tag, cell_tags, table_class, implied_ends=False):
+    reader = _TableReader(table_tag, row_tag, cell_tags, implied_ends)
     reader.feed(html)
     reader.close()
     reader.flush()
+    reader._end_from(0)
+    tables, rows, cells = reader.spans["table"], reader.spans["row"], reader.spans["cell"]
     marked = [
-        table
-        for table in reader.tables
-        if table_class is not None
-        and (table_class == table["classes"] or table_class in table["classes"].split())
+        table for table in tables
+        if table_class is not None and (table_class == table[2] or table_class in table[2].split())
     ]
-    for table_idx, table in enumerate(marked or reader.tables):
-        for row_idx, cells in enumerate(table["rows"]):
-            if cells:
-                yield table_idx, row_idx, bool(marked), ["".join(cell) for cell in cells]
+    for table_idx, (first, end, _) in enumerate(marked or tables):
+        for row_idx, (start, stop, _) in enumerate(rows[first:end]):
+            if stop > start:
+                texts = ["".join(reader.texts[begin:until]) for begin, until, _ in cells[start:stop]]
+                yield table_idx, row_idx, bool(marked), texts
 
 
 _ROWS = T.ArrayType(
@@ -114,12 +147,17 @@ def extract_html_tables(
     id_col: str = "page_id",
     html_col: str = "html",
     partitions: int | None = None,
+    implied_ends: bool = False,
 ) -> DataFrame:
     """``(page_id, table_idx, by_class, rows)`` of every table, its rows that have cells in order.
 
     Where a page has tables of ``table_class`` only those count. Pages without the table tag
     are dropped on the JVM; the rest is read page by page in Arrow batches. ``partitions`` deals
     the pages out first, for inputs of few files.
+
+    An element without an end tag holds all that follows, so of rows and cells left open the first
+    holds the text of all others. With ``implied_ends`` a row, a group of rows or a cell ends where
+    the next one of its table begins, and other end tags end nothing outside of their cell.
     """
     schema = T.StructType(
         [
@@ -136,7 +174,7 @@ def extract_html_tables(
         for batch in batches:
             found = []
             for page_id, html in zip(batch[id_col], batch[html_col]):
-                by_table = groupby(_page_rows(html, table_tag, row_tag, cells, table_class), lambda row: row[0])
+                by_table = groupby(_page_rows(html, table_tag, row_tag, cells, table_class, implied_ends), lambda row: row[0])
                 for table_idx, rows in by_table:
                     rows = list(rows)
                     listed = [{"row_idx": row_idx, "cells": texts} for _, row_idx, _, texts in rows]

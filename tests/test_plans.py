@@ -20,6 +20,7 @@ from civicloom.sources.snapshots import read_snapshot, write_snapshot
 
 FOLDER = "/root/testdata/sf0.001"
 WITH_PYTHON = {"annotate", "extract_contacts", "extract_hospital_contacts", "extract_html_rows",
+               "extract_html_rows_implied",
                "annotate_resumed", "label_photos", "label_range", "read_complaints_csv_split", "lookup", "lookup_status"}
 
 
