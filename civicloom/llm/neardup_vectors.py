@@ -144,7 +144,7 @@ def _hashed(classes: DataFrame, least: float, miss: float, tables: int | None, p
         run, f"vec long, copies long, label {group}, dim int, vector {kind}, buckets array<long>")
 
 
-def _bucket_links(units: DataFrame, least: float) -> DataFrame:
+def _bucket_links(units: DataFrame, least: float, probes: int) -> DataFrame:
     """For each unit of a bucket: links counted here first, and stars that join what they join."""
 
     def run(batches):
@@ -168,7 +168,7 @@ def _bucket_links(units: DataFrame, least: float) -> DataFrame:
                     continue
                 one, other = np.nonzero(np.triu(near))
                 keys = _rows_of_keys(part["buckets"])
-                first = _first_shared(keys, one, other) == bucket[begin]
+                first = _first_shared(keys, one, other, probes) == bucket[begin]
                 one, other = one[first], other[first]
                 if not len(one):
                     continue
@@ -202,15 +202,24 @@ def _rows_of_keys(column: pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
-def _first_shared(keys: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """The smallest bucket number that both vectors of each pair are in."""
+def _first_shared(keys: np.ndarray, one: np.ndarray, other: np.ndarray, probes: int) -> np.ndarray:
+    """The smallest bucket number that both vectors of each pair are in.
+
+    Numbers ascend in a row and a table has ``probes`` of them, so a number is looked for among its
+    table's only, for pairs that share none of the smaller ones.
+    """
     answer = np.full(len(one), np.iinfo(np.int64).max)
     for begin in range(0, len(one), 1 << 14):
         a, b = keys[one[begin:begin + (1 << 14)]], keys[other[begin:begin + (1 << 14)]]
+        left = np.arange(len(a))
         for k in range(a.shape[1]):
-            shared = (b == a[:, k:k + 1]).any(axis=1)
-            place = answer[begin:begin + (1 << 14)]
-            np.minimum(place, np.where(shared, a[:, k], np.iinfo(np.int64).max), out=place)
+            table = k // probes * probes
+            shared = (b[left, table:table + probes] == a[left, k:k + 1]).any(axis=1)
+            hit = left[shared]
+            answer[begin + hit] = a[hit, k]
+            left = left[~shared]
+            if not len(left):
+                break
     return answer
 
 
@@ -244,7 +253,7 @@ def near_duplicate_vectors(vectors: DataFrame, *, least: float = 0.93, miss: flo
     meeting = entered.join(crowded, place).join(
         classes.select("vec", "label", "dim", "copies", "vector", "buckets"), ["vec", "label", "dim"])
     units = block_pairs(meeting, place, "vec", BLOCK)
-    found = pin(_bucket_links(units, least), "vector-links")
+    found = pin(_bucket_links(units, least, probes), "vector-links")
     counts = found.where("n_links > 0").groupBy(F.col("a").alias("vec")).agg(F.sum("n_links").alias("_n"))
     joined = components(found.where("n_links = 0")).select(F.col("id").alias("vec"), "component_id")
     facts = (
