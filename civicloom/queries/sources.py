@@ -14,7 +14,7 @@ from civicloom.plans.loading import load_complaints, verify_load
 from civicloom.queries.annotation import rule
 from civicloom.queries.registry import LABELED_DOCUMENTS, labeled_documents, query
 from civicloom.queries.scalars import clean_sql
-from civicloom.session import fresh_path
+from civicloom.session import fresh_path, spread, tasks_for
 from civicloom.sources.html import extract_contacts, extract_html_rows, extract_html_tables
 from civicloom.sources.nested import read_api_envelope, read_feature_collection, rejected_bodies
 from civicloom.sources.snapshots import (
@@ -314,17 +314,28 @@ _NAV_ROWS_SQL = """SELECT page_id, CAST(0 AS INTEGER) AS table_idx, CAST(0 AS IN
 
 @query("extract_html_rows", _NAV_ROWS_SQL)
 def _extract_html_rows(t):
-    rows = extract_html_rows(t.pages, row_tag="ul", cell_tags=("li",), table_tag="nav")
+    rows = extract_html_rows(
+        t.pages, row_tag="ul", cell_tags=("li",), table_tag="nav", partitions=tasks_for(t.spark)
+    )
     return rows.withColumn("cells", F.to_json("cells"))
 
 
 @query("extract_html_rows_implied", _NAV_ROWS_SQL)
 def _extract_html_rows_implied(t):
-    pages = t.pages.withColumn("html", F.regexp_replace("html", "</(li|ul|a)>", ""))
+    dealt = spread(t.pages.select("page_id", "html"), tasks_for(t.spark))
+    pages = dealt.withColumn("html", F.regexp_replace("html", "</(li|ul|a)>", ""))
     rows = extract_html_rows(pages, row_tag="ul", cell_tags=("li",), table_tag="nav", implied_ends=True)
     return rows.withColumn("cells", F.to_json("cells"))
 
 
+def _dealt_customers(t):
+    """Customers dealt out to all cores before pages are made of them: their file is small and has
+    few row groups, and a task that reads a page takes thousands of times what it takes to move a
+    customer."""
+    columns = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return spread(t.customer.select(*columns), tasks_for(t.spark))
+
+
 def _cells(tag: str, *values) -> F.Column:
     parts = [F.concat(F.lit(f"<{tag}> "), value, F.lit(f"\n</{tag}>")) for value in values]
     return F.concat(F.lit("<tr>"), *parts, F.lit("</tr>"))
@@ -371,7 +382,7 @@ def _extract_hospital_contacts(t):
         _cells("td", F.lit("3"), F.lit("---"), english, phone),
         F.lit("</table>"),
     )
-    pages = t.customer.select(F.col("c_custkey").alias("page_id"), page.alias("html"))
+    pages = _dealt_customers(t).select(F.col("c_custkey").alias("page_id"), page.alias("html"))
     return extract_contacts(extract_html_tables(pages), "hospitals")
 
 

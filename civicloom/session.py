@@ -135,6 +135,12 @@ def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df if partitions is None else df.repartition(partitions)
 
 
+def tasks_for(spark: SparkSession) -> int:
+    """Tasks to deal rows out to before a step that is costly per row: three for each core, so that
+    a slow task holds nothing up for long."""
+    return 3 * spark.sparkContext.defaultParallelism
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder; call it when its frames are no
     longer needed."""

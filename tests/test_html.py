@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+
+from civicloom.queries import queries
 from civicloom.sources.html import extract_contacts, extract_html_rows
 
 
@@ -84,3 +87,17 @@ def test_hospitals(spark):
 
     assert got() == [(2, "โรงพยาบาลก", "A Hospital", "02"), (3, "ข", "B Clinic", "03")]
     assert got(any_hospital_row_is_heading=True) == [(3, "ข", "B Clinic", "03")]
+
+
+def one_file_of_customers(spark, folder):
+    """Customers as one file that only one task can read."""
+    rows = [(key, f"Customer {key}", key % 5, "MACHINERY") for key in range(60)]
+    df = spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string")
+    df.coalesce(1).write.parquet(f"{folder}/customer.parquet")
+    return folder
+
+
+def test_hospital_pages_of_one_file_are_read_by_all_cores(spark, folder):
+    found = queries()["extract_hospital_contacts"](spark, one_file_of_customers(spark, folder))
+    assert found.count() == 60
+    assert found.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
