@@ -101,3 +101,9 @@ def test_hospital_pages_of_one_file_are_read_by_all_cores(spark, folder):
     found = queries()["extract_hospital_contacts"](spark, one_file_of_customers(spark, folder))
     assert found.count() == 60
     assert found.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
+
+
+def test_station_pages_of_one_file_are_read_by_all_cores(spark, folder):
+    found = queries()["extract_contacts"](spark, one_file_of_customers(spark, folder))
+    assert found.count() == 120
+    assert found.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
