@@ -13,7 +13,9 @@ from __future__ import annotations
 import sys
 import types
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +24,11 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Words remembered by one worker process. Beyond it the memory starts anew; ids do not depend on it.
+# Words remembered by one worker process. At half of it the words met since the last time become the
+# older ones and the older ones are forgotten, so that frequent words stay; ids do not depend on it.
 REMEMBERED_WORDS = 900_000
 # Texts encoded together, in bytes; a longer text is a part of its own.
-PART_BYTES = 4_000_000
+PART_BYTES = 8_000_000
 # Rows of a batch handed back to Spark.
 ROWS_BACK = 512
 
@@ -45,49 +48,48 @@ class Coder:
         added = self._library.get_added_tokens_decoder().values()
         self._odd = "|".join([_RUN, *(regex.escape(token.content) for token in added)])
         self._units = regex.compile(_UNITS)
+        self._tokenize = self._library.model.tokenize
         self._letters = _byte_letters()
-        self._by_word = _remembered(tokenizer)
+        self._by_word, self._older = _remembered(tokenizer)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self._library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _unit(self, text: str) -> bytes:
         """Ids of what the merge rules see as one."""
-        if text.isascii() and text[1:].isalpha():
-            letters = self._letters[32] + text[1:] if text[0] == " " else text
-        else:
-            letters = text.encode().decode("latin-1").translate(self._letters)
-        return array("I", [token.id for token in self._library.model.tokenize(letters)]).tobytes()
+        letters, _ = charmap_decode(text.encode(), "strict", self._letters)
+        return array("I", map(_token_id, self._tokenize(letters))).tobytes()
 
     def word(self, text: str) -> bytes:
         """Ids, as little-endian unsigned 32-bit numbers, of a word with its blank."""
         known = self._by_word.get(text)
         if known is None:
-            letters = text[1:] if text[:1] == " " else text
-            if letters.isalpha():
-                units = [text]
-            elif letters[-1:] in _MARKS and letters[:-1].isalpha():
-                units = [text[:-1], text[-1]]
-            else:
-                units = self._units.findall(text)
-            if len(units) == 1:
-                known = self._unit(text)
-            else:
-                known = b"".join([self._by_word.get(unit) or self.word(unit) for unit in units])
-            if len(self._by_word) >= REMEMBERED_WORDS:
+            known = self._older.get(text) or self._new(text)
+            if len(self._by_word) >= REMEMBERED_WORDS // 2:
+                self._older.clear()
+                self._older.update(self._by_word)
                 self._by_word.clear()
             self._by_word[text] = known
         return known
 
+    def _new(self, text: str) -> bytes:
+        letters = text[1:] if text[:1] == " " else text
+        if letters.isalpha():
+            return self._unit(text)
+        if letters[-1:] in _MARKS and letters[:-1].isalpha():
+            return self.word(text[:-1]) + self.word(text[-1])
+        units = self._units.findall(text)
+        return self._unit(text) if len(units) == 1 else b"".join(map(self.word, units))
+
     def encode_all(self, batches) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
         """Batches put together to parts, each with its ids and where each text ends.
         The last column of a batch holds the texts."""
         kept, size = [], 0
         for batch in _ending_with_none(batches):
             if batch is not None:
-                kept.append(batch)
-                size += batch.columns[-1].nbytes
-            if kept and (batch is None or size >= PART_BYTES):
+                added = batch.columns[-1].nbytes
+            # A part ends before the batch that would make it too long: no short rest is left over.
+            if kept and (batch is None or size + added > PART_BYTES):
                 table = pa.Table.from_batches(kept).combine_chunks().to_batches()
                 for whole in table:
                     row = 0
@@ -95,6 +97,9 @@ class Coder:
                         yield whole.slice(row, len(ends)), ids, ends
                         row += len(ends)
                 kept, size = [], 0
+            if batch is not None:
+                kept.append(batch)
+                size += added
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Parts of the texts in order: the ids of a part, and where each text of it ends."""
@@ -150,10 +155,10 @@ _UNITS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 _MARKS = frozenset(".,;:!?")
 
 
-def _remembered(tokenizer: str) -> dict[str, bytes]:
-    """Words this worker process has met, kept from one task to the next."""
+def _remembered(tokenizer: str) -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """Words this worker process has met, kept from one task to the next: newer and older ones."""
     memory = sys.modules.setdefault("_civicloom_words", types.ModuleType("_civicloom_words"))
-    return memory.__dict__.setdefault(tokenizer, {})
+    return memory.__dict__.setdefault(tokenizer, ({}, {}))
 
 
 def _require_byte_level(library, name: str) -> None:
@@ -174,12 +179,16 @@ def _ending_with_none(batches):
     yield None
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1
+_token_id = attrgetter("id")
+
+
+def _byte_letters() -> str:
+    """The letters that stand for the bytes from 0 on in a byte-level vocabulary: printable Latin-1
     characters stand for themselves, the others for the characters from 256 on, in order."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [byte for byte in range(256) if byte not in set(shown)]
-    return {byte: chr(byte) for byte in shown} | {byte: chr(256 + k) for k, byte in enumerate(hidden)}
+    letters = {byte: chr(byte) for byte in shown} | {byte: chr(256 + k) for k, byte in enumerate(hidden)}
+    return "".join(letters[byte] for byte in range(256))
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None, *,

@@ -244,3 +244,17 @@ def test_op9_against_the_library(spark, library):
         assert got.pop(row["doc_id"]) == (start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
         start += len(ids)
     assert not got
+
+
+def test_a_frequent_word_stays_remembered(monkeypatch):
+    """However many rare words come between, it is divided by the merge rules once."""
+    monkeypatch.setattr(tokens, "REMEMBERED_WORDS", 8)
+    coder = tokens.Coder(queries.tokenizer_path())
+    coder._by_word, coder._older = {}, {}
+    divided, unit = [], coder._unit
+    coder._unit = lambda text: divided.append(text) or unit(text)
+    for rare in range(40):
+        assert coder.word(" often") == unit(" often")
+        coder.word(" " + chr(97 + rare % 26) * (rare + 1))
+    assert divided.count(" often") == 1 and len(divided) == 41
+    assert len(coder._by_word) + len(coder._older) <= 8
