@@ -1,15 +1,17 @@
 """Token ids of whole texts, and exact statistics of their lengths.
 
 Texts are encoded by the ``tokenizers`` library. No token of a byte-level vocabulary runs from a
-visible character into a following blank, so the ids of a text are those of its blank-separated
-words one after the other. Words repeat, texts hardly do: each worker has the library encode a
-word when it first meets it, and gathers the rest with Arrow and numpy. Texts that hold runs of
+visible character into a following blank or out of what ``_UNITS`` divides, so the ids of a text
+are those of its pieces one after the other: words cut at their marks, digits and line feeds as far
+as bytes alone tell (``_pieces``). Pieces repeat, texts hardly do: each worker has the library encode
+a piece when it first meets it, and gathers the rest with Arrow and numpy. Texts that hold runs of
 blanks or an added token of the vocabulary (such as ``<|endoftext|>``, which the library's defaults
 read as one id) go through the library whole.
 """
 
 from __future__ import annotations
 
+import string
 import sys
 import types
 from array import array
@@ -113,38 +115,95 @@ class Coder:
             first = last
 
     def _part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        odd = pc.match_substring_regex(texts, self._odd).to_numpy(zero_copy_only=False)
-        if odd.any():
-            kept = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts)
-        else:
-            kept = texts
-        words = pc.split_pattern(kept, " ")
-        bounds = words.offsets.to_numpy().astype(np.int64)
-        bounds = bounds - bounds[0]
-        coded = words.flatten().dictionary_encode()
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self._odd).to_numpy(zero_copy_only=False))
+        kept = texts
+        if len(odd):
+            # One blank holds the place of a text that goes through the library whole.
+            mask = np.zeros(len(texts), dtype=bool)
+            mask[odd] = True
+            kept = pc.if_else(pa.array(mask), pa.scalar(" ", pa.large_string()), texts)
+        pieces, bounds = _pieces(kept)
+        coded = pieces.dictionary_encode()
         known_word, new_word = self._by_word.get, self.word
-        none, blank = (pa.scalar(text, pa.large_string()) for text in ("", " "))
-        blank_words = pc.binary_join_element_wise(none, coded.dictionary, blank).to_numpy(zero_copy_only=False)
-        ids = [known_word(word) or new_word(word) for word in blank_words.tolist()]
-        index = coded.indices.to_numpy().copy()
-        # The first word of a text has no blank before it.
-        starts = bounds[:-1]
-        first_words = words.flatten().take(pa.array(starts)).to_pylist()
-        known = len(ids)
-        for place, word in enumerate(first_words):
-            ids.append(self._whole(texts[place].as_py()) if odd[place] else self.word(word) if word else b"")
-        index[starts] = known + np.arange(len(starts))
+        ids = [known_word(word) or new_word(word) for word in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        index = coded.indices.to_numpy()
+        if len(odd):
+            index = index.copy()
+            index[bounds[odd]] = len(ids) + np.arange(len(odd))
+            ids += [self._whole(texts[place].as_py()) for place in odd.tolist()]
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), dtype="<u4")
         begins = np.cumsum(sizes) - sizes
         counts = sizes[index]
         ends = np.cumsum(counts)
         if len(ends) == 0:
-            return np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+            return np.zeros(0, dtype="<u4"), np.zeros(len(texts), dtype=np.int64)
         narrow = np.int32 if max(ends[-1], len(flat)) < 1 << 31 else np.int64
         moved = np.repeat((begins[index] - (ends - counts)).astype(narrow), counts)
         moved += np.arange(ends[-1], dtype=narrow)
-        return flat[moved], ends[bounds[1:] - 1]
+        return flat[moved], np.concatenate(([0], ends))[bounds[1:]]
+
+
+# What a byte may stand for: unknown, letter, digit, mark, apostrophe, line feed, blank.
+_UNKNOWN, _LETTER, _DIGIT, _MARK, _APOSTROPHE, _LINE, _BLANK = range(7)
+
+
+def _kinds() -> np.ndarray:
+    """The kind of every byte. Marks are those of ASCII; other control characters stay unknown, and
+    so does every byte beyond ASCII except the first ones of U+00C0 to U+027F and U+0400 to U+047F."""
+    kinds = np.full(256, _UNKNOWN, dtype=np.uint8)
+    kinds[33:127] = _MARK
+    kinds[[ord(letter) for letter in string.ascii_letters]] = _LETTER
+    kinds[[ord(digit) for digit in string.digits]] = _DIGIT
+    kinds[ord("'")], kinds[ord("\n")], kinds[ord(" ")] = _APOSTROPHE, _LINE, _BLANK
+    kinds[[*range(0xC3, 0xCA), 0xD0, 0xD1]] = _LETTER
+    return kinds
+
+
+def _divides() -> np.ndarray:
+    """Whether a unit ends between two bytes, by 8 * kind of the first + kind of the second. After
+    an apostrophe letters may go on, and a line feed ends a unit only where it is the whole of it."""
+    divides = np.zeros((8, 8), dtype=bool)
+    divides[:, _BLANK] = True
+    visible = [_LETTER, _DIGIT, _MARK, _APOSTROPHE]
+    divides[visible, _LINE] = True
+    divides[_LETTER, [_DIGIT, _MARK, _APOSTROPHE]] = True
+    divides[_DIGIT, [_LETTER, _MARK, _APOSTROPHE]] = True
+    divides[_MARK, [_LETTER, _DIGIT]] = True
+    divides[_APOSTROPHE, _DIGIT] = True
+    return divides.reshape(-1)
+
+
+_KINDS, _DIVIDES = _kinds(), _divides()
+
+
+def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Texts cut where bytes alone tell that ``_UNITS`` divides them (before blanks and at most marks,
+    digits and line feeds), and how many pieces stand before each text and in all. No text holds a
+    blank beside other white space."""
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    offsets, floor = offsets - offsets[0], int(offsets[0])
+    size = int(offsets[-1])
+    if not size:
+        return pa.array([], pa.large_string()), np.zeros(len(offsets), dtype=np.int64)
+    buffer = texts.buffers()[2].slice(floor, size)
+    data = np.frombuffer(buffer, dtype=np.uint8)
+    kinds = _KINDS[data]
+    if data.max() > 127:
+        follow = np.flatnonzero((data > 127) & (kinds == _LETTER)) + 1
+        kinds[follow] = _LETTER
+        # The signs of multiplication and division stand among the letters.
+        signs = follow[(data[follow - 1] == 0xC3) & ((data[follow] == 0x97) | (data[follow] == 0xB7))]
+        kinds[signs] = kinds[signs - 1] = _UNKNOWN
+    begins = np.zeros(size + 1, dtype=bool)
+    begins[1:-1] = _DIVIDES[kinds[:-1] << 3 | kinds[1:]]
+    begins[offsets] = True
+    lines = np.flatnonzero(kinds[:-1] == _LINE)
+    after = kinds[lines + 1]
+    begins[lines[begins[lines] & (after >= _LETTER) & (after <= _APOSTROPHE)] + 1] = True
+    begins = np.flatnonzero(begins)
+    pieces = pa.LargeStringArray.from_buffers(len(begins) - 1, pa.py_buffer(begins.astype(np.int64, copy=False)), buffer)
+    return pieces, np.searchsorted(begins, offsets)
 
 
 # Where byte-level vocabularies of this kind divide a text.

@@ -258,3 +258,34 @@ def test_a_frequent_word_stays_remembered(monkeypatch):
         coder.word(" " + chr(97 + rare % 26) * (rare + 1))
     assert divided.count(" often") == 1 and len(divided) == 41
     assert len(coder._by_word) + len(coder._older) <= 8
+
+
+def test_marks_make_no_further_words(library):
+    """What is remembered follows the units of the vocabulary, not the words with their marks and line feeds."""
+    coder = tokens.Coder(queries.tokenizer_path())
+    coder._by_word, coder._older = {}, {}
+    letters = [f"{a}{b}ü" for a in "abcdefgh" for b in "éяklmnop"]
+    marks = [".", ",", "!?", ".\n", "###", "(", "7", "-x"]
+    texts = [" ".join(f"{word}{mark}" for word in letters) for mark in marks]
+    got = [part.tolist() for ids, ends in coder.encode(pa.array(texts)) for part in np.split(ids, ends[:-1])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    # Each row of letters after a blank and at the begin of a line or text, and the marks.
+    assert len(coder._by_word) <= 2 * len(letters) + 2 * len(marks)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(
+    [" ", "\n", "\n\n", "\r", "a", "s", "ll", "'", ".", "1", "é", "я", "×", "÷", "ʰ", "\u0301", "日", "。", "\u0085", "\x1c", "😀"]),
+    max_size=12).map("".join), min_size=1, max_size=6))
+def test_cuts_between_kinds_of_characters(texts):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.tokenizer_path())
+    assert encoded(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_texts_in_a_slice_and_without_words(library):
+    texts = pa.array(["left out", "", None, "é.é", "a  b", "", "x y\nz", "a  ", None, "left out"], pa.string()).slice(1, 8)
+    got = [part.tolist() for ids, ends in tokens.Coder(queries.tokenizer_path()).encode(texts) for part in np.split(ids, ends[:-1])]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert encoded(["", None, ""]) == [[], [], []]
