@@ -17,10 +17,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civicloom.llm import workers
+
 GRAM_BITS = 16
 UNDETERMINED = "und"
-# Texts counted together, in bytes.
-PART_BYTES = 1 << 20
+# Texts counted together, in bytes: a task holds a few numbers per n-gram of them and language.
+PART_BYTES = 1 << 18
 # A text's set stops growing after so many sizes in a row that do not explain it better.
 MISSES = 2
 ROUNDS_ALL = 12
@@ -177,6 +179,7 @@ def learn(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
         F.col(lang_col).alias("lang"), F.col(text_col).alias("_text"))
 
     def run(batches):
+        workers.let_go()
         counted: dict[str, np.ndarray] = {}
         for batch in batches:
             coded = batch.column(0).dictionary_encode()
@@ -224,6 +227,7 @@ def identify(docs: DataFrame, languages: Languages, *, text_col: str = "text") -
     plain = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text"))
 
     def run(batches):
+        workers.let_go()
         learned = Languages(*model.value)
         for batch in batches:
             best, scores, sets, shares = learned.predict(batch.column(batch.num_columns - 1))

@@ -12,8 +12,6 @@ read as one id) go through the library whole.
 from __future__ import annotations
 
 import string
-import sys
-import types
 from array import array
 from codecs import charmap_decode
 from collections.abc import Iterator
@@ -26,11 +24,13 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicloom.llm import workers
+
 # Words remembered by one worker process. At half of it the words met since the last time become the
 # older ones and the older ones are forgotten, so that frequent words stay; ids do not depend on it.
 REMEMBERED_WORDS = 900_000
-# Texts encoded together, in bytes; a longer text is a part of its own.
-PART_BYTES = 8_000_000
+# Texts encoded together, in bytes; a longer text is a part of its own. A task holds many times as much.
+PART_BYTES = 2_000_000
 # Rows of a batch handed back to Spark.
 ROWS_BACK = 512
 
@@ -216,8 +216,7 @@ _MARKS = frozenset(".,;:!?")
 
 def _remembered(tokenizer: str) -> tuple[dict[str, bytes], dict[str, bytes]]:
     """Words this worker process has met, kept from one task to the next: newer and older ones."""
-    memory = sys.modules.setdefault("_civicloom_words", types.ModuleType("_civicloom_words"))
-    return memory.__dict__.setdefault(tokenizer, ({}, {}))
+    return workers.kept(f"words {tokenizer}", ({}, {}))
 
 
 def _require_byte_level(library, name: str) -> None:
